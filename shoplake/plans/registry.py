@@ -105,3 +105,145 @@ register("order_amount_stats", with_ctes(
 register("status_distribution", with_ctes(
     "SELECT order_status, COUNT(*) AS cnt FROM fact_order GROUP BY order_status"))(
     lambda s, d: trade.status_distribution(B.fact_order(s, d)))
+
+# --- users --------------------------------------------------------------------------------
+
+from shoplake.operators import users  # noqa: E402
+
+M_CUTS = (2000000, 1000000)  # spend cut-offs that make all three M scores occur on TESTDATA
+
+CITY_STATS = (
+    f"SELECT city, COUNT(user_id) AS user_cnt, CAST({rnd('AVG(age)', 0)} AS INT) AS avg_age, "
+    f"{rnd('AVG(vip_level)', 2)} AS avg_vip FROM dim_user GROUP BY city")
+
+register("city_stats", with_ctes(CITY_STATS))(
+    lambda s, d: users.city_stats(B.dim_user(s, d)))
+
+register("top_cities", with_ctes(
+    "SELECT * FROM cs ORDER BY user_cnt DESC, city ASC LIMIT 10", cs=CITY_STATS))(
+    lambda s, d: users.top_cities(B.dim_user(s, d), 10))
+
+register("user_orders", with_ctes(
+    "SELECT d.*, u.city, u.vip_level, u.register_date FROM dwd d "
+    "LEFT JOIN dim_user u ON d.user_id = u.user_id", dwd=DWD))(
+    lambda s, d: users.user_orders(_dwd(s, d), B.dim_user(s, d)))
+
+register("vip_analysis", with_ctes(
+    f"SELECT u.vip_level, COUNT(DISTINCT d.user_id) AS user_cnt, COUNT(d.order_id) AS order_cnt, "
+    f"{msum('d.actual_amount')} AS total_revenue, {mavg('d.actual_amount')} AS avg_order_value, "
+    f"{rnd(msum('d.actual_amount') + ' / COUNT(DISTINCT d.user_id)', 2)} AS arpu "
+    "FROM dwd d LEFT JOIN dim_user u ON d.user_id = u.user_id GROUP BY u.vip_level", dwd=DWD))(
+    lambda s, d: users.vip_analysis(_dwd(s, d), B.dim_user(s, d)))
+
+USER_SPENDING = (
+    f"SELECT user_id, COUNT(order_id) AS order_cnt, {msum('actual_amount')} AS total_spent, "
+    f"{mavg('actual_amount')} AS avg_per_order, MAX(order_date) AS last_order_date "
+    "FROM dwd GROUP BY user_id")
+
+register("user_spending", with_ctes(USER_SPENDING, dwd=DWD))(
+    lambda s, d: users.user_spending(_dwd(s, d)))
+
+RFM_FIXED = (
+    "SELECT *, CAST(CASE WHEN recency_days <= 7 THEN 3 WHEN recency_days <= 30 THEN 2 ELSE 1 END AS INT) AS r_score, "
+    "CAST(CASE WHEN order_cnt >= 10 THEN 3 WHEN order_cnt >= 3 THEN 2 ELSE 1 END AS INT) AS f_score, "
+    f"CAST(CASE WHEN total_spent >= {M_CUTS[0]} THEN 3 WHEN total_spent >= {M_CUTS[1]} THEN 2 ELSE 1 END AS INT) AS m_score "
+    f"FROM (SELECT *, CAST(date_diff('day', last_order_date, DATE '{AS_OF}') AS INT) AS recency_days FROM us)")
+RFM_FIXED_TIER = (
+    "SELECT *, CASE WHEN rfm_total >= 7 THEN 'high' WHEN rfm_total >= 5 THEN 'mid' ELSE 'low' END AS user_tier "
+    "FROM (SELECT *, CAST(r_score + f_score + m_score AS INT) AS rfm_total FROM rf)")
+RFM_CTES = dict(dwd=DWD, us=USER_SPENDING, rf=RFM_FIXED, rfm=RFM_FIXED_TIER)
+
+
+def _rfm_fixed(s, d):
+    return users.rfm_fixed(_dwd(s, d), as_of=AS_OF, m=M_CUTS)
+
+
+register("rfm_fixed", with_ctes("SELECT * FROM rfm", **RFM_CTES))(_rfm_fixed)
+
+register("tier_summary", with_ctes(
+    f"SELECT user_tier, COUNT(user_id) AS user_cnt, {mavg('total_spent')} AS avg_spent, "
+    f"{rnd('CAST(SUM(order_cnt) AS DOUBLE) / COUNT(order_cnt)', 1)} AS avg_orders "
+    "FROM rfm GROUP BY user_tier", **RFM_CTES))(
+    lambda s, d: users.tier_summary(_rfm_fixed(s, d)))
+
+register("top_high_value_users", with_ctes(
+    "SELECT user_id, order_cnt, total_spent, recency_days, rfm_total FROM rfm "
+    "WHERE user_tier = 'high' ORDER BY total_spent DESC, user_id ASC LIMIT 10", **RFM_CTES))(
+    lambda s, d: users.top_high_value_users(_rfm_fixed(s, d), 10))
+
+RFM_BASE = (
+    f"SELECT user_id, COUNT(order_id) AS frequency, {msum('actual_amount')} AS monetary, "
+    "MAX(order_date) AS last_order_date, "
+    f"CAST(date_diff('day', MAX(order_date), DATE '{AS_OF}') AS INT) AS recency "
+    "FROM dwd GROUP BY user_id")
+
+
+def _q(col, p):
+    return f"CAST(quantile_cont(CAST({col} AS DOUBLE), {p}) AS DOUBLE)"
+
+
+RFM_THRESH = (
+    f"SELECT {_q('recency', 0.33)} AS r_q33, {_q('recency', 0.66)} AS r_q66, "
+    f"{_q('frequency', 0.33)} AS f_q33, {_q('frequency', 0.66)} AS f_q66, "
+    f"{_q('monetary', 0.33)} AS m_q33, {_q('monetary', 0.66)} AS m_q66 FROM base")
+RFM_SCORED = (
+    "SELECT user_id, frequency, monetary, last_order_date, recency, "
+    "CAST(CASE WHEN recency <= r_q33 THEN 3 WHEN recency <= r_q66 THEN 2 ELSE 1 END AS INT) AS r_score, "
+    "CAST(CASE WHEN frequency >= f_q66 THEN 3 WHEN frequency >= f_q33 THEN 2 ELSE 1 END AS INT) AS f_score, "
+    "CAST(CASE WHEN monetary >= m_q66 THEN 3 WHEN monetary >= m_q33 THEN 2 ELSE 1 END AS INT) AS m_score "
+    "FROM base CROSS JOIN th")
+RFM_LABELLED = (
+    "SELECT *, CASE "
+    "WHEN r_score = 3 AND f_score >= 2 AND m_score >= 2 THEN 'key_value' "
+    "WHEN r_score = 3 AND f_score <= 1 AND m_score >= 2 THEN 'key_develop' "
+    "WHEN r_score <= 2 AND f_score >= 2 AND m_score >= 2 THEN 'key_retain' "
+    "WHEN r_score <= 2 AND f_score <= 1 AND m_score >= 2 THEN 'key_win_back' "
+    "WHEN r_score = 3 AND f_score >= 2 AND m_score <= 1 THEN 'general_value' "
+    "WHEN r_score <= 2 AND f_score >= 2 AND m_score <= 1 THEN 'general_retain' "
+    "WHEN r_score <= 2 AND f_score <= 1 AND m_score <= 1 THEN 'lost' "
+    "ELSE 'new' END AS rfm_label FROM sc")
+TERCILE_CTES = dict(dwd=DWD, base=RFM_BASE, th=RFM_THRESH, sc=RFM_SCORED, lab=RFM_LABELLED)
+
+
+def _rfm_base(s, d):
+    return users.rfm_base(_dwd(s, d), as_of=AS_OF)
+
+
+def _rfm_tercile(s, d):
+    return users.rfm_tercile(_rfm_base(s, d))
+
+
+register("rfm_base", with_ctes("SELECT * FROM base", dwd=DWD, base=RFM_BASE))(_rfm_base)
+register("rfm_thresholds", with_ctes("SELECT * FROM th", dwd=DWD, base=RFM_BASE, th=RFM_THRESH))(
+    lambda s, d: users.rfm_thresholds(_rfm_base(s, d)))
+register("rfm_tercile", with_ctes("SELECT * FROM lab", **TERCILE_CTES))(_rfm_tercile)
+register("rfm_summary", with_ctes(
+    f"SELECT rfm_label, COUNT(user_id) AS user_cnt, "
+    f"{rnd('CAST(SUM(frequency) AS DOUBLE) / COUNT(frequency)', 1)} AS avg_freq, "
+    f"{mavg('monetary')} AS avg_money, "
+    f"{rnd('CAST(SUM(recency) AS DOUBLE) / COUNT(recency)', 0)} AS avg_recency_days "
+    "FROM lab GROUP BY rfm_label", **TERCILE_CTES))(
+    lambda s, d: users.rfm_summary(_rfm_tercile(s, d)))
+
+register("repurchase_dist", with_ctes(
+    f"SELECT purchase_cnt, user_cnt, {pct('user_cnt', 'SUM(user_cnt) OVER ()')} AS pct FROM ("
+    "SELECT CASE WHEN frequency = 1 THEN '1' WHEN frequency = 2 THEN '2' "
+    "WHEN frequency BETWEEN 3 AND 5 THEN '3-5' WHEN frequency BETWEEN 6 AND 10 THEN '6-10' "
+    "ELSE '>10' END AS purchase_cnt, COUNT(user_id) AS user_cnt FROM base GROUP BY 1)",
+    dwd=DWD, base=RFM_BASE))(lambda s, d: users.repurchase_dist(_rfm_base(s, d)))
+
+FIRST_ORDER = (
+    "SELECT d.user_id, strftime(u.register_date, '%Y-%m') AS register_month, "
+    "MIN(d.order_date) AS first_order_date, strftime(MIN(d.order_date), '%Y-%m') AS first_order_month "
+    "FROM dwd d LEFT JOIN dim_user u ON d.user_id = u.user_id GROUP BY d.user_id, 2")
+
+register("first_order", with_ctes(FIRST_ORDER, dwd=DWD))(
+    lambda s, d: users.first_order(_dwd(s, d), B.dim_user(s, d)))
+
+register("cohort_conversion", with_ctes(
+    "SELECT register_month, registered_users, first_month_buyers, "
+    f"{pct('first_month_buyers', 'registered_users')} AS conversion_rate FROM ("
+    "SELECT register_month, COUNT(DISTINCT user_id) AS registered_users, "
+    "COUNT(DISTINCT CASE WHEN first_order_month = register_month THEN user_id END) AS first_month_buyers "
+    "FROM fo GROUP BY register_month)", dwd=DWD, fo=FIRST_ORDER))(
+    lambda s, d: users.cohort_conversion(_dwd(s, d), B.dim_user(s, d)))

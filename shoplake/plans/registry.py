@@ -247,3 +247,85 @@ register("cohort_conversion", with_ctes(
     "COUNT(DISTINCT CASE WHEN first_order_month = register_month THEN user_id END) AS first_month_buyers "
     "FROM fo GROUP BY register_month)", dwd=DWD, fo=FIRST_ORDER))(
     lambda s, d: users.cohort_conversion(_dwd(s, d), B.dim_user(s, d)))
+
+# --- products -----------------------------------------------------------------------------
+
+from shoplake.operators import baskets, products  # noqa: E402
+
+DIFF = "(CAST(price AS DECIMAL(18,2)) - CAST(cost AS DECIMAL(18,2)))"
+LP = "fact_order_detail l LEFT JOIN dim_product p ON l.product_id = p.product_id"
+
+register("detail_products", with_ctes(
+    f"SELECT l.order_id, l.product_id, l.quantity, {dbl('l.subtotal')} AS subtotal, "
+    f"p.category, p.brand, {dbl('p.cost')} AS cost FROM {LP}"))(
+    lambda s, d: products.detail_products(B.fact_order_detail(s, d), B.dim_product(s, d)))
+
+SUBTOTAL = "l.subtotal"
+_PROFIT = ("SUM(CAST(l.subtotal AS DECIMAL(18,2)) - l.quantity * CAST(p.cost AS DECIMAL(18,2)))")
+register("category_sales", with_ctes(
+    f"SELECT p.category, COUNT(DISTINCT l.product_id) AS product_cnt, COUNT(l.detail_id) AS sold_qty, "
+    f"CAST(SUM(l.quantity) AS BIGINT) AS units_sold, {msum('l.subtotal')} AS total_gmv, "
+    f"CAST({_PROFIT} AS DOUBLE) AS total_profit, "
+    f"{rnd(f'CAST({_PROFIT} AS DOUBLE) / NULLIF({msum(SUBTOTAL)}, 0) * 100', 1)} "
+    f"AS profit_margin_pct FROM {LP} GROUP BY p.category"))(
+    lambda s, d: products.category_sales(B.fact_order_detail(s, d), B.dim_product(s, d)))
+
+register("category_catalog", with_ctes(
+    f"SELECT category, COUNT(product_id) AS product_cnt, {mavg('price')} AS avg_price, "
+    f"{mavg(DIFF)} AS avg_profit_per_item FROM dim_product GROUP BY category"))(
+    lambda s, d: products.category_catalog(B.dim_product(s, d)))
+
+BRAND_SALES = (
+    f"SELECT p.category, p.brand, {msum('l.subtotal')} AS brand_sales, "
+    f"COUNT(DISTINCT l.product_id) AS brand_products FROM {LP} GROUP BY p.category, p.brand")
+
+register("brand_sales", with_ctes(BRAND_SALES))(
+    lambda s, d: products.brand_sales(B.fact_order_detail(s, d), B.dim_product(s, d)))
+
+register("brand_top3", with_ctes(
+    "SELECT * FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY category "
+    "ORDER BY brand_sales DESC NULLS LAST, brand ASC NULLS FIRST) AS INT) AS brand_rank FROM bs) "
+    "WHERE brand_rank <= 3", bs=BRAND_SALES))(
+    lambda s, d: products.brand_top3(B.fact_order_detail(s, d), B.dim_product(s, d), 3))
+
+register("brand_catalog", with_ctes(
+    f"SELECT category, brand, COUNT(product_id) AS product_cnt, {mavg('price')} AS avg_price "
+    "FROM dim_product GROUP BY category, brand"))(
+    lambda s, d: products.brand_catalog(B.dim_product(s, d)))
+
+register("high_profit_top20", with_ctes(
+    "SELECT * FROM (SELECT product_id, product_name, category, brand, "
+    f"{dbl('price')} AS price, {dbl('cost')} AS cost, CAST({DIFF} AS DOUBLE) AS profit_per_item, "
+    f"{rnd(f'CAST({DIFF} AS DOUBLE) / NULLIF(CAST(CAST(price AS DECIMAL(18,2)) AS DOUBLE), 0) * 100', 1)} AS margin, "
+    f"CAST(ROW_NUMBER() OVER (ORDER BY {DIFF} DESC NULLS LAST, product_id ASC NULLS FIRST) AS INT) AS profit_rank "
+    "FROM dim_product) WHERE profit_rank <= 20"))(
+    lambda s, d: products.high_profit_top(B.dim_product(s, d), 20))
+
+register("price_distribution", with_ctes(
+    "SELECT category, COUNT(product_id) AS product_cnt, "
+    "CAST(MIN(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS min_price, "
+    f"{mavg('price')} AS avg_price, CAST(MAX(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS max_price, "
+    f"{mavg(DIFF)} AS avg_margin FROM dim_product GROUP BY category"))(
+    lambda s, d: products.price_distribution(B.dim_product(s, d)))
+
+# --- baskets ------------------------------------------------------------------------------
+
+BASKETS = ("SELECT order_id, CAST(COUNT(product_id) AS INT) AS basket_size FROM fact_order_detail "
+           "GROUP BY order_id HAVING COUNT(product_id) >= 2")
+register("baskets", with_ctes(BASKETS))(
+    lambda s, d: baskets.baskets(B.fact_order_detail(s, d), 2))
+register("multi_product_orders", with_ctes("SELECT COUNT(*) AS order_cnt FROM bk", bk=BASKETS))(
+    lambda s, d: baskets.multi_product_orders(B.fact_order_detail(s, d), 2))
+
+CO_PURCHASE = (
+    "SELECT a.product_id AS product_a, b.product_id AS product_b, COUNT(*) AS co_count "
+    "FROM fact_order_detail a JOIN fact_order_detail b "
+    "ON a.order_id = b.order_id AND a.product_id < b.product_id GROUP BY 1, 2")
+register("co_purchase", with_ctes(CO_PURCHASE))(
+    lambda s, d: baskets.co_purchase(B.fact_order_detail(s, d)))
+register("top_co_purchase", with_ctes(
+    "SELECT t.product_a, t.product_b, pa.product_name AS name_a, pb.product_name AS name_b, t.co_count "
+    "FROM (SELECT * FROM co ORDER BY co_count DESC, product_a, product_b LIMIT 10) t "
+    "LEFT JOIN dim_product pa ON t.product_a = pa.product_id "
+    "LEFT JOIN dim_product pb ON t.product_b = pb.product_id", co=CO_PURCHASE))(
+    lambda s, d: baskets.top_co_purchase(B.fact_order_detail(s, d), B.dim_product(s, d), 10))

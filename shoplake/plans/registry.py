@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shoplake.operators import clean, trade
 from shoplake.plans.sqltext import dbl, dwd_sql, mavg, msum, pct, rnd, with_ctes
@@ -329,3 +330,74 @@ register("top_co_purchase", with_ctes(
     "LEFT JOIN dim_product pa ON t.product_a = pa.product_id "
     "LEFT JOIN dim_product pb ON t.product_b = pb.product_id", co=CO_PURCHASE))(
     lambda s, d: baskets.top_co_purchase(B.fact_order_detail(s, d), B.dim_product(s, d), 10))
+
+# --- ML -----------------------------------------------------------------------------------
+
+from shoplake.operators import ml, quality  # noqa: E402
+
+RATINGS = (
+    "SELECT o.user_id, l.product_id, COUNT(l.detail_id) AS purchase_count, "
+    "CAST(COUNT(l.detail_id) AS DOUBLE) AS rating "
+    "FROM fact_order_detail l JOIN fact_order o ON l.order_id = o.order_id "
+    "WHERE o.order_status IN ('paid','shipped','completed') AND o.user_id IS NOT NULL "
+    "GROUP BY o.user_id, l.product_id")
+
+
+def _ratings(s, d):
+    return ml.ratings(B.fact_order_detail(s, d), B.fact_order(s, d))
+
+
+register("ratings", with_ctes(RATINGS))(_ratings)
+register("rating_stats", with_ctes(
+    "SELECT COUNT(*) AS pairs, COUNT(DISTINCT user_id) AS users, "
+    "COUNT(DISTINCT product_id) AS products FROM r", r=RATINGS))(
+    lambda s, d: ml.rating_stats(_ratings(s, d)))
+register("user_features", with_ctes(
+    f"SELECT user_id, COUNT(order_id) AS order_cnt, {msum('actual_amount')} AS total_spent, "
+    f"{mavg('actual_amount')} AS avg_order_value FROM dwd GROUP BY user_id", dwd=DWD))(
+    lambda s, d: ml.user_features(_dwd(s, d)))
+
+# rows-only checks: fitted models have no SQL twin
+register("als_rmse")(lambda s, d: ml.als_rmse(s, _ratings(s, d)))
+register("als_top5")(lambda s, d: ml.als_top_k(_ratings(s, d), B.dim_product(s, d), 5))
+register("user_clusters")(lambda s, d: ml.user_clusters(_dwd(s, d)))
+register("cluster_summary")(lambda s, d: ml.cluster_summary(ml.user_clusters(_dwd(s, d))))
+register("cluster_quality")(lambda s, d: ml.cluster_quality(s, _dwd(s, d)))
+
+# --- quality and lake ---------------------------------------------------------------------
+
+register("table_row_counts", with_ctes(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"
+    for t in sorted(B.BINDING_SQL))))(
+    lambda s, d: quality.table_row_counts(B.business_tables(s, d)))
+
+from shoplake.sources import snapshot  # noqa: E402
+
+register("snapshot_project", with_ctes(
+    "SELECT order_id, user_id, order_status, CAST(order_amount AS DOUBLE) AS order_amount, "
+    "CAST(discount_amount AS DOUBLE) AS discount_amount, CAST(actual_amount AS DOUBLE) AS actual_amount, "
+    "payment_method, strftime(order_time, '%Y-%m-%d %H:%M:%S') AS order_time FROM fact_order"))(
+    lambda s, d: snapshot.snapshot_project(B.fact_order(s, d)))
+
+# --- streaming ----------------------------------------------------------------------------
+
+from shoplake.streaming import io as sio  # noqa: E402
+from shoplake.streaming import windows  # noqa: E402
+
+UV_PV = ("SELECT date_trunc('minute', behavior_time) AS window_start, behavior_type, "
+         "COUNT(DISTINCT user_id) AS uv, COUNT(*) AS pv FROM ods_user_behavior GROUP BY 1, 2")
+
+register("behavior_uv_pv", with_ctes(UV_PV))(
+    lambda s, d: windows.behavior_uv_pv(B.user_behavior(s, d)))
+register("order_window_totals", with_ctes(
+    "SELECT date_trunc('minute', order_time) AS window_start, "
+    "date_trunc('minute', order_time) + INTERVAL 1 MINUTE AS window_end, COUNT(*) AS order_count, "
+    f"{msum('actual_amount')} AS total_amount, "
+    f"{msum('actual_amount')} / COUNT(actual_amount) AS avg_amount FROM fact_order GROUP BY 1, 2"))(
+    lambda s, d: windows.order_window_totals(B.fact_order(s, d)))
+register("json_decode", with_ctes("SELECT log_id, product_id FROM ods_user_behavior"))(
+    lambda s, d: sio.json_field(B.read_table(s, d, "events").select(
+        F.col("event_id").alias("log_id"), "props"), "props", "k bigint", "k")
+    .select("log_id", F.col("k").alias("product_id")))
+register("behavior_uv_pv_stream", with_ctes(UV_PV))(
+    lambda s, d: sio.replay_uv_pv(s, B.user_behavior(s, d)))

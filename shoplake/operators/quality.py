@@ -30,14 +30,6 @@ def row_gate(counts: DataFrame, minimums: Mapping[str, int]) -> DataFrame:
                     (F.coalesce("row_count", F.lit(0)) >= F.col("min_rows")).alias("passed")))
 
 
-def enforce_gate(gate: DataFrame) -> None:
-    """Raise before a job starts if any table is below its minimum (an action)."""
-    failed = gate.where(~F.col("passed")).limit(20).collect()
-    if failed:
-        raise RuntimeError("row gate failed: " + ", ".join(
-            f"{r.table_name} has {r.row_count} < {r.min_rows}" for r in failed))
-
-
 def detail_reconciliation(details: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Lines whose subtotal differs from quantity x unit price by more than ``tolerance``."""
     expected = F.col("quantity") * to_money("unit_price")

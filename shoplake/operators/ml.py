@@ -171,3 +171,14 @@ def cluster_quality(spark: SparkSession, dwd: DataFrame, k: int = KMEANS_K,
     return spark.createDataFrame(rows, "cluster int, centre_order_cnt double, "
                                        "centre_total_spent double, centre_aov double, "
                                        "silhouette double")
+
+
+def sample_recommendations(recs: DataFrame, n_users: int = 3) -> DataFrame:
+    """T5 + J7: all recommendations of the ``n_users`` smallest user ids.
+
+    The reference takes an unordered ``limit`` of distinct users; ordering
+    the ids makes the sample deterministic.  The n-row id list is the
+    broadcast side of a semi join (bounded by ``n_users``).
+    """
+    ids = recs.select("user_id").distinct().orderBy("user_id").limit(n_users)
+    return recs.join(F.broadcast(ids), "user_id", "left_semi")

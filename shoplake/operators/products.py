@@ -132,3 +132,18 @@ def price_distribution(products: DataFrame) -> DataFrame:
         money_avg(price).alias("avg_price"),
         F.max(price).cast("double").alias("max_price"),
         money_avg(price - to_money("cost")).alias("avg_margin"))
+
+
+def category_order_sales(orders: DataFrame, products: DataFrame,
+                         broadcast: bool | None = None) -> DataFrame:
+    """A16 + J8: per category products, orders and GMV for orders that carry a ``product_id``.
+
+    The fallback the reference uses when no order lines exist; the business
+    order table declares no ``product_id``, so it applies only to such feeds.
+    """
+    dims = products.select("product_id", "category")
+    joined = dim_join(orders, dims, "product_id", broadcast=broadcast)
+    return joined.groupBy("category").agg(
+        F.count_distinct("product_id").alias("product_cnt"),
+        F.count("order_id").alias("order_cnt"),
+        F.sum(to_money("actual_amount")).cast("double").alias("total_gmv"))

@@ -100,3 +100,11 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
 def optional_table(spark: SparkSession, name: str) -> DataFrame | None:
     """The table if it exists, else None (the caller picks the fallback)."""
     return spark.table(name) if spark.catalog.tableExists(name) else None
+
+
+def read_catalog_table(spark: SparkSession, name: str, columns=None, where: str | None = None) -> DataFrame:
+    """S7 + S8: catalog table scan, column-pruned and filtered (pushed to the scan)."""
+    df = spark.table(name)
+    if columns:
+        df = df.select(*columns)
+    return df.where(where) if where else df

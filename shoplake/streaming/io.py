@@ -60,6 +60,15 @@ def parse_orders(raw: DataFrame) -> DataFrame:
     return parse_json_values(raw, ORDER_EVENT)
 
 
+def json_lines_stream(spark: SparkSession, path: str,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """A file-backed stand-in for a topic: each text line is one JSON ``value``."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path)
+
+
 def json_field(df: DataFrame, col: str, ddl: str, field: str) -> DataFrame:
     """Decode one field of a JSON text column (``from_json`` with a DDL schema)."""
     return df.withColumn(field, F.from_json(F.col(col), ddl).getField(field))

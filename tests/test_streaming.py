@@ -96,3 +96,33 @@ def test_replay_equals_batch_twin(spark):
     replay = sorted(tuple(r) for r in sio.replay_uv_pv(spark, ev).collect())
     batch = sorted(tuple(r) for r in behavior_uv_pv(ev).collect())
     assert replay == batch
+
+
+def test_json_lines_stream_order_totals(spark):
+    root = tempfile.mkdtemp(prefix="shoplake-orders-")
+    src = os.path.join(root, "src")
+    os.makedirs(src)
+    base = time.time() - 1000
+    batches = [[(1, 10, "paid", 5.0), (2, 40, "cancelled", 7.0)],
+               [(3, 70, "paid", 1.0)],
+               [(4, 200, "paid", 2.0)]]
+    for i, rows in enumerate(batches):
+        path = os.path.join(src, f"o-{i}.json")
+        with open(path, "w") as f:
+            for oid, sec, st, amt in rows:
+                f.write(json.dumps({"order_id": oid, "user_id": 1, "order_status": st,
+                                    "actual_amount": amt,
+                                    "order_time": f"2024-01-01 00:{sec // 60:02d}:{sec % 60:02d}",
+                                    "items": []}) + "\n")
+        os.utime(path, (base + i * 10, base + i * 10))
+    parsed = sio.parse_orders(sio.json_lines_stream(spark, src, max_files_per_trigger=1))
+    totals = order_window_totals(parsed, delay="5 seconds")
+    q = sio.start_file_sink(totals, os.path.join(root, "out"), os.path.join(root, "ckpt"),
+                            fmt="json", available_now=True)
+    q.awaitTermination()
+    out = spark.read.schema("window_start timestamp, window_end timestamp, order_count long, "
+                            "total_amount double, avg_amount double").json(os.path.join(root, "out"))
+    got = sorted((r.window_start.strftime("%H:%M"), r.order_count, r.total_amount)
+                 for r in out.collect())
+    # the 00:03 window stays open (nothing moves the watermark past 00:04)
+    assert got == [("00:00", 2, 12.0), ("00:01", 1, 1.0)]

@@ -17,7 +17,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -62,11 +62,13 @@ def co_purchase(details: DataFrame, distinct_per_order: bool = False,
                              F.col("w").alias("wb"))
         pairs = left.join(right, "order_id")
     else:
-        # basket size per order on the order-partitioned items; both join sides
-        # read the same shuffle output (Spark reuses the exchange)
-        n = F.count(F.lit(1)).over(Window.partitionBy("order_id"))
-        salted = items.withColumn(
-            "buckets", F.greatest(F.lit(1), F.ceil(n / F.lit(split_above))).cast("int"))
+        # basket size per order: a partial aggregate (a hot order collapses
+        # map-side) joined back; unlike a window, a skewed join partition can
+        # be split by AQE
+        sizes = items.groupBy("order_id").agg(
+            F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(split_above)))
+            .cast("int").alias("buckets"))
+        salted = items.join(sizes, "order_id")
         left = salted.select(
             "order_id", F.col("product_id").alias("product_a"), F.col("w").alias("wa"),
             F.pmod(F.xxhash64("product_id"), F.col("buckets")).cast("int").alias("salt"))

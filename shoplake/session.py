@@ -28,6 +28,28 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 128 * 1024 * 1024) -> dict:
+    """Shuffle and scan sizing for a cluster run.
+
+    The initial shuffle partition count is sized so a partition of the
+    largest input is about ``target_partition_bytes`` (and at least three
+    waves of tasks); AQE then coalesces small partitions toward the advisory
+    size and splits skewed join partitions.  Scans read
+    ``maxPartitionBytes`` per task.
+    """
+    by_size = -(-input_bytes // target_partition_bytes)
+    partitions = max(3 * total_cores, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "shoplake", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)

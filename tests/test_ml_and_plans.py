@@ -104,3 +104,26 @@ def test_salting_equals_plain_on_testdata(spark):
     assert a.count() == 0
     p = B.dim_product(spark, SF_SMALL)
     assert products.category_sales(d, p, orders=clean.valid_orders(B.fact_order(spark, SF_SMALL))).count() > 0
+
+
+def test_bucketed_lake_join_has_no_shuffle(spark):
+    from shoplake.operators import ml as mlops
+    from shoplake.sources import snapshot
+    root = tempfile.mkdtemp(prefix="shoplake-bucket-")
+    snapshot.save_bucketed(B.fact_order(spark, SF_SMALL), "b_orders", "order_id", 8, f"{root}/o")
+    snapshot.save_bucketed(B.fact_order_detail(spark, SF_SMALL), "b_lines", "order_id", 8, f"{root}/l")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = mlops.ratings(spark.table("b_lines"), spark.table("b_orders"))
+        plan = r._jdf.queryExecution().executedPlan().toString()
+        join_part = plan[plan.index("SortMergeJoin"):]
+        assert "Exchange hashpartitioning(order_id" not in join_part
+        assert r.count() == E.queries()["ratings"](spark, SF_SMALL).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+
+
+def test_scale_conf():
+    from shoplake.session import scale_conf
+    conf = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) >= 800_000

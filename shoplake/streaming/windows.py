@@ -43,7 +43,13 @@ def event_time(df: DataFrame, col: str, fmt: str | None = None) -> Column:
 
 def with_event_time(df: DataFrame, col: str, delay: str | None = None,
                     out: str = "event_time") -> DataFrame:
-    """P11 + X1: add the event-time column and, for streams, the watermark."""
+    """P11 + X1: add the event-time column and, for streams, the watermark.
+
+    Without a watermark a TIMESTAMP_NTZ column is windowed as it is, so batch
+    results never depend on the session time zone.
+    """
+    if delay is None and isinstance(df.schema[col].dataType, TimestampNTZType):
+        return df.withColumn(out, F.col(col))
     df = df.withColumn(out, event_time(df, col))
     return df.withWatermark(out, delay) if delay else df
 

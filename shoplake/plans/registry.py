@@ -401,3 +401,5 @@ register("json_decode", with_ctes("SELECT log_id, product_id FROM ods_user_behav
     .select("log_id", F.col("k").alias("product_id")))
 register("behavior_uv_pv_stream", with_ctes(UV_PV))(
     lambda s, d: sio.replay_uv_pv(s, B.user_behavior(s, d)))
+register("order_window_totals_stream", ORACLE_SQL["order_window_totals"])(
+    lambda s, d: sio.replay_order_totals(s, B.fact_order(s, d)))

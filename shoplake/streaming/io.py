@@ -13,7 +13,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 from shoplake.functions.labels import WATERMARK_DELAY, WINDOW_DURATION
 from shoplake.schemas import BEHAVIOR_EVENT, ORDER_EVENT, STREAM_TIMESTAMP_FORMAT
 from shoplake.session import shared_dir
-from shoplake.streaming.windows import behavior_uv_pv
+from shoplake.streaming.windows import behavior_uv_pv, order_window_totals
 
 BEHAVIOR_TOPIC = "user-behavior-log"
 ORDER_TOPIC = "order-stream"
@@ -118,31 +118,29 @@ def _write_slices(events: DataFrame, src: str, time_col: str, slices: int,
          .write.mode("append").parquet(src))
 
 
-def replay_uv_pv(spark: SparkSession, events: DataFrame, time_col: str = "behavior_time",
-                 window: str = WINDOW_DURATION, delay: str = WATERMARK_DELAY,
-                 slices: int = 3, files_per_slice: int = 2,
-                 columns: Sequence[str] = ("log_id", "user_id", "product_id", "behavior_type"),
-                 work_dir: str | None = None) -> DataFrame:
-    """Run the streaming UV/PV query over a whole events table; return its output.
+def replay(spark: SparkSession, table: DataFrame, time_col: str,
+           query: Callable[[DataFrame], DataFrame], sentinel: dict | None = None,
+           slices: int = 3, files_per_slice: int = 2, fmt: str = "parquet",
+           name: str = "replay", work_dir: str | None = None) -> DataFrame:
+    """Run a streaming ``query`` over a whole static table; return what it emitted.
 
-    The events keep their original columns; the sentinel row sits in a window
-    of its own that stays open, so it never appears in the result.
+    ``query`` receives the streaming frame and must put its own watermark on
+    ``time_col``.  ``sentinel`` gives column values for one extra row at
+    ``SENTINEL_TIME``; it moves the watermark past every real window and sits
+    in a window of its own that stays open, so it is never emitted.
     """
-    base = work_dir or shared_dir(spark, "uvpv-replay")
+    base = work_dir or shared_dir(spark, name)
     src, out, ckpt = f"{base}/source", f"{base}/output", f"{base}/checkpoint"
-    cols = list(columns) + [time_col]
-    events = events.select(*cols)
-    _write_slices(events, src, time_col, slices, files_per_slice)
-    schema = events.schema
-    sentinel = spark.range(1).select(
-        *[(F.lit("~sentinel") if c == "behavior_type" else F.lit(None))
-          .cast(schema[c].dataType).alias(c) for c in columns],
-        F.lit(SENTINEL_TIME).cast(schema[time_col].dataType).alias(time_col))
-    sentinel.write.mode("append").parquet(src)
+    _write_slices(table, src, time_col, slices, files_per_slice)
+    schema = table.schema
+    values = dict(sentinel or {})
+    (spark.range(1).select(*[
+        (F.lit(SENTINEL_TIME) if c == time_col else F.lit(values.get(c)))
+        .cast(schema[c].dataType).alias(c) for c in table.columns])
+     .write.mode("append").parquet(src))
 
     stream = file_stream(spark, src, schema, "parquet", max_files_per_trigger=files_per_slice)
-    result = behavior_uv_pv(stream, time_col, window, delay)
-    q = start_file_sink(result, out, ckpt, fmt="parquet", available_now=True)
+    q = start_file_sink(query(stream), out, ckpt, fmt=fmt, available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
@@ -150,6 +148,26 @@ def replay_uv_pv(spark: SparkSession, events: DataFrame, time_col: str = "behavi
                   for p in q.recentProgress for op in p.get("stateOperators", []))
     if dropped:
         raise RuntimeError(f"replay dropped {dropped} rows as late: slices out of order")
-    return (spark.read.parquet(out)
-            .select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                    "behavior_type", "uv", "pv"))
+    return spark.read.format(fmt).schema(query(table).schema).load(out)
+
+
+def replay_uv_pv(spark: SparkSession, events: DataFrame, time_col: str = "behavior_time",
+                 window: str = WINDOW_DURATION, delay: str = WATERMARK_DELAY,
+                 columns: Sequence[str] = ("log_id", "user_id", "product_id", "behavior_type"),
+                 **kw) -> DataFrame:
+    """X1 + X2 streamed: UV/PV per window over a whole events table."""
+    table = events.select(*columns, time_col)
+    return replay(spark, table, time_col,
+                  lambda df: behavior_uv_pv(df, time_col, window, delay),
+                  sentinel={"behavior_type": "~sentinel"}, name="uvpv-replay", **kw)
+
+
+def replay_order_totals(spark: SparkSession, orders: DataFrame, time_col: str = "order_time",
+                        window: str = WINDOW_DURATION, delay: str = WATERMARK_DELAY,
+                        statuses: Sequence[str] | None = None, **kw) -> DataFrame:
+    """X1 + X3 + K3 streamed: order totals per window written as JSON files."""
+    table = orders.select("order_id", "order_status", "actual_amount", time_col)
+    return replay(spark, table, time_col,
+                  lambda df: order_window_totals(df, time_col, window, delay, statuses),
+                  sentinel={"order_status": "~sentinel"}, fmt="json",
+                  name="order-totals-replay", **kw)

@@ -57,10 +57,16 @@ def rating_stats(r: DataFrame) -> DataFrame:
                  F.count_distinct("product_id").alias("products"))
 
 
+def train_flag(cols: Sequence[str], train_pct: int = 80, seed: int = 42):
+    """True for the ``train_pct`` percent of rows chosen by a hash of ``cols``."""
+    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(100))
+    return bucket < train_pct
+
+
 def hash_split(df: DataFrame, cols: Sequence[str], train_pct: int = 80, seed: int = 42):
     """M1: deterministic train/test split by a hash of ``cols``."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(100))
-    return df.where(bucket < train_pct), df.where(bucket >= train_pct)
+    flag = train_flag(cols, train_pct, seed)
+    return df.where(flag), df.where(~flag)
 
 
 def _als_input(r: DataFrame) -> DataFrame:
@@ -69,9 +75,13 @@ def _als_input(r: DataFrame) -> DataFrame:
                     F.col("product_id").cast("int").alias("product_id"), "rating")
 
 
-def als_estimator(implicit: bool = False, **params):
+def als_estimator(implicit: bool = False, blocks: int | None = None, **params):
+    """ALS with the reference parameters; user/item blocks follow the cluster size."""
     from pyspark.ml.recommendation import ALS
-    p = dict(ALS_PARAMS)
+    from pyspark.sql import SparkSession as _S
+    if blocks is None:
+        blocks = max(2, _S.active().sparkContext.defaultParallelism)
+    p = dict(ALS_PARAMS, numUserBlocks=blocks, numItemBlocks=blocks)
     p.update(params)
     return ALS(userCol="user_id", itemCol="product_id", ratingCol="rating",
                implicitPrefs=implicit, coldStartStrategy="drop", **p)
@@ -83,9 +93,13 @@ def als_fit_evaluate(r: DataFrame, implicit: bool = False, train_pct: int = 80,
     Returns ``(model, train_rows, test_rows, rmse)``.
     """
     from pyspark.ml.evaluation import RegressionEvaluator
-    train, test = hash_split(_als_input(r), ["user_id", "product_id"], train_pct)
-    with persisted(train, test):
-        n_train, n_test = train.count(), test.count()
+    split = _als_input(r).withColumn("is_train", train_flag(["user_id", "product_id"], train_pct))
+    with persisted(split):
+        counts = split.agg(F.count_if("is_train").alias("tr"),
+                           F.count_if(~F.col("is_train")).alias("te")).first()
+        n_train, n_test = counts["tr"], counts["te"]
+        train = split.where("is_train").drop("is_train")
+        test = split.where(~F.col("is_train")).drop("is_train")
         model = als_estimator(implicit, **params).fit(train)
         pred = model.transform(test)
         rmse = RegressionEvaluator(metricName="rmse", labelCol="rating",
@@ -102,11 +116,15 @@ def als_rmse(spark: SparkSession, r: DataFrame, implicit: bool = False, **params
 
 def als_top_k(r: DataFrame, products: DataFrame, k: int = ALS_TOP_K, implicit: bool = False,
               model=None, **params) -> DataFrame:
-    """M4 + M5 + J6: top-k products per rated user with names and rounded scores."""
+    """M4 + M5 + J6: top-k products per rated user with names and rounded scores.
+
+    Every user with a rating in the training split gets k products (users
+    seen only in the test split are cold starts and get none, as with the
+    reference's subset call over all rated users).
+    """
     if model is None:
         model, _, _, _ = als_fit_evaluate(r, implicit, **params)
-    users = _als_input(r).select("user_id").distinct()
-    recs = (model.recommendForUserSubset(users, k)
+    recs = (model.recommendForAllUsers(k)
             .select("user_id", F.explode("recommendations").alias("rec"))
             .select("user_id", F.col("rec.product_id").alias("product_id"),
                     F.round(F.col("rec.rating").cast("double"), 4).alias("score")))

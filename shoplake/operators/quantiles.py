@@ -25,17 +25,21 @@ def quantile_name(measure: str, p: float) -> str:
     return f"{measure}_q{round(p * 100):02d}"
 
 
+MAX_RANGES = 4096
+
+
 def exact_quantiles(df: DataFrame, measures: Mapping[str, Column | str],
                     probs: Sequence[float], num_ranges: int | None = None) -> DataFrame:
     """One row with a column ``<measure>_q<pp>`` per measure and probability.
 
     ``num_ranges`` is the number of range partitions of the distinct values
-    (default: ``spark.sql.shuffle.partitions``).  NULL values are ignored; a
-    measure with no values gives NULL.
+    (default: ``spark.sql.shuffle.partitions``, at most ``MAX_RANGES``), which
+    bounds the broadcast offset table to ``num_ranges * len(measures)`` rows.
+    NULL values are ignored; a measure with no values gives NULL.
     """
     spark = df.sparkSession
     if num_ranges is None:
-        num_ranges = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        num_ranges = min(MAX_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     names = list(measures)
     cells = F.array(*[F.struct(F.lit(n).alias("m"), (F.col(c) if isinstance(c, str) else c)
                                .cast("double").alias("v")) for n, c in measures.items()])

@@ -187,3 +187,52 @@ def test_city_stats_rounding(spark):
     r = users.city_stats(u).first()
     assert (r.user_cnt, r.avg_age, r.avg_vip) == (3, 21, 1.67)
     assert isinstance(users.city_stats(u).schema["avg_vip"].dataType, DoubleType)
+
+
+def test_option_paths(spark):
+    from conftest import SF_SMALL
+    from shoplake.sources import bindings as B
+    from shoplake.streaming.windows import behavior_uv_pv
+    ev = B.user_behavior(spark, SF_SMALL)
+    exact = {(r.window_start, r.behavior_type): (r.uv, r.pv) for r in behavior_uv_pv(ev).collect()}
+    approx = {(r.window_start, r.behavior_type): (r.uv, r.pv)
+              for r in behavior_uv_pv(ev, exact=False).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(exact[k][1] == approx[k][1] for k in exact)  # pv exact either way
+
+    dwd = clean.dwd_order(B.fact_order(spark, SF_SMALL))
+    base = users.rfm_base(dwd, as_of="2001-08-02")
+    ex = users.rfm_thresholds(base).first()
+    ap = users.rfm_thresholds(base, exact=False).first()
+    assert abs(ex.f_q66 - ap.f_q66) <= 1.0
+
+    u = B.dim_user(spark, SF_SMALL)
+    buyers = {r.register_month: r for r in users.cohort_conversion(dwd, u).collect()}
+    everyone = {r.register_month: r for r in users.cohort_conversion(dwd, u, "all_users").collect()}
+    assert sum(r.registered_users for r in everyone.values()) == u.count()
+    for m, r in buyers.items():
+        if m is not None:
+            assert everyone[m].first_month_buyers == r.first_month_buyers
+            assert everyone[m].registered_users >= r.registered_users
+
+
+def test_order_feed_fallback_and_samples(spark):
+    schema = "order_id long, product_id long, actual_amount double"
+    o = spark.createDataFrame([(1, 1, 10.0), (2, 1, 5.0), (3, 2, 1.0), (4, 9, 2.0)], schema)
+    p = spark.createDataFrame([(1, "a", "C1", "B", 1.0, 0.5, 1, None, None),
+                               (2, "b", "C2", "B", 1.0, 0.5, 1, None, None)], DIM_PRODUCT)
+    got = {r.category: (r.product_cnt, r.order_cnt, r.total_gmv)
+           for r in products.category_order_sales(o, p).collect()}
+    assert got == {"C1": (1, 2, 15.0), "C2": (1, 1, 1.0), None: (1, 1, 2.0)}
+    from shoplake.operators import ml
+    recs = spark.createDataFrame([(u, i, 1.0 / i) for u in (5, 3, 9, 7) for i in (1, 2)],
+                                 "user_id int, product_id int, score double")
+    sample = ml.sample_recommendations(recs, 2)
+    assert sorted({r.user_id for r in sample.collect()}) == [3, 5] and sample.count() == 4
+
+
+def test_reconciliation(spark):
+    d = spark.createDataFrame([(1, 1, 1, 2, 5.0, 10.0, None), (2, 1, 2, 3, 1.0, 7.5, None)],
+                              FACT_ORDER_DETAIL)
+    bad = quality.detail_reconciliation(d).collect()
+    assert [r.detail_id for r in bad] == [2] and bad[0].expected_subtotal == 3.0

@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplake.functions.columns import money_avg, money_sum, month_key, percent, to_money
+from shoplake.functions.columns import (money_avg, money_sum, month_key, percent, to_date_safe,
+                                       to_money)
 from shoplake.functions.labels import (ORDER_COUNT, PURCHASE_BUCKETS, RECENCY_DAYS,
                                        RFM_DEFAULT_LABEL, RFM_LABEL_RULES, SPEND,
                                        TERCILE_PROBS, TIER_CUTOFFS, TIER_LABELS)
@@ -216,6 +217,10 @@ def bucket_order(labels=PURCHASE_BUCKETS) -> Column:
     return out.otherwise(len(labels))
 
 
+def _register_month(users: DataFrame) -> Column:
+    return month_key(to_date_safe("register_date", users.schema["register_date"].dataType))
+
+
 def first_order(dwd: DataFrame, users: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """First order date and month per user, with the registration month.
 
@@ -223,7 +228,7 @@ def first_order(dwd: DataFrame, users: DataFrame, broadcast: bool | None = None)
     one row per user.
     """
     firsts = dwd.groupBy("user_id").agg(F.min("order_date").alias("first_order_date"))
-    regs = users.select("user_id", month_key("register_date").alias("register_month"))
+    regs = users.select("user_id", _register_month(users).alias("register_month"))
     return (dim_join(firsts, regs, "user_id", broadcast=broadcast)
             .select("user_id", "register_month", "first_order_date",
                     month_key("first_order_date").alias("first_order_month")))
@@ -242,7 +247,7 @@ def cohort_conversion(dwd: DataFrame, users: DataFrame, denominator: str = "buye
         F.count("user_id").alias("registered_users"),
         F.count(F.when(converted, F.col("user_id"))).alias("first_month_buyers"))
     if denominator == "all_users":
-        regs = (users.groupBy(month_key("register_date").alias("register_month"))
+        regs = (users.groupBy(_register_month(users).alias("register_month"))
                 .agg(F.count("user_id").alias("registered_users")))
         per_month = (regs.join(per_month.drop("registered_users"), "register_month", "left")
                      .fillna(0, ["first_month_buyers"]))

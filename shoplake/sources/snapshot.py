@@ -36,6 +36,12 @@ def read_snapshot(spark: SparkSession, root: str, table: str, snapshot_date: str
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+def lake_tables(spark: SparkSession, root: str, snapshot_date: str,
+                fmt: str = "tsv") -> dict[str, DataFrame]:
+    """All five business tables from one snapshot date (input for ``run_job``)."""
+    return {t: read_snapshot(spark, root, t, snapshot_date, fmt=fmt) for t in TABLES}
+
+
 def snapshot_project(df: DataFrame, datetime_format: str = DATETIME_FORMAT,
                      money_as_double: bool = True) -> DataFrame:
     """project to lake types: datetimes as text, DECIMAL money as DOUBLE."""

@@ -4,11 +4,11 @@
   connector jar must be on the classpath; it is not in this environment).
 * ``parse_json_values`` turns any frame with a ``value`` column (Kafka
   binary, or text lines from a file source) into typed rows.
-* ``replay_uv_pv`` feeds a table of events through the streaming UV/PV
-  query with ``availableNow``: the events are copied to the shared folder in
-  event-time slices written one after another (so file modification order is
-  event-time order), one micro-batch per slice, plus a far-future sentinel
-  row whose only purpose is to move the watermark past every real window.
+* ``replay`` feeds a whole table through a streaming query: the rows are
+  appended to the shared folder in event-time slices and the query runs with
+  ``availableNow`` after each slice on one checkpoint, then once more after a
+  far-future sentinel row whose only purpose is to move the watermark past
+  every real window.
 """
 
 from __future__ import annotations
@@ -103,51 +103,72 @@ def start_console_sink(df: DataFrame, output_mode: str = "append", truncate: boo
             .option("truncate", str(truncate).lower()).start())
 
 
-def _write_slices(events: DataFrame, src: str, time_col: str, slices: int,
-                  files_per_slice: int) -> None:
+def _slice_bounds(table: DataFrame, time_col: str, min_slices: int,
+                  rows_per_slice: int, rows_per_file: int):
+    """Event-time cut points for slices of about equal row count, and files per slice."""
     t_us = F.unix_micros(F.col(time_col).cast("timestamp"))
-    bounds = events.agg(F.min(t_us).alias("lo"), F.max(t_us).alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    if lo is None:
-        return
-    step = max(1, (hi - lo + slices) // slices)
-    for i in range(slices):
-        cond = (t_us >= F.lit(lo + step * i)) & (t_us < F.lit(lo + step * (i + 1)))
-        # one write job per slice, in event-time order: file mtimes follow event time
-        (events.where(cond).repartition(files_per_slice)
-         .write.mode("append").parquet(src))
+    stats = table.agg(F.count(F.lit(1)).alias("n"), F.min(t_us).alias("lo"),
+                      F.max(t_us).alias("hi")).first()
+    n, lo, hi = stats["n"], stats["lo"], stats["hi"]
+    if not n or lo is None:
+        return t_us, [], 1
+    slices = max(min_slices, -(-n // rows_per_slice))
+    files = max(1, -(-n // (slices * rows_per_file)))
+    probs = [k / slices for k in range(1, slices)]
+    cuts = (table.agg(F.percentile_approx(t_us, probs, 10000).alias("q")).first()["q"]
+            if probs else [])
+    return t_us, sorted({lo, *[int(c) for c in cuts], hi + 1}), files
 
 
 def replay(spark: SparkSession, table: DataFrame, time_col: str,
            query: Callable[[DataFrame], DataFrame], sentinel: dict | None = None,
-           slices: int = 3, files_per_slice: int = 2, fmt: str = "parquet",
+           min_slices: int = 2, rows_per_slice: int = 200_000_000,
+           rows_per_file: int = 2_000_000, fmt: str = "parquet",
            name: str = "replay", work_dir: str | None = None) -> DataFrame:
     """Run a streaming ``query`` over a whole static table; return what it emitted.
 
+    The table is appended to a source folder in event-time slices of about
+    ``rows_per_slice`` rows (at least ``min_slices``); after each slice the
+    query runs with ``availableNow`` on one checkpoint, so every run consumes
+    exactly the new slice and resumes state and watermark from the checkpoint
+    (the restart path a failed driver takes).  State per run stays bounded as
+    the table grows; files hold about ``rows_per_file`` rows, so each run is
+    read by many tasks.
+
     ``query`` receives the streaming frame and must put its own watermark on
-    ``time_col``.  ``sentinel`` gives column values for one extra row at
+    ``time_col``.  ``sentinel`` gives column values for one last row at
     ``SENTINEL_TIME``; it moves the watermark past every real window and sits
     in a window of its own that stays open, so it is never emitted.
     """
     base = work_dir or shared_dir(spark, name)
     src, out, ckpt = f"{base}/source", f"{base}/output", f"{base}/checkpoint"
-    _write_slices(table, src, time_col, slices, files_per_slice)
     schema = table.schema
+    dropped = 0
+
+    def run_available() -> None:
+        nonlocal dropped
+        stream = file_stream(spark, src, schema, "parquet")
+        q = start_file_sink(query(stream), out, ckpt, fmt=fmt, available_now=True)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        dropped += sum(op.get("numRowsDroppedByWatermark", 0)
+                       for p in q.recentProgress for op in p.get("stateOperators", []))
+
+    t_us, bounds, files = _slice_bounds(table, time_col, min_slices, rows_per_slice,
+                                        rows_per_file)
+    for a, b in zip(bounds, bounds[1:]):
+        (table.where((t_us >= F.lit(a)) & (t_us < F.lit(b))).repartition(files)
+         .write.mode("append").parquet(src))
+        run_available()
     values = dict(sentinel or {})
     (spark.range(1).select(*[
         (F.lit(SENTINEL_TIME) if c == time_col else F.lit(values.get(c)))
         .cast(schema[c].dataType).alias(c) for c in table.columns])
      .write.mode("append").parquet(src))
-
-    stream = file_stream(spark, src, schema, "parquet", max_files_per_trigger=files_per_slice)
-    q = start_file_sink(query(stream), out, ckpt, fmt=fmt, available_now=True)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
-                  for p in q.recentProgress for op in p.get("stateOperators", []))
+    run_available()
     if dropped:
-        raise RuntimeError(f"replay dropped {dropped} rows as late: slices out of order")
+        raise RuntimeError(f"replay dropped {dropped} rows as late")
     return spark.read.format(fmt).schema(query(table).schema).load(out)
 
 

@@ -82,13 +82,16 @@ def co_purchase(details: DataFrame, distinct_per_order: bool = False,
 
 
 def top_co_purchase(details: DataFrame, products: DataFrame, k: int = 10,
-                    distinct_per_order: bool = False) -> DataFrame:
+                    distinct_per_order: bool = False, pairs: DataFrame | None = None) -> DataFrame:
     """T4 + J5: the k most co-purchased pairs with both product names.
 
     The k-row top list is the broadcast side (a size bound by construction);
-    the product table is only scanned, never shuffled.
+    the product table is only scanned, never shuffled.  Pass ``pairs`` (a
+    ``co_purchase`` result) to reuse an already computed pair table.
     """
-    top = (co_purchase(details, distinct_per_order)
+    if pairs is None:
+        pairs = co_purchase(details, distinct_per_order)
+    top = (pairs
            .orderBy(F.col("co_count").desc(), F.col("product_a").asc(), F.col("product_b").asc())
            .limit(k))
     names_a = products.select(F.col("product_id").alias("_pa"), F.col("product_name").alias("name_a"))

@@ -39,7 +39,10 @@ def _emit(results: dict[str, DataFrame], out: str | None) -> dict[str, str]:
     return written
 
 
-def etl_results(t: Tables, dwd: DataFrame, as_of=None) -> dict[str, DataFrame]:
+Results = tuple[dict[str, DataFrame], list[DataFrame]]
+
+
+def etl_results(t: Tables, dwd: DataFrame, as_of=None) -> Results:
     rfm = users.rfm_fixed(dwd, as_of=as_of)
     return {
         "daily_trade": trade.daily_trade(dwd).orderBy("order_date"),
@@ -50,10 +53,10 @@ def etl_results(t: Tables, dwd: DataFrame, as_of=None) -> dict[str, DataFrame]:
         "tier_summary": users.tier_summary(rfm).orderBy(F.col("user_cnt").desc()),
         "top_high_value_users": users.top_high_value_users(rfm),
         "kpi_dashboard": trade.kpi_dashboard(dwd),
-    }
+    }, [rfm]
 
 
-def user_results(t: Tables, dwd: DataFrame, as_of=None) -> dict[str, DataFrame]:
+def user_results(t: Tables, dwd: DataFrame, as_of=None) -> Results:
     base = users.rfm_base(dwd, as_of=as_of)
     scored = users.rfm_tercile(base)
     return {
@@ -64,22 +67,23 @@ def user_results(t: Tables, dwd: DataFrame, as_of=None) -> dict[str, DataFrame]:
         "rfm_summary": users.rfm_summary(scored).orderBy(F.col("user_cnt").desc()),
         "repurchase_dist": users.repurchase_dist(base).orderBy(users.bucket_order()),
         "cohort_conversion": users.cohort_conversion(dwd, t["dim_user"]).orderBy("register_month"),
-    }
+    }, [base, scored]
 
 
-def product_results(t: Tables, dwd: DataFrame, as_of=None) -> dict[str, DataFrame]:
+def product_results(t: Tables, dwd: DataFrame, as_of=None) -> Results:
     d, p = t["fact_order_detail"], t["dim_product"]
+    pairs = baskets.co_purchase(d)
     return {
         "category_ranking": products.category_sales(d, p).orderBy(F.col("total_gmv").desc()),
         "brand_top3": products.brand_top3(d, p).orderBy("category", "brand_rank"),
-        "co_occurrence": baskets.co_purchase(d),
-        "top_co_purchase": baskets.top_co_purchase(d, p),
+        "co_occurrence": pairs,
+        "top_co_purchase": baskets.top_co_purchase(d, p, pairs=pairs),
         "top_margin_products": products.high_profit_top(p).orderBy("profit_rank"),
         "price_distribution": products.price_distribution(p).orderBy(F.col("product_cnt").desc()),
-    }
+    }, [pairs]
 
 
-def ml_results(t: Tables, dwd: DataFrame, as_of=None) -> dict[str, DataFrame]:
+def ml_results(t: Tables, dwd: DataFrame, as_of=None) -> Results:
     spark = dwd.sparkSession
     r = ml.ratings(t["fact_order_detail"], t["fact_order"])
     model, n_train, n_test, rmse = ml.als_fit_evaluate(r)
@@ -90,10 +94,11 @@ def ml_results(t: Tables, dwd: DataFrame, as_of=None) -> dict[str, DataFrame]:
         "user_top5_recs": ml.als_top_k(r, t["dim_product"], model=model),
         "user_clusters": clusters,
         "cluster_summary": ml.cluster_summary(clusters).orderBy("cluster"),
-    }
+    }, [clusters]
 
 
-JOBS: dict[str, Callable[[Tables, DataFrame, object], dict[str, DataFrame]]] = {
+# each job returns its results and the intermediate frames several results read
+JOBS: dict[str, Callable[[Tables, DataFrame, object], Results]] = {
     "etl": etl_results, "user": user_results, "product": product_results, "ml": ml_results,
 }
 
@@ -117,5 +122,7 @@ def run_job(spark: SparkSession, name: str, tables: Tables, out: str | None = No
     written: dict[str, str] = {}
     with persisted(dwd):
         for job in names:
-            written.update(_emit(JOBS[job](tables, dwd, as_of), out))
+            results, reused = JOBS[job](tables, dwd, as_of)
+            with persisted(*reused):
+                written.update(_emit(results, out))
     return written

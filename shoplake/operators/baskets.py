@@ -64,9 +64,10 @@ def co_purchase(details: DataFrame, distinct_per_order: bool = False,
     else:
         # basket size per order: a partial aggregate (a hot order collapses
         # map-side) joined back; unlike a window, a skewed join partition can
-        # be split by AQE
+        # be split by AQE.  Counting rows with ``w > 0`` (all of them) keeps this branch
+        # input identical to the join sides', so all three share one shuffle.
         sizes = items.groupBy("order_id").agg(
-            F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(split_above)))
+            F.greatest(F.lit(1), F.ceil(F.count_if(F.col("w") > 0) / F.lit(split_above)))
             .cast("int").alias("buckets"))
         salted = items.join(sizes, "order_id")
         left = salted.select(

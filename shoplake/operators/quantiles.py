@@ -9,8 +9,11 @@ size is bounded by the number of range partitions times the number of
 measures.  Only the rows that hold the two ranks around each requested
 position survive to the final aggregate.
 
-The interpolation is ``lo + (hi - lo) * (pos - floor(pos))`` with
-``pos = p * (n - 1)``: the definition of ``percentile`` / ``quantile_cont``.
+The position is ``pos = p * (n - 1)`` and the value interpolates linearly
+between the order statistics around it, with weight ``t = pos - floor(pos)``,
+evaluated as numpy / pandas do it (``lo + (hi - lo) * t`` for ``t < 0.5``,
+else ``hi - (hi - lo) * (1 - t)``), so thresholds equal the reference's
+``quantile`` to the last bit.
 """
 
 from __future__ import annotations
@@ -75,8 +78,10 @@ def exact_quantiles(df: DataFrame, measures: Mapping[str, Column | str],
              .agg(F.max(F.when(hit0, F.col("v"))).alias("v0"),
                   F.max(F.when(hit1, F.col("v"))).alias("v1"),
                   F.max("pos").alias("pos"))
-             .select("m", "p", (F.col("v0") + (F.col("v1") - F.col("v0"))
-                                * (F.col("pos") - F.floor("pos"))).alias("q")))
+             .withColumn("t", F.col("pos") - F.floor("pos"))
+             .select("m", "p", F.when(F.col("t") >= 0.5,
+                                      F.col("v1") - (F.col("v1") - F.col("v0")) * (1 - F.col("t")))
+                     .otherwise(F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("t")).alias("q")))
     out = []
     for n in names:
         for p in probs:

@@ -179,14 +179,26 @@ RFM_BASE = (
     "FROM dwd GROUP BY user_id")
 
 
-def _q(col, p):
-    return f"CAST(quantile_cont(CAST({col} AS DOUBLE), {p}) AS DOUBLE)"
-
-
-RFM_THRESH = (
-    f"SELECT {_q('recency', 0.33)} AS r_q33, {_q('recency', 0.66)} AS r_q66, "
-    f"{_q('frequency', 0.33)} AS f_q33, {_q('frequency', 0.66)} AS f_q66, "
-    f"{_q('monetary', 0.33)} AS m_q33, {_q('monetary', 0.66)} AS m_q66 FROM base")
+# Quantiles spelled out: order statistics by ROW_NUMBER and the pandas interpolation.
+RFM_LONG = (
+    "SELECT 'r' AS m, CAST(recency AS DOUBLE) AS x FROM base WHERE recency IS NOT NULL "
+    "UNION ALL SELECT 'f', CAST(frequency AS DOUBLE) FROM base WHERE frequency IS NOT NULL "
+    "UNION ALL SELECT 'm', CAST(monetary AS DOUBLE) FROM base WHERE monetary IS NOT NULL")
+RFM_RANKED = "SELECT m, x, ROW_NUMBER() OVER (PARTITION BY m ORDER BY x) - 1 AS i FROM lng"
+RFM_POS = (
+    "SELECT m, k, pos - FLOOR(pos) AS t, CAST(FLOOR(pos) AS BIGINT) AS f, "
+    "CAST(CEIL(pos) AS BIGINT) AS c FROM (SELECT l.m, ps.k, "
+    "CAST(ps.p AS DOUBLE) * CAST(COUNT(*) - 1 AS DOUBLE) AS pos FROM lng l, "
+    "(VALUES ('q33', 0.33), ('q66', 0.66)) ps(k, p) GROUP BY l.m, ps.k, ps.p)")
+RFM_Q = (
+    "SELECT m, k, CASE WHEN t >= 0.5 THEN hi - (hi - lo) * (1 - t) ELSE lo + (hi - lo) * t END AS q "
+    "FROM (SELECT s.m, s.k, s.t, MAX(CASE WHEN r.i = s.f THEN r.x END) AS lo, "
+    "MAX(CASE WHEN r.i = s.c THEN r.x END) AS hi FROM pos s JOIN rk r "
+    "ON r.m = s.m AND (r.i = s.f OR r.i = s.c) GROUP BY s.m, s.k, s.t)")
+RFM_THRESH = "SELECT " + ", ".join(
+    f"MAX(CASE WHEN m = '{m}' AND k = '{k}' THEN q END) AS {m}_{k}"
+    for m in "rfm" for k in ("q33", "q66")) + " FROM qs"
+RFM_TH_CTES = dict(lng=RFM_LONG, rk=RFM_RANKED, pos=RFM_POS, qs=RFM_Q, th=RFM_THRESH)
 RFM_SCORED = (
     "SELECT user_id, frequency, monetary, last_order_date, recency, "
     "CAST(CASE WHEN recency <= r_q33 THEN 3 WHEN recency <= r_q66 THEN 2 ELSE 1 END AS INT) AS r_score, "
@@ -203,7 +215,7 @@ RFM_LABELLED = (
     "WHEN r_score <= 2 AND f_score >= 2 AND m_score <= 1 THEN 'general_retain' "
     "WHEN r_score <= 2 AND f_score <= 1 AND m_score <= 1 THEN 'lost' "
     "ELSE 'new' END AS rfm_label FROM sc")
-TERCILE_CTES = dict(dwd=DWD, base=RFM_BASE, th=RFM_THRESH, sc=RFM_SCORED, lab=RFM_LABELLED)
+TERCILE_CTES = dict(dwd=DWD, base=RFM_BASE, **RFM_TH_CTES, sc=RFM_SCORED, lab=RFM_LABELLED)
 
 
 def _rfm_base(s, d):
@@ -215,7 +227,7 @@ def _rfm_tercile(s, d):
 
 
 register("rfm_base", with_ctes("SELECT * FROM base", dwd=DWD, base=RFM_BASE))(_rfm_base)
-register("rfm_thresholds", with_ctes("SELECT * FROM th", dwd=DWD, base=RFM_BASE, th=RFM_THRESH))(
+register("rfm_thresholds", with_ctes("SELECT * FROM th", dwd=DWD, base=RFM_BASE, **RFM_TH_CTES))(
     lambda s, d: users.rfm_thresholds(_rfm_base(s, d)))
 register("rfm_tercile", with_ctes("SELECT * FROM lab", **TERCILE_CTES))(_rfm_tercile)
 register("rfm_summary", with_ctes(

@@ -236,3 +236,21 @@ def test_reconciliation(spark):
                               FACT_ORDER_DETAIL)
     bad = quality.detail_reconciliation(d).collect()
     assert [r.detail_id for r in bad] == [2] and bad[0].expected_subtotal == 3.0
+
+
+def test_exact_quantiles_equal_pandas_bitwise(spark):
+    import random
+
+    import pandas as pd
+
+    from shoplake.operators.quantiles import exact_quantiles
+    rnd = random.Random(3)
+    for trial in range(6):
+        n = rnd.randint(3, 400)
+        xs = [round(rnd.uniform(0, 3e6), 2) for _ in range(n)]
+        ys = [rnd.randint(1, 20) for _ in range(n)]
+        df = spark.createDataFrame(list(zip(xs, ys)), "x double, y long")
+        got = exact_quantiles(df, {"x": "x", "y": "y"}, [0.33, 0.66], num_ranges=5).first()
+        for col, vals in (("x", xs), ("y", ys)):
+            ref = pd.Series(vals, dtype="float64").quantile([0.33, 0.66])
+            assert got[f"{col}_q33"] == ref.iloc[0] and got[f"{col}_q66"] == ref.iloc[1]

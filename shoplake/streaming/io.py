@@ -97,6 +97,12 @@ def start_file_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "json"
     return w.start()
 
 
+def dropped_late_rows(query) -> int:
+    """Rows a streaming query dropped as later than its watermark (all progress so far)."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in query.recentProgress for op in p.get("stateOperators", []))
+
+
 def start_console_sink(df: DataFrame, output_mode: str = "append", truncate: bool = False):
     """K4: console display of a streaming result (development only)."""
     return (df.writeStream.format("console").outputMode(output_mode)
@@ -152,8 +158,7 @@ def replay(spark: SparkSession, table: DataFrame, time_col: str,
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
-        dropped += sum(op.get("numRowsDroppedByWatermark", 0)
-                       for p in q.recentProgress for op in p.get("stateOperators", []))
+        dropped += dropped_late_rows(q)
 
     t_us, bounds, files = _slice_bounds(table, time_col, min_slices, rows_per_slice,
                                         rows_per_file)

@@ -36,8 +36,7 @@ def _run(spark, batches):
     q = sio.start_file_sink(result, os.path.join(root, "out"), os.path.join(root, "ckpt"),
                             fmt="json", available_now=True)
     q.awaitTermination()
-    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
-                  for p in q.recentProgress for op in p.get("stateOperators", []))
+    dropped = sio.dropped_late_rows(q)
     out = spark.read.schema("window_start timestamp, behavior_type string, uv long, pv long") \
         .json(os.path.join(root, "out"))
     rows = sorted((r.window_start.strftime("%H:%M"), r.behavior_type, r.uv, r.pv)

@@ -12,9 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.operators import clean, trade
+from shoplake.operators import baskets, clean, ml, products, quality, trade, users
 from shoplake.plans.sqltext import dbl, dwd_sql, mavg, msum, pct, rnd, with_ctes
 from shoplake.sources import bindings as B
+from shoplake.sources import snapshot
+from shoplake.streaming import io as sio
+from shoplake.streaming import windows
 
 # TESTDATA order dates end on 2001-08-01; recency is measured from the next day.
 AS_OF = "2001-08-02"
@@ -109,7 +112,6 @@ register("status_distribution", with_ctes(
 
 # --- users --------------------------------------------------------------------------------
 
-from shoplake.operators import users  # noqa: E402
 
 M_CUTS = (2000000, 1000000)  # spend cut-offs that make all three M scores occur on TESTDATA
 
@@ -263,7 +265,6 @@ register("cohort_conversion", with_ctes(
 
 # --- products -----------------------------------------------------------------------------
 
-from shoplake.operators import baskets, products  # noqa: E402
 
 DIFF = "(CAST(price AS DECIMAL(18,2)) - CAST(cost AS DECIMAL(18,2)))"
 LP = "fact_order_detail l LEFT JOIN dim_product p ON l.product_id = p.product_id"
@@ -345,7 +346,6 @@ register("top_co_purchase", with_ctes(
 
 # --- ML -----------------------------------------------------------------------------------
 
-from shoplake.operators import ml, quality  # noqa: E402
 
 RATINGS = (
     "SELECT o.user_id, l.product_id, COUNT(l.detail_id) AS purchase_count, "
@@ -383,7 +383,6 @@ register("table_row_counts", with_ctes(" UNION ALL ".join(
     for t in sorted(B.BINDING_SQL))))(
     lambda s, d: quality.table_row_counts(B.business_tables(s, d)))
 
-from shoplake.sources import snapshot  # noqa: E402
 
 register("snapshot_project", with_ctes(
     "SELECT order_id, user_id, order_status, CAST(order_amount AS DOUBLE) AS order_amount, "
@@ -393,8 +392,6 @@ register("snapshot_project", with_ctes(
 
 # --- streaming ----------------------------------------------------------------------------
 
-from shoplake.streaming import io as sio  # noqa: E402
-from shoplake.streaming import windows  # noqa: E402
 
 UV_PV = ("SELECT date_trunc('minute', behavior_time) AS window_start, behavior_type, "
          "COUNT(DISTINCT user_id) AS uv, COUNT(*) AS pv FROM ods_user_behavior GROUP BY 1, 2")

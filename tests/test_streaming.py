@@ -125,3 +125,29 @@ def test_json_lines_stream_order_totals(spark):
                  for r in out.collect())
     # the 00:03 window stays open (nothing moves the watermark past 00:04)
     assert got == [("00:00", 2, 12.0), ("00:01", 1, 1.0)]
+
+
+def test_live_behavior_job_over_json_lines(spark):
+    from shoplake.streaming import jobs as sjobs
+    root = tempfile.mkdtemp(prefix="shoplake-live-")
+    src = os.path.join(root, "src")
+    os.makedirs(src)
+    base = time.time() - 1000
+    batches = [[(1, 1, "view"), (2, 2, "view"), (3, 1, "cart")], [(70, 3, "view")], [(200, 1, "buy")]]
+    for i, rows in enumerate(batches):
+        path = os.path.join(src, f"b-{i}.json")
+        with open(path, "w") as f:
+            for sec, user, beh in rows:
+                f.write(json.dumps({"log_id": sec, "user_id": user, "product_id": 5,
+                                    "behavior_type": beh, "session_id": "s", "ip": "1.1.1.1",
+                                    "behavior_time": f"2024-01-01 00:{sec // 60:02d}:{sec % 60:02d}"})
+                        + "\n")
+        os.utime(path, (base + i * 10, base + i * 10))
+    raw = sio.json_lines_stream(spark, src, max_files_per_trigger=1)
+    q = sjobs.start_behavior_uv_pv(raw, os.path.join(root, "out"), os.path.join(root, "ckpt"),
+                                   available_now=True)
+    q.awaitTermination()
+    out = spark.read.schema("window_start timestamp, behavior_type string, uv long, pv long") \
+        .json(os.path.join(root, "out"))
+    got = sorted((r.window_start.strftime("%H:%M"), r.behavior_type, r.uv, r.pv) for r in out.collect())
+    assert got == [("00:00", "cart", 1, 1), ("00:00", "view", 2, 2), ("00:01", "view", 1, 1)]

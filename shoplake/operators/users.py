@@ -167,19 +167,21 @@ def rfm_tercile(base: DataFrame, thresholds: DataFrame | None = None,
     """
     if thresholds is None:
         thresholds = rfm_thresholds(base, probs)
-    th = thresholds.select(F.struct("*").alias("t")).scalar()
     lo, hi = probs[0], probs[1]
 
     def q(m, p):
-        return th.getField(quantile_name(m, p))
+        return F.col("_th").getField(quantile_name(m, p))
 
-    return (base
+    # one scalar subquery, projected once as a struct column, read field by field
+    th = thresholds.select(F.struct("*").alias("t")).scalar()
+    return (base.withColumn("_th", th)
             .withColumn("r_score", F.when(F.col("recency") <= q("r", lo), 3)
                         .when(F.col("recency") <= q("r", hi), 2).otherwise(1).cast("int"))
             .withColumn("f_score", F.when(F.col("frequency") >= q("f", hi), 3)
                         .when(F.col("frequency") >= q("f", lo), 2).otherwise(1).cast("int"))
             .withColumn("m_score", F.when(F.col("monetary") >= q("m", hi), 3)
                         .when(F.col("monetary") >= q("m", lo), 2).otherwise(1).cast("int"))
+            .drop("_th")
             .withColumn("rfm_label", _tercile_label()))
 
 

@@ -23,7 +23,7 @@ def restrict_to_orders(details: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def detail_products(details: DataFrame, products: DataFrame,
-                    broadcast: bool | None = None) -> DataFrame:
+                    broadcast: bool = True) -> DataFrame:
     """Order lines LEFT JOIN products."""
     dims = products.select("product_id", "category", "brand",
                            to_double(to_money("cost")).alias("cost"))
@@ -55,7 +55,7 @@ def _sales_with_dims(details, products, broadcast):
 
 
 def category_sales(details: DataFrame, products: DataFrame, orders: DataFrame | None = None,
-                   broadcast: bool | None = None) -> DataFrame:
+                   broadcast: bool = True) -> DataFrame:
     """Per category products sold, lines, units, GMV, profit and margin.
 
     Pass ``orders`` (e.g. valid orders) to count only their lines (D10).
@@ -81,7 +81,7 @@ def category_catalog(products: DataFrame) -> DataFrame:
 
 
 def brand_sales(details: DataFrame, products: DataFrame,
-                broadcast: bool | None = None) -> DataFrame:
+                broadcast: bool = True) -> DataFrame:
     """Sales and products sold per (category, brand)."""
     return _sales_with_dims(details, products, broadcast).groupBy("category", "brand").agg(
         F.sum("gmv").cast("double").alias("brand_sales"),
@@ -89,7 +89,7 @@ def brand_sales(details: DataFrame, products: DataFrame,
 
 
 def brand_top3(details: DataFrame, products: DataFrame, k: int = 3,
-               broadcast: bool | None = None) -> DataFrame:
+               broadcast: bool = True) -> DataFrame:
     """The k best-selling brands per category (ties by brand name).
 
     ``row_number <= k`` over a category partition is planned with a
@@ -135,7 +135,7 @@ def price_distribution(products: DataFrame) -> DataFrame:
 
 
 def category_order_sales(orders: DataFrame, products: DataFrame,
-                         broadcast: bool | None = None) -> DataFrame:
+                         broadcast: bool = True) -> DataFrame:
     """A16 + J8: per category products, orders and GMV for orders that carry a ``product_id``.
 
     The fallback the reference uses when no order lines exist; the business

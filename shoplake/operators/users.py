@@ -41,13 +41,13 @@ def top_cities(users: DataFrame, k: int = 10) -> DataFrame:
     return city_stats(users).orderBy(F.col("user_cnt").desc(), F.col("city").asc()).limit(k)
 
 
-def user_orders(dwd: DataFrame, users: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def user_orders(dwd: DataFrame, users: DataFrame, broadcast: bool = True) -> DataFrame:
     """Orders LEFT JOIN users (orphan orders keep NULL user attributes)."""
     dims = users.select("user_id", "city", "vip_level", "register_date")
     return dim_join(dwd, dims, "user_id", broadcast=broadcast)
 
 
-def vip_analysis(dwd: DataFrame, users: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def vip_analysis(dwd: DataFrame, users: DataFrame, broadcast: bool = True) -> DataFrame:
     """Per VIP level users, orders, revenue, AOV and ARPU.
 
     Orders are first reduced to one row per user (count and exact revenue),
@@ -223,7 +223,7 @@ def _register_month(users: DataFrame) -> Column:
     return month_key(to_date_safe("register_date", users.schema["register_date"].dataType))
 
 
-def first_order(dwd: DataFrame, users: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def first_order(dwd: DataFrame, users: DataFrame, broadcast: bool = True) -> DataFrame:
     """First order date and month per user, with the registration month.
 
     The first order is taken per user before the join, so the join carries
@@ -237,7 +237,7 @@ def first_order(dwd: DataFrame, users: DataFrame, broadcast: bool | None = None)
 
 
 def cohort_conversion(dwd: DataFrame, users: DataFrame, denominator: str = "buyers",
-                      broadcast: bool | None = None) -> DataFrame:
+                      broadcast: bool = True) -> DataFrame:
     """Per registration month, users and first-month buyers.
 
     ``denominator="buyers"`` (reference) counts only users who ordered;

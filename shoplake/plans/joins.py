@@ -1,24 +1,20 @@
 """Join policy for fact-to-dimension lookups.
 
-``broadcast=None`` (default) leaves the decision to Spark: the planner
-broadcasts the dimension only when its estimated size is below
-``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks the materialised
-size (``spark.sql.adaptive.autoBroadcastJoinThreshold``) before choosing a
-broadcast; a dimension above the limit gets a shuffled sort-merge join.
-``True`` forces the hint (only for a dimension whose size is known to be
-small), ``False`` forbids broadcasting.
+No dimension is ever broadcast by force.  ``broadcast=True`` (default) lets
+Spark decide: the planner broadcasts the dimension only when its estimated
+size is below ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-checks
+the materialised size (``spark.sql.adaptive.autoBroadcastJoinThreshold``)
+before choosing a broadcast; a larger dimension gets a shuffled sort-merge
+join.  ``broadcast=False`` forbids broadcasting (a sort-merge join always).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-             broadcast: bool | None = None) -> DataFrame:
-    if broadcast is True:
-        dim = F.broadcast(dim)
-    elif broadcast is False:
+             broadcast: bool = True) -> DataFrame:
+    if not broadcast:
         dim = dim.hint("shuffle_merge")
     return fact.join(dim, on, how)

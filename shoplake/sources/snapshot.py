@@ -77,6 +77,11 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
 
 
+def use_database(spark: SparkSession, name: str) -> None:
+    """``USE <database>``."""
+    spark.catalog.setCurrentDatabase(name)
+
+
 def register_snapshot(spark: SparkSession, database: str, table: str, path: str,
                       schema: StructType | None = None, fmt: str = "tsv") -> str:
     """(re)define an external table over a snapshot path."""

@@ -151,3 +151,26 @@ def test_lake_round_trip_runs_every_job(spark):
     coh = sorted((r.register_month, str(r.registered_users))
                  for r in E.queries()["cohort_conversion"](spark, SF_SMALL).collect())
     assert coh_lake == coh
+
+
+def test_catalog_registration_and_scans(spark):
+    from shoplake.sources import snapshot
+    root = tempfile.mkdtemp(prefix="shoplake-cat-")
+    o = B.fact_order(spark, SF_SMALL)
+    path = snapshot.write_snapshot(o, root, "fact_order", "2026-05-18")
+    snapshot.create_database(spark, "ods_test", f"{root}/db")
+    schema = snapshot.TABLES["fact_order"].__class__(
+        [f for f in snapshot.TABLES["fact_order"].fields if f.name in o.columns])
+    name = snapshot.register_snapshot(spark, "ods_test", "fact_order", path, schema)
+    assert "fact_order" in {r.tableName for r in snapshot.list_tables(spark, "ods_test").collect()}
+    scan = snapshot.read_catalog_table(spark, name, ["order_id", "user_id", "order_status"],
+                                       "order_status IN ('paid', 'shipped', 'completed')")
+    assert scan.count() == clean.valid_orders(o, min_amount=None).count()
+    assert snapshot.optional_table(spark, "ods_test.fact_order_detail") is None
+    assert snapshot.optional_table(spark, name) is not None
+    current = spark.catalog.currentDatabase()
+    snapshot.use_database(spark, "ods_test")
+    try:
+        assert spark.table("fact_order").count() == o.count()
+    finally:
+        snapshot.use_database(spark, current)

@@ -25,7 +25,7 @@ def _write_batches(folder, batches):
         os.utime(path, (base + i * 10, base + i * 10))
 
 
-def _run(spark, batches):
+def _run(spark, batches, progress=None):
     root = tempfile.mkdtemp(prefix="shoplake-stream-")
     src = os.path.join(root, "src")
     os.makedirs(src)
@@ -37,6 +37,8 @@ def _run(spark, batches):
                             fmt="json", available_now=True)
     q.awaitTermination()
     dropped = sio.dropped_late_rows(q)
+    if progress is not None:
+        progress.extend(q.recentProgress)
     out = spark.read.schema("window_start timestamp, behavior_type string, uv long, pv long") \
         .json(os.path.join(root, "out"))
     rows = sorted((r.window_start.strftime("%H:%M"), r.behavior_type, r.uv, r.pv)
@@ -46,7 +48,8 @@ def _run(spark, batches):
 
 def test_trace_one_late_row_still_counted(spark):
     v, b = "view", "buy"
-    rows, dropped = _run(spark, [
+    progress = []
+    rows, dropped = _run(spark, progress=progress, batches=[
         [(1, 1, v), (2, 1, v), (3, 2, v), (4, None, v), (30, 3, b)],
         [(66, 1, v), (50, 9, v)],
         [(10, 8, v), (130, 1, v)],
@@ -54,6 +57,9 @@ def test_trace_one_late_row_still_counted(spark):
     ])
     assert rows == [("00:00", b, 1, 1), ("00:00", v, 4, 6), ("00:01", v, 1, 1), ("00:02", v, 1, 1)]
     assert dropped == 0
+    # closed windows are evicted: only the open 00:05 window is left in each state store
+    last = progress[-1]["stateOperators"]
+    assert sorted(op["numRowsTotal"] for op in last) == [0, 1]
 
 
 def test_trace_two_late_row_dropped(spark):

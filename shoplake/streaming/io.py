@@ -27,6 +27,8 @@ from shoplake.streaming.windows import behavior_uv_pv, order_window_totals
 BEHAVIOR_TOPIC = "user-behavior-log"
 ORDER_TOPIC = "order-stream"
 SENTINEL_TIME = "2200-01-01 00:00:00"
+HEAP_PROVIDER = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
@@ -111,26 +113,26 @@ def start_console_sink(df: DataFrame, output_mode: str = "append", truncate: boo
 
 def _slice_bounds(table: DataFrame, time_col: str, min_slices: int,
                   rows_per_slice: int, rows_per_file: int):
-    """Event-time cut points for slices of about equal row count, and files per slice."""
+    """Event-time cut points for slices of about equal row count, files and rows per slice."""
     t_us = F.unix_micros(F.col(time_col).cast("timestamp"))
     stats = table.agg(F.count(F.lit(1)).alias("n"), F.min(t_us).alias("lo"),
                       F.max(t_us).alias("hi")).first()
     n, lo, hi = stats["n"], stats["lo"], stats["hi"]
     if not n or lo is None:
-        return t_us, [], 1
+        return t_us, [], 1, 0
     slices = max(min_slices, -(-n // rows_per_slice))
     files = max(1, -(-n // (slices * rows_per_file)))
     probs = [k / slices for k in range(1, slices)]
     cuts = (table.agg(F.percentile_approx(t_us, probs, 10000).alias("q")).first()["q"]
             if probs else [])
-    return t_us, sorted({lo, *[int(c) for c in cuts], hi + 1}), files
+    return t_us, sorted({lo, *[int(c) for c in cuts], hi + 1}), files, -(-n // slices)
 
 
 def replay(spark: SparkSession, table: DataFrame, time_col: str,
            query: Callable[[DataFrame], DataFrame], sentinel: dict | None = None,
            min_slices: int = 2, rows_per_slice: int = 200_000_000,
-           rows_per_file: int = 2_000_000, fmt: str = "parquet",
-           name: str = "replay", work_dir: str | None = None) -> DataFrame:
+           rows_per_file: int = 2_000_000, heap_state_rows: int = 5_000_000,
+           fmt: str = "parquet", name: str = "replay", work_dir: str | None = None) -> DataFrame:
     """Run a streaming ``query`` over a whole static table; return what it emitted.
 
     The table is appended to a source folder in event-time slices of about
@@ -142,36 +144,50 @@ def replay(spark: SparkSession, table: DataFrame, time_col: str,
     read by many tasks.
 
     ``query`` receives the streaming frame and must put its own watermark on
-    ``time_col``.  ``sentinel`` gives column values for one last row at
-    ``SENTINEL_TIME``; it moves the watermark past every real window and sits
-    in a window of its own that stays open, so it is never emitted.
+    ``time_col``.  ``sentinel`` gives column values for one extra row at
+    ``SENTINEL_TIME``, written with the last slice; it moves the watermark past
+    every real window and sits in a window of its own that stays open, so it
+    is never emitted.  Runs of up to ``heap_state_rows`` rows keep their state
+    on the heap; larger runs use RocksDB.
     """
     base = work_dir or shared_dir(spark, name)
     src, out, ckpt = f"{base}/source", f"{base}/output", f"{base}/checkpoint"
     schema = table.schema
+    # the runs use their own session (same cluster, separate SQL conf), so
+    # per-run settings never leak into the caller's session
+    runner = spark.newSession()
     dropped = 0
 
-    def run_available() -> None:
+    def run_available(final: bool) -> None:
         nonlocal dropped
-        stream = file_stream(spark, src, schema, "parquet")
+        # only the last run needs the empty batch that flushes closed windows;
+        # earlier runs leave eviction to the next run's first batch
+        runner.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(final).lower())
+        stream = file_stream(runner, src, schema, "parquet")
         q = start_file_sink(query(stream), out, ckpt, fmt=fmt, available_now=True)
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
         dropped += dropped_late_rows(q)
 
-    t_us, bounds, files = _slice_bounds(table, time_col, min_slices, rows_per_slice,
-                                        rows_per_file)
-    for a, b in zip(bounds, bounds[1:]):
-        (table.where((t_us >= F.lit(a)) & (t_us < F.lit(b))).repartition(files)
-         .write.mode("append").parquet(src))
-        run_available()
     values = dict(sentinel or {})
-    (spark.range(1).select(*[
+    sentinel_row = spark.range(1).select(*[
         (F.lit(SENTINEL_TIME) if c == time_col else F.lit(values.get(c)))
         .cast(schema[c].dataType).alias(c) for c in table.columns])
-     .write.mode("append").parquet(src))
-    run_available()
+    t_us, bounds, files, slice_rows = _slice_bounds(table, time_col, min_slices, rows_per_slice,
+                                                    rows_per_file)
+    # state store chosen by size (fixed for the checkpoint's life): small state
+    # per run stays on the heap, large state goes to RocksDB on local disk
+    runner.conf.set("spark.sql.streaming.stateStore.providerClass",
+                    ROCKSDB_PROVIDER if slice_rows > heap_state_rows else HEAP_PROVIDER)
+    ranges = list(zip(bounds, bounds[1:])) or [(None, None)]
+    for i, (a, b) in enumerate(ranges):
+        last = i == len(ranges) - 1
+        part = table.where((t_us >= F.lit(a)) & (t_us < F.lit(b))) if a is not None else table
+        if last:  # the sentinel rides in the last slice; it is not late within its batch
+            part = part.unionByName(sentinel_row)
+        part.repartition(files).write.mode("append").parquet(src)
+        run_available(final=last)
     if dropped:
         raise RuntimeError(f"replay dropped {dropped} rows as late")
     return spark.read.format(fmt).schema(query(table).schema).load(out)

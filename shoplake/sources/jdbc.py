@@ -29,22 +29,31 @@ SPLIT_KEYS = {"dim_user": "user_id", "dim_product": "product_id", "fact_order":
               "fact_order_detail": "detail_id", "ods_user_behavior": "log_id"}
 
 
-def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str,
-              lower_bound: int, upper_bound: int, num_partitions: int = 3,
-              user: str | None = None, password: str | None = None,
-              driver: str | None = None, fetch_size: int = 10000) -> DataFrame:
-    reader = (spark.read.format("jdbc")
-              .option("url", url)
-              .option("dbtable", f"({query}) t")
-              .option("partitionColumn", partition_column)
-              .option("lowerBound", str(lower_bound))
-              .option("upperBound", str(upper_bound))
-              .option("numPartitions", str(num_partitions))
-              .option("fetchsize", str(fetch_size)))
+def jdbc_options(url: str, query: str, partition_column: str, lower_bound: int,
+                 upper_bound: int, num_partitions: int = 3, user: str | None = None,
+                 password: str | None = None, driver: str | None = None,
+                 fetch_size: int = 10000) -> dict[str, str]:
+    """Reader options: the query as a derived table, split into key ranges."""
+    opts = {
+        "url": url,
+        "dbtable": f"({query}) t",
+        "partitionColumn": partition_column,
+        "lowerBound": str(lower_bound),
+        "upperBound": str(upper_bound),
+        "numPartitions": str(num_partitions),
+        "fetchsize": str(fetch_size),
+    }
     for k, v in (("user", user), ("password", password), ("driver", driver)):
         if v is not None:
-            reader = reader.option(k, v)
-    return reader.load()
+            opts[k] = v
+    return opts
+
+
+def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str,
+              lower_bound: int, upper_bound: int, num_partitions: int = 3, **kw) -> DataFrame:
+    opts = jdbc_options(url, query, partition_column, lower_bound, upper_bound,
+                        num_partitions, **kw)
+    return spark.read.format("jdbc").options(**opts).load()
 
 
 def read_business_table(spark: SparkSession, url: str, table: str, lower_bound: int,

@@ -31,19 +31,23 @@ HEAP_PROVIDER = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateS
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "latest",
+                  group_id: str | None = None, extra: dict | None = None) -> dict[str, str]:
+    """S10/S11 + X6: source options for one topic, latest offsets, optional consumer group."""
+    opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
+            "startingOffsets": starting_offsets}
+    if group_id:
+        opts["kafka.group.id"] = group_id
+    opts.update(extra or {})
+    return opts
+
+
 def read_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
                starting_offsets: str = "latest", group_id: str | None = None,
                extra: dict | None = None) -> DataFrame:
-    """S10/S11 + X6: Kafka topic as a streaming frame (key, value, timestamp, ...)."""
-    reader = (spark.readStream.format("kafka")
-              .option("kafka.bootstrap.servers", bootstrap_servers)
-              .option("subscribe", topic)
-              .option("startingOffsets", starting_offsets))
-    if group_id:
-        reader = reader.option("kafka.group.id", group_id)
-    for k, v in (extra or {}).items():
-        reader = reader.option(k, v)
-    return reader.load()
+    """Kafka topic as a streaming frame (key, value, timestamp, ...)."""
+    opts = kafka_options(bootstrap_servers, topic, starting_offsets, group_id, extra)
+    return spark.readStream.format("kafka").options(**opts).load()
 
 
 def parse_json_values(raw: DataFrame, schema: StructType,

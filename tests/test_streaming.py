@@ -157,3 +157,16 @@ def test_live_behavior_job_over_json_lines(spark):
         .json(os.path.join(root, "out"))
     got = sorted((r.window_start.strftime("%H:%M"), r.behavior_type, r.uv, r.pv) for r in out.collect())
     assert got == [("00:00", "cart", 1, 1), ("00:00", "view", 2, 2), ("00:01", "view", 1, 1)]
+
+
+def test_connector_options():
+    from shoplake.sources import jdbc
+    o = jdbc.jdbc_options("jdbc:mysql://db/shop", jdbc.SOURCE_QUERIES["fact_order"], "order_id",
+                          1, 5000, 3, user="u")
+    assert o["dbtable"].startswith("(SELECT order_id") and o["dbtable"].endswith(") t")
+    assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == \
+        ("order_id", "1", "5000", "3")
+    assert o["user"] == "u" and "password" not in o
+    k = sio.kafka_options("b1:9092,b2:9092", sio.BEHAVIOR_TOPIC, group_id="g")
+    assert k == {"kafka.bootstrap.servers": "b1:9092,b2:9092", "subscribe": "user-behavior-log",
+                 "startingOffsets": "latest", "kafka.group.id": "g"}

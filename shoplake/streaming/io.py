@@ -134,13 +134,14 @@ def _slice_bounds(table: DataFrame, time_col: str, min_slices: int,
 
 def replay(spark: SparkSession, table: DataFrame, time_col: str,
            query: Callable[[DataFrame], DataFrame], sentinel: dict | None = None,
-           min_slices: int = 2, rows_per_slice: int = 200_000_000,
+           min_slices: int = 2, rows_per_slice: int | None = None,
            rows_per_file: int = 2_000_000, heap_state_rows: int = 5_000_000,
            fmt: str = "parquet", name: str = "replay", work_dir: str | None = None) -> DataFrame:
     """Run a streaming ``query`` over a whole static table; return what it emitted.
 
     The table is appended to a source folder in event-time slices of about
-    ``rows_per_slice`` rows (at least ``min_slices``); after each slice the
+    ``rows_per_slice`` rows (default: 2 M per core of the cluster, at least
+    50 M; at least ``min_slices`` slices); after each slice the
     query runs with ``availableNow`` on one checkpoint, so every run consumes
     exactly the new slice and resumes state and watermark from the checkpoint
     (the restart path a failed driver takes).  State per run stays bounded as
@@ -178,6 +179,10 @@ def replay(spark: SparkSession, table: DataFrame, time_col: str,
     sentinel_row = spark.range(1).select(*[
         (F.lit(SENTINEL_TIME) if c == time_col else F.lit(values.get(c)))
         .cast(schema[c].dataType).alias(c) for c in table.columns])
+    if rows_per_slice is None:
+        # about 2 M rows per core per run: a bigger cluster takes bigger slices,
+        # while the state each task holds during a run stays bounded
+        rows_per_slice = max(50_000_000, 2_000_000 * spark.sparkContext.defaultParallelism)
     t_us, bounds, files, slice_rows = _slice_bounds(table, time_col, min_slices, rows_per_slice,
                                                     rows_per_file)
     # state store chosen by size (fixed for the checkpoint's life): small state

@@ -32,21 +32,29 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 
 def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "latest",
-                  group_id: str | None = None, extra: dict | None = None) -> dict[str, str]:
-    """S10/S11 + X6: source options for one topic, latest offsets, optional consumer group."""
+                  group_id: str | None = None, max_offsets_per_trigger: int | None = None,
+                  extra: dict | None = None) -> dict[str, str]:
+    """S10/S11 + X6: source options for one topic, latest offsets, optional consumer group.
+
+    ``max_offsets_per_trigger`` caps a micro-batch (e.g. after downtime), so
+    catching up never builds one huge batch and its state in one go.
+    """
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
             "startingOffsets": starting_offsets}
     if group_id:
         opts["kafka.group.id"] = group_id
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     opts.update(extra or {})
     return opts
 
 
 def read_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
                starting_offsets: str = "latest", group_id: str | None = None,
-               extra: dict | None = None) -> DataFrame:
+               max_offsets_per_trigger: int | None = None, extra: dict | None = None) -> DataFrame:
     """Kafka topic as a streaming frame (key, value, timestamp, ...)."""
-    opts = kafka_options(bootstrap_servers, topic, starting_offsets, group_id, extra)
+    opts = kafka_options(bootstrap_servers, topic, starting_offsets, group_id,
+                         max_offsets_per_trigger, extra)
     return spark.readStream.format("kafka").options(**opts).load()
 
 

@@ -39,10 +39,6 @@ def money_avg(c, scale: int = 2) -> Column:
     return F.round(F.try_divide(money_sum(c), F.count(col_(c))), scale)
 
 
-def rounded_ratio(num, den, scale: int = 2) -> Column:
-    return F.round(F.try_divide(col_(num), col_(den)), scale)
-
-
 def percent(num, den, scale: int = 1) -> Column:
     """``round(num / den * 100, scale)``; NULL when ``den`` is 0."""
     return F.round(F.try_divide(col_(num), col_(den)) * F.lit(100), scale)
@@ -63,7 +59,3 @@ def to_date_safe(c, data_type=None) -> Column:
 def month_key(c) -> Column:
     """'yyyy-MM' of a date (the reference takes the first 7 characters)."""
     return F.date_format(col_(c), "yyyy-MM")
-
-
-def field_type(df, name):
-    return df.schema[name].dataType

@@ -80,3 +80,19 @@ def test_als_rerun_is_deterministic(spark):
     _, n1, m1, rmse1 = ml.als_fit_evaluate(r)
     _, n2, m2, rmse2 = ml.als_fit_evaluate(r)
     assert (n1, m1) == (n2, m2) and abs(rmse1 - rmse2) < 1e-9
+
+
+def test_hot_order_holding_a_third_of_lines(spark):
+    lines = B.fact_order_detail(spark, SF_SMALL)
+    # every third line is moved into one order: a single key with a third of all rows
+    third = F.pmod(F.xxhash64("order_id", "product_id", "detail_id"), F.lit(3)) == 0
+    hot = lines.withColumn("order_id", F.when(third, F.lit(-1).cast("long"))
+                           .otherwise(F.col("order_id")))
+    assert hot.where("order_id = -1").count() * 3 >= lines.count() * 0.9
+    salted = baskets.co_purchase(hot, split_above=16)
+    plain = baskets.co_purchase(hot, split_above=None)
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    orders = B.fact_order(spark, SF_SMALL).unionByName(
+        B.fact_order(spark, SF_SMALL).limit(1).withColumn("order_id", F.lit(-1).cast("long")))
+    r = ml.ratings(hot, orders)
+    assert r.agg(F.sum("purchase_count")).first()[0] > 0

@@ -123,20 +123,27 @@ def start_console_sink(df: DataFrame, output_mode: str = "append", truncate: boo
             .option("truncate", str(truncate).lower()).start())
 
 
+QUANTILE_GRID = 1024
+
+
 def _slice_bounds(table: DataFrame, time_col: str, min_slices: int,
                   rows_per_slice: int, rows_per_file: int):
-    """Event-time cut points for slices of about equal row count, files and rows per slice."""
+    """Event-time cut points for slices of about equal row count, files and rows per slice.
+
+    One aggregate pass: the row count, the time range and a fixed grid of
+    approximate time quantiles (bounded memory) from which the cuts are taken.
+    """
     t_us = F.unix_micros(F.col(time_col).cast("timestamp"))
+    grid = [k / QUANTILE_GRID for k in range(1, QUANTILE_GRID)]
     stats = table.agg(F.count(F.lit(1)).alias("n"), F.min(t_us).alias("lo"),
-                      F.max(t_us).alias("hi")).first()
+                      F.max(t_us).alias("hi"),
+                      F.percentile_approx(t_us, grid, 10000).alias("q")).first()
     n, lo, hi = stats["n"], stats["lo"], stats["hi"]
     if not n or lo is None:
         return t_us, [], 1, 0
-    slices = max(min_slices, -(-n // rows_per_slice))
+    slices = min(QUANTILE_GRID, max(min_slices, -(-n // rows_per_slice)))
     files = max(1, -(-n // (slices * rows_per_file)))
-    probs = [k / slices for k in range(1, slices)]
-    cuts = (table.agg(F.percentile_approx(t_us, probs, 10000).alias("q")).first()["q"]
-            if probs else [])
+    cuts = [stats["q"][round(k * QUANTILE_GRID / slices) - 1] for k in range(1, slices)]
     return t_us, sorted({lo, *[int(c) for c in cuts], hi + 1}), files, -(-n // slices)
 
 

@@ -31,18 +31,21 @@ DEFAULT_CONF = {
 }
 
 
-def scale_conf(input_bytes: int, total_cores: int,
-               target_partition_bytes: int = 128 * 1024 * 1024) -> dict:
+def scale_conf(shuffle_bytes: int, total_cores: int,
+               target_partition_bytes: int = 128 * 1024 * 1024,
+               max_partitions: int = 100_000) -> dict:
     """Shuffle and scan sizing for a cluster run.
 
-    The initial shuffle partition count is sized so a partition of the
-    largest input is about ``target_partition_bytes`` (and at least three
-    waves of tasks); AQE then coalesces small partitions toward the advisory
-    size and splits skewed join partitions.  Scans read
-    ``maxPartitionBytes`` per task.
+    ``shuffle_bytes`` is the largest shuffle a job writes (after pruning and
+    partial aggregation; at most the input size).  The initial shuffle
+    partition count makes such a partition about ``target_partition_bytes``,
+    with at least three waves of tasks and at most ``max_partitions`` (map
+    output tracking grows with mappers x reducers); AQE then coalesces small
+    partitions toward the advisory size and splits skewed join partitions.
+    Scans read ``maxPartitionBytes`` per task.
     """
-    by_size = -(-input_bytes // target_partition_bytes)
-    partitions = max(3 * total_cores, by_size)
+    by_size = -(-shuffle_bytes // target_partition_bytes)
+    partitions = min(max_partitions, max(3 * total_cores, by_size))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),

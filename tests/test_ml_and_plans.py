@@ -125,8 +125,9 @@ def test_bucketed_lake_join_has_no_shuffle(spark):
 
 def test_scale_conf():
     from shoplake.session import scale_conf
-    conf = scale_conf(100 * 1024 ** 4, 8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) >= 800_000
+    assert scale_conf(100 * 1024 ** 4, 8000)["spark.sql.shuffle.partitions"] == "100000"
+    assert scale_conf(10 * 1024 ** 4, 8000)["spark.sql.shuffle.partitions"] == "81920"
+    assert scale_conf(1024 ** 3, 8000)["spark.sql.shuffle.partitions"] == "24000"
 
 
 def test_lake_round_trip_runs_every_job(spark):

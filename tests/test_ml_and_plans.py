@@ -175,3 +175,15 @@ def test_catalog_registration_and_scans(spark):
         assert spark.table("fact_order").count() == o.count()
     finally:
         snapshot.use_database(spark, current)
+
+
+def test_tsv_snapshot_nulls_and_quotes(spark):
+    from shoplake.schemas import DIM_PRODUCT
+    from shoplake.sources import snapshot
+    root = tempfile.mkdtemp(prefix="shoplake-tsv-")
+    rows = [(1, 'say "hi"', "C", None, 10.5, None, 3, None, "2026-05-01 10:00:00"),
+            (2, "plain", None, "B", None, 1.25, None, "2026-01-01", None)]
+    df = spark.createDataFrame(rows, DIM_PRODUCT)
+    snapshot.write_snapshot(df, root, "dim_product", "2026-05-18")
+    back = snapshot.read_snapshot(spark, root, "dim_product", "2026-05-18")
+    assert sorted(tuple(r) for r in back.collect()) == sorted(rows)

@@ -77,7 +77,8 @@ def product_results(t: Tables, dwd: DataFrame, as_of=None) -> Results:
         "category_ranking": products.category_sales(d, p).orderBy(F.col("total_gmv").desc()),
         "brand_top3": products.brand_top3(d, p).orderBy("category", "brand_rank"),
         "co_occurrence": pairs,
-        "top_co_purchase": baskets.top_co_purchase(d, p, pairs=pairs),
+        "top_co_purchase": baskets.top_co_purchase(d, p, pairs=pairs).orderBy(  # D12: re-sort
+            F.col("co_count").desc(), "product_a", "product_b"),
         "top_margin_products": products.high_profit_top(p).orderBy("profit_rank"),
         "price_distribution": products.price_distribution(p).orderBy(F.col("product_cnt").desc()),
     }, [pairs]

@@ -20,6 +20,9 @@ FIXED VALUES (domain constants, thresholds and labels, stated as they are used):
   r <= 2, f <= 1, m <= 1 -> lost
   otherwise -> new
 - stream watermark delay 5 seconds, tumbling window 1 minute
+- topics: user-behavior-log (behaviour events), order-stream (orders with items)
+- lake datetime text: yyyy-MM-dd HH:mm:ss (source side: %Y-%m-%d %H:%i:%s);
+  stream JSON timestamps: yyyy-MM-dd HH:mm:ss
 - ALS: rank 5, 5 iterations, regularisation 0.1, non-negative, seed 42, top 5;
   K-Means: k = 4, seed 42
 """
@@ -53,6 +56,12 @@ RFM_DEFAULT_LABEL = "new"
 WATERMARK_DELAY = "5 seconds"
 WINDOW_DURATION = "1 minute"
 
+BEHAVIOR_TOPIC = "user-behavior-log"
+ORDER_TOPIC = "order-stream"
+LAKE_DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+SOURCE_DATETIME_FORMAT = "%Y-%m-%d %H:%i:%s"
+STREAM_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
 ALS_PARAMS = dict(rank=5, maxIter=5, regParam=0.1, nonnegative=True, seed=42)
 ALS_TOP_K = 5
 KMEANS_K = 4

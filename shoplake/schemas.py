@@ -76,4 +76,3 @@ ORDER_EVENT = StructType([
     StructField("items", ArrayType(ORDER_ITEM)),
 ])
 
-STREAM_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"

@@ -9,22 +9,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shoplake.functions.labels import SOURCE_DATETIME_FORMAT
+
+
 # Query text per table: the business columns with datetimes rendered as text.
 SOURCE_QUERIES = {
     "dim_user": ("SELECT user_id, user_name, gender, age, city, register_date, vip_level, "
-                 "DATE_FORMAT(create_time, '%Y-%m-%d %H:%i:%s') AS create_time FROM dim_user"),
+                 "DATE_FORMAT(create_time, '{fmt}') AS create_time FROM dim_user"),
     "dim_product": ("SELECT product_id, product_name, category, brand, price, cost, stock, "
-                    "launch_date, DATE_FORMAT(create_time, '%Y-%m-%d %H:%i:%s') AS create_time "
+                    "launch_date, DATE_FORMAT(create_time, '{fmt}') AS create_time "
                     "FROM dim_product"),
     "fact_order": ("SELECT order_id, user_id, order_status, order_amount, discount_amount, "
                    "actual_amount, payment_method, order_time, pay_time, "
-                   "DATE_FORMAT(create_time, '%Y-%m-%d %H:%i:%s') AS create_time, "
-                   "DATE_FORMAT(update_time, '%Y-%m-%d %H:%i:%s') AS update_time FROM fact_order"),
+                   "DATE_FORMAT(create_time, '{fmt}') AS create_time, "
+                   "DATE_FORMAT(update_time, '{fmt}') AS update_time FROM fact_order"),
     "fact_order_detail": ("SELECT detail_id, order_id, product_id, quantity, unit_price, subtotal, "
                           "create_time FROM fact_order_detail"),
     "ods_user_behavior": ("SELECT log_id, user_id, product_id, behavior_type, behavior_time, "
                           "session_id, ip, create_time FROM user_behavior_log"),
 }
+SOURCE_QUERIES = {t: q.replace("{fmt}", SOURCE_DATETIME_FORMAT) for t, q in SOURCE_QUERIES.items()}
 SPLIT_KEYS = {"dim_user": "user_id", "dim_product": "product_id", "fact_order": "order_id",
               "fact_order_detail": "detail_id", "ods_user_behavior": "log_id"}
 

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DecimalType, StructType, TimestampNTZType,
                                TimestampType)
 
+from shoplake.functions.labels import LAKE_DATETIME_FORMAT
 from shoplake.schemas import TABLES
 
 TSV_OPTIONS = {"sep": "\t", "quote": "", "escape": "", "nullValue": "\\N", "header": "false",
                "mode": "PERMISSIVE"}
-DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+DATETIME_FORMAT = LAKE_DATETIME_FORMAT
 
 
 def snapshot_path(root: str, table: str, snapshot_date: str) -> str:

@@ -19,13 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shoplake.functions.labels import WATERMARK_DELAY, WINDOW_DURATION
-from shoplake.schemas import BEHAVIOR_EVENT, ORDER_EVENT, STREAM_TIMESTAMP_FORMAT
+from shoplake.functions.labels import (BEHAVIOR_TOPIC, ORDER_TOPIC,  # noqa: F401 (re-exported)
+                                       STREAM_TIMESTAMP_FORMAT, WATERMARK_DELAY, WINDOW_DURATION)
+from shoplake.schemas import BEHAVIOR_EVENT, ORDER_EVENT
 from shoplake.session import shared_dir
 from shoplake.streaming.windows import behavior_uv_pv, order_window_totals
 
-BEHAVIOR_TOPIC = "user-behavior-log"
-ORDER_TOPIC = "order-stream"
 SENTINEL_TIME = "2200-01-01 00:00:00"
 HEAP_PROVIDER = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -167,6 +167,7 @@ def test_connector_options():
     assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == \
         ("order_id", "1", "5000", "3")
     assert o["user"] == "u" and "password" not in o
+    assert "DATE_FORMAT(create_time, '%Y-%m-%d %H:%i:%s')" in o["dbtable"] and "{" not in o["dbtable"]
     k = sio.kafka_options("b1:9092,b2:9092", sio.BEHAVIOR_TOPIC, group_id="g",
                           max_offsets_per_trigger=100000)
     assert k == {"kafka.bootstrap.servers": "b1:9092,b2:9092", "subscribe": "user-behavior-log",

@@ -20,7 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.functions.columns import money_avg, money_sum
+from shoplake.functions.columns import money_avg
 from shoplake.functions.labels import ALS_PARAMS, ALS_TOP_K, KMEANS_K, KMEANS_SEED, VALID_STATUSES
 from shoplake.plans.joins import dim_join
 
@@ -134,12 +134,11 @@ def als_top_k(r: DataFrame, products: DataFrame, k: int = ALS_TOP_K, implicit: b
         "user_id", "product_id", "product_name", "category", "score")
 
 
-def user_features(dwd: DataFrame) -> DataFrame:
+def user_features(dwd: DataFrame | None, facts: DataFrame | None = None) -> DataFrame:
     """Order count, spend and mean order value per user."""
-    return dwd.groupBy("user_id").agg(
-        F.count("order_id").alias("order_cnt"),
-        money_sum("actual_amount").alias("total_spent"),
-        money_avg("actual_amount").alias("avg_order_value"))
+    from shoplake.operators.users import user_spending
+    return user_spending(dwd, facts).select(
+        "user_id", "order_cnt", "total_spent", F.col("avg_per_order").alias("avg_order_value"))
 
 
 def cluster_pipeline(k: int = KMEANS_K, seed: int = KMEANS_SEED):

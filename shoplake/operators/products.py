@@ -45,7 +45,12 @@ def product_sales(details: DataFrame) -> DataFrame:
         F.count(F.when(both, F.lit(1))).alias("pairs"))
 
 
-def _sales_with_dims(details, products, broadcast):
+def sales_with_dims(details: DataFrame, products: DataFrame, broadcast: bool = True) -> DataFrame:
+    """Per-product sales joined to category, brand and cost, with the exact product profit.
+
+    The table category and brand results roll up; pass it as ``sales`` to
+    reuse one computation for several results.
+    """
     dims = products.select("product_id", "category", "brand", to_money("cost").alias("cost"))
     per_product = product_sales(details)
     joined = dim_join(per_product, dims, "product_id", broadcast=broadcast)
@@ -54,15 +59,18 @@ def _sales_with_dims(details, products, broadcast):
     return joined.withColumn("profit", profit)
 
 
-def category_sales(details: DataFrame, products: DataFrame, orders: DataFrame | None = None,
-                   broadcast: bool = True) -> DataFrame:
+def category_sales(details: DataFrame | None, products: DataFrame | None,
+                   orders: DataFrame | None = None, broadcast: bool = True,
+                   sales: DataFrame | None = None) -> DataFrame:
     """Per category products sold, lines, units, GMV, profit and margin.
 
     Pass ``orders`` (e.g. valid orders) to count only their lines (D10).
     """
-    if orders is not None:
-        details = restrict_to_orders(details, orders)
-    agg = _sales_with_dims(details, products, broadcast).groupBy("category").agg(
+    if sales is None:
+        if orders is not None:
+            details = restrict_to_orders(details, orders)
+        sales = sales_with_dims(details, products, broadcast)
+    agg = sales.groupBy("category").agg(
         F.count("product_id").alias("product_cnt"),
         F.sum("lines").alias("sold_qty"),
         F.sum("units").alias("units_sold"),
@@ -80,23 +88,25 @@ def category_catalog(products: DataFrame) -> DataFrame:
         money_avg(to_money("price") - to_money("cost")).alias("avg_profit_per_item"))
 
 
-def brand_sales(details: DataFrame, products: DataFrame,
-                broadcast: bool = True) -> DataFrame:
+def brand_sales(details: DataFrame | None, products: DataFrame | None,
+                broadcast: bool = True, sales: DataFrame | None = None) -> DataFrame:
     """Sales and products sold per (category, brand)."""
-    return _sales_with_dims(details, products, broadcast).groupBy("category", "brand").agg(
+    if sales is None:
+        sales = sales_with_dims(details, products, broadcast)
+    return sales.groupBy("category", "brand").agg(
         F.sum("gmv").cast("double").alias("brand_sales"),
         F.count("product_id").alias("brand_products"))
 
 
-def brand_top3(details: DataFrame, products: DataFrame, k: int = 3,
-               broadcast: bool = True) -> DataFrame:
+def brand_top3(details: DataFrame | None, products: DataFrame | None, k: int = 3,
+               broadcast: bool = True, sales: DataFrame | None = None) -> DataFrame:
     """The k best-selling brands per category (ties by brand name).
 
     ``row_number <= k`` over a category partition is planned with a
     ``WindowGroupLimit`` that trims each partition before the final window.
     """
     w = Window.partitionBy("category").orderBy(F.col("brand_sales").desc(), F.col("brand").asc())
-    return (brand_sales(details, products, broadcast)
+    return (brand_sales(details, products, broadcast, sales)
             .withColumn("brand_rank", F.row_number().over(w))
             .where(F.col("brand_rank") <= k))
 

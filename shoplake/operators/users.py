@@ -15,8 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplake.functions.columns import (money_avg, money_sum, month_key, percent, to_date_safe,
-                                       to_money)
+from shoplake.functions.columns import money_avg, month_key, percent, to_date_safe, to_money
 from shoplake.functions.labels import (ORDER_COUNT, PURCHASE_BUCKETS, RECENCY_DAYS,
                                        RFM_DEFAULT_LABEL, RFM_LABEL_RULES, SPEND,
                                        TERCILE_PROBS, TIER_CUTOFFS, TIER_LABELS)
@@ -41,23 +40,39 @@ def top_cities(users: DataFrame, k: int = 10) -> DataFrame:
     return city_stats(users).orderBy(F.col("user_cnt").desc(), F.col("city").asc()).limit(k)
 
 
+def user_order_facts(dwd: DataFrame) -> DataFrame:
+    """Per-user order facts every per-user result derives from (one aggregation of the orders).
+
+    ``revenue`` stays DECIMAL (exact); ``n_amounts`` counts non-NULL amounts
+    so means skip NULLs as ``avg`` does.
+    """
+    return dwd.groupBy("user_id").agg(
+        F.count("order_id").alias("n_orders"),
+        F.sum(to_money("actual_amount")).alias("revenue"),
+        F.count("actual_amount").alias("n_amounts"),
+        F.min("order_date").alias("first_order_date"),
+        F.max("order_date").alias("last_order_date"))
+
+
+def _facts(dwd: DataFrame | None, facts: DataFrame | None) -> DataFrame:
+    return facts if facts is not None else user_order_facts(dwd)
+
+
 def user_orders(dwd: DataFrame, users: DataFrame, broadcast: bool = True) -> DataFrame:
     """Orders LEFT JOIN users (orphan orders keep NULL user attributes)."""
     dims = users.select("user_id", "city", "vip_level", "register_date")
     return dim_join(dwd, dims, "user_id", broadcast=broadcast)
 
 
-def vip_analysis(dwd: DataFrame, users: DataFrame, broadcast: bool = True) -> DataFrame:
+def vip_analysis(dwd: DataFrame | None, users: DataFrame, broadcast: bool = True,
+                 facts: DataFrame | None = None) -> DataFrame:
     """Per VIP level users, orders, revenue, AOV and ARPU.
 
     Orders are first reduced to one row per user (count and exact revenue),
     then joined to the VIP level, then summed per level: the distinct-user
     count becomes a plain count because each user appears once.
     """
-    per_user = dwd.groupBy("user_id").agg(
-        F.count("order_id").alias("n_orders"),
-        F.sum(to_money("actual_amount")).alias("revenue"),
-        F.count("actual_amount").alias("n_amounts"))
+    per_user = _facts(dwd, facts)
     joined = dim_join(per_user, users.select("user_id", "vip_level"), "user_id",
                       broadcast=broadcast)
     agg = joined.groupBy("vip_level").agg(
@@ -71,13 +86,13 @@ def vip_analysis(dwd: DataFrame, users: DataFrame, broadcast: bool = True) -> Da
         F.round(F.try_divide(F.col("total_revenue"), F.col("user_cnt")), 2).alias("arpu"))
 
 
-def user_spending(dwd: DataFrame) -> DataFrame:
+def user_spending(dwd: DataFrame | None, facts: DataFrame | None = None) -> DataFrame:
     """A3: orders, spend, mean order and last order date per user."""
-    return dwd.groupBy("user_id").agg(
-        F.count("order_id").alias("order_cnt"),
-        money_sum("actual_amount").alias("total_spent"),
-        money_avg("actual_amount").alias("avg_per_order"),
-        F.max("order_date").alias("last_order_date"))
+    f = _facts(dwd, facts)
+    spent = F.col("revenue").cast("double")
+    return f.select("user_id", F.col("n_orders").alias("order_cnt"), spent.alias("total_spent"),
+                    F.round(F.try_divide(spent, F.col("n_amounts")), 2).alias("avg_per_order"),
+                    "last_order_date")
 
 
 def _score_low_is_good(c: Column, cuts: Sequence) -> Column:
@@ -88,10 +103,10 @@ def _score_high_is_good(c: Column, cuts: Sequence) -> Column:
     return F.when(c >= cuts[0], 3).when(c >= cuts[1], 2).otherwise(1)
 
 
-def rfm_fixed(dwd: DataFrame, as_of=None, r=RECENCY_DAYS, f=ORDER_COUNT, m=SPEND,
-              tiers=TIER_CUTOFFS, labels=TIER_LABELS) -> DataFrame:
+def rfm_fixed(dwd: DataFrame | None, as_of=None, r=RECENCY_DAYS, f=ORDER_COUNT, m=SPEND,
+              tiers=TIER_CUTOFFS, labels=TIER_LABELS, facts: DataFrame | None = None) -> DataFrame:
     """Fixed-threshold RFM scores, total and tier per user."""
-    base = user_spending(dwd).withColumn(
+    base = user_spending(dwd, facts).withColumn(
         "recency_days", F.datediff(_as_of(as_of), F.col("last_order_date")))
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     return (base
@@ -120,12 +135,11 @@ def top_high_value_users(rfm: DataFrame, k: int = 10, tier: str = TIER_LABELS[0]
             .limit(k))
 
 
-def rfm_base(dwd: DataFrame, as_of=None) -> DataFrame:
+def rfm_base(dwd: DataFrame | None, as_of=None, facts: DataFrame | None = None) -> DataFrame:
     """Frequency, monetary, last date and recency per user."""
-    return (dwd.groupBy("user_id").agg(
-                F.count("order_id").alias("frequency"),
-                money_sum("actual_amount").alias("monetary"),
-                F.max("order_date").alias("last_order_date"))
+    return (_facts(dwd, facts).select(
+                "user_id", F.col("n_orders").alias("frequency"),
+                F.col("revenue").cast("double").alias("monetary"), "last_order_date")
             .withColumn("recency", F.datediff(_as_of(as_of), F.col("last_order_date"))))
 
 
@@ -223,27 +237,28 @@ def _register_month(users: DataFrame) -> Column:
     return month_key(to_date_safe("register_date", users.schema["register_date"].dataType))
 
 
-def first_order(dwd: DataFrame, users: DataFrame, broadcast: bool = True) -> DataFrame:
+def first_order(dwd: DataFrame | None, users: DataFrame, broadcast: bool = True,
+                facts: DataFrame | None = None) -> DataFrame:
     """First order date and month per user, with the registration month.
 
     The first order is taken per user before the join, so the join carries
     one row per user.
     """
-    firsts = dwd.groupBy("user_id").agg(F.min("order_date").alias("first_order_date"))
+    firsts = _facts(dwd, facts).select("user_id", "first_order_date")
     regs = users.select("user_id", _register_month(users).alias("register_month"))
     return (dim_join(firsts, regs, "user_id", broadcast=broadcast)
             .select("user_id", "register_month", "first_order_date",
                     month_key("first_order_date").alias("first_order_month")))
 
 
-def cohort_conversion(dwd: DataFrame, users: DataFrame, denominator: str = "buyers",
-                      broadcast: bool = True) -> DataFrame:
+def cohort_conversion(dwd: DataFrame | None, users: DataFrame, denominator: str = "buyers",
+                      broadcast: bool = True, facts: DataFrame | None = None) -> DataFrame:
     """Per registration month, users and first-month buyers.
 
     ``denominator="buyers"`` (reference) counts only users who ordered;
     ``"all_users"`` counts every registered user of the month.
     """
-    fo = first_order(dwd, users, broadcast)
+    fo = first_order(dwd, users, broadcast, facts)
     converted = F.col("first_order_month") == F.col("register_month")
     per_month = fo.groupBy("register_month").agg(
         F.count("user_id").alias("registered_users"),

@@ -43,7 +43,8 @@ Results = tuple[dict[str, DataFrame], list[DataFrame]]
 
 
 def etl_results(t: Tables, dwd: DataFrame, as_of=None) -> Results:
-    rfm = users.rfm_fixed(dwd, as_of=as_of)
+    facts = users.user_order_facts(dwd)
+    rfm = users.rfm_fixed(None, as_of=as_of, facts=facts)
     return {
         "daily_trade": trade.daily_trade(dwd).orderBy("order_date"),
         "user_rfm": rfm,
@@ -53,35 +54,39 @@ def etl_results(t: Tables, dwd: DataFrame, as_of=None) -> Results:
         "tier_summary": users.tier_summary(rfm).orderBy(F.col("user_cnt").desc()),
         "top_high_value_users": users.top_high_value_users(rfm),
         "kpi_dashboard": trade.kpi_dashboard(dwd),
-    }, [rfm]
+    }, [facts, rfm]
 
 
 def user_results(t: Tables, dwd: DataFrame, as_of=None) -> Results:
-    base = users.rfm_base(dwd, as_of=as_of)
+    facts = users.user_order_facts(dwd)  # one per-user aggregation for every per-user result
+    base = users.rfm_base(None, as_of=as_of, facts=facts)
     scored = users.rfm_tercile(base)
     return {
         "city_distribution": users.city_stats(t["dim_user"]).orderBy(F.col("user_cnt").desc()),
         "top_cities": users.top_cities(t["dim_user"]),
-        "vip_analysis": users.vip_analysis(dwd, t["dim_user"]).orderBy("vip_level"),
+        "vip_analysis": users.vip_analysis(None, t["dim_user"], facts=facts).orderBy("vip_level"),
         "rfm_segmentation": scored,
         "rfm_summary": users.rfm_summary(scored).orderBy(F.col("user_cnt").desc()),
         "repurchase_dist": users.repurchase_dist(base).orderBy(users.bucket_order()),
-        "cohort_conversion": users.cohort_conversion(dwd, t["dim_user"]).orderBy("register_month"),
-    }, [base, scored]
+        "cohort_conversion": users.cohort_conversion(None, t["dim_user"], facts=facts)
+        .orderBy("register_month"),
+    }, [facts, scored]
 
 
 def product_results(t: Tables, dwd: DataFrame, as_of=None) -> Results:
     d, p = t["fact_order_detail"], t["dim_product"]
     pairs = baskets.co_purchase(d)
+    sales = products.sales_with_dims(d, p)  # one per-product aggregation of the lines
     return {
-        "category_ranking": products.category_sales(d, p).orderBy(F.col("total_gmv").desc()),
-        "brand_top3": products.brand_top3(d, p).orderBy("category", "brand_rank"),
+        "category_ranking": products.category_sales(None, None, sales=sales)
+        .orderBy(F.col("total_gmv").desc()),
+        "brand_top3": products.brand_top3(None, None, sales=sales).orderBy("category", "brand_rank"),
         "co_occurrence": pairs,
         "top_co_purchase": baskets.top_co_purchase(d, p, pairs=pairs).orderBy(  # D12: re-sort
             F.col("co_count").desc(), "product_a", "product_b"),
         "top_margin_products": products.high_profit_top(p).orderBy("profit_rank"),
         "price_distribution": products.price_distribution(p).orderBy(F.col("product_cnt").desc()),
-    }, [pairs]
+    }, [pairs, sales]
 
 
 def ml_results(t: Tables, dwd: DataFrame, as_of=None) -> Results:

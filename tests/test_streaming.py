@@ -173,3 +173,15 @@ def test_connector_options():
     assert k == {"kafka.bootstrap.servers": "b1:9092,b2:9092", "subscribe": "user-behavior-log",
                  "startingOffsets": "latest", "kafka.group.id": "g",
                  "maxOffsetsPerTrigger": "100000"}
+
+
+def test_order_totals_replay_with_status_filter(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from shoplake.sources import bindings as B
+    o = B.fact_order(spark, SF_SMALL)
+    got = sorted(tuple(r) for r in sio.replay_order_totals(spark, o, statuses=["paid"]).collect())
+    want = sorted(tuple(r) for r in order_window_totals(o, statuses=["paid"]).collect())
+    assert got == want and len(want) > 0
+    assert o.where(F.col("order_status") == "paid").count() == sum(r[2] for r in want)

@@ -96,3 +96,62 @@ def test_hot_order_holding_a_third_of_lines(spark):
         B.fact_order(spark, SF_SMALL).limit(1).withColumn("order_id", F.lit(-1).cast("long")))
     r = ml.ratings(hot, orders)
     assert r.agg(F.sum("purchase_count")).first()[0] > 0
+
+
+def _py_rfm(rows, as_of):
+    """Plain-Python reference rules over (order_id, user, status, amount, date) rows."""
+    import pandas as pd
+    valid = [r for r in rows if r[2] in ("paid", "shipped", "completed") and r[3] > 0]
+    users = {}
+    for _, u, _, amt, d in valid:
+        f = users.setdefault(u, [0, 0, None])
+        f[0] += 1
+        f[1] += round(amt * 100)
+        f[2] = d if f[2] is None or d > f[2] else f[2]
+    out = {}
+    for u, (n, cents, last) in users.items():
+        rec = (as_of - last).days
+        money = cents / 100
+        r = 3 if rec <= 7 else 2 if rec <= 30 else 1
+        f = 3 if n >= 10 else 2 if n >= 3 else 1
+        m = 3 if money >= 50000 else 2 if money >= 10000 else 1
+        t = r + f + m
+        out[u] = {"freq": n, "money": money, "rec": rec, "fixed": (r, f, m, t,
+                  "high" if t >= 7 else "mid" if t >= 5 else "low")}
+    if out:
+        df = pd.DataFrame([(v["rec"], v["freq"], v["money"]) for v in out.values()],
+                          columns=["r", "f", "m"]).astype("float64")
+        q = {c: df[c].quantile([0.33, 0.66]).tolist() for c in "rfm"}
+        for v in out.values():
+            r = 3 if v["rec"] <= q["r"][0] else 2 if v["rec"] <= q["r"][1] else 1
+            f = 3 if v["freq"] >= q["f"][1] else 2 if v["freq"] >= q["f"][0] else 1
+            m = 3 if v["money"] >= q["m"][1] else 2 if v["money"] >= q["m"][0] else 1
+            v["tercile"] = (r, f, m)
+    return out
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(1, 8), st.sampled_from(["paid", "shipped", "completed",
+                                                              "pending", "cancelled"]),
+                          st.integers(-500, 6_000_000), st.integers(0, 60)),
+                min_size=1, max_size=60))
+def test_rfm_matches_python_rules(spark, draws):
+    import datetime as dt
+
+    from shoplake.operators import clean, users
+    as_of = dt.date(2026, 6, 1)
+    rows = [(i, u, s, cents / 100, as_of - dt.timedelta(days=back))
+            for i, (u, s, cents, back) in enumerate(draws)]
+    text = [(i, u, s, f"{a:.2f}", "0", f"{a:.2f}", "card", f"{d.isoformat()} 08:00:00")
+            for i, u, s, a, d in rows]
+    schema = ("order_id long, user_id long, order_status string, order_amount string, "
+              "discount_amount string, actual_amount string, payment_method string, "
+              "order_time string")
+    dwd = clean.dwd_order(spark.createDataFrame(text, schema))
+    want = _py_rfm(rows, as_of)
+    fixed = {r.user_id: (r.r_score, r.f_score, r.m_score, r.rfm_total, r.user_tier)
+             for r in users.rfm_fixed(dwd, as_of=as_of.isoformat()).collect()}
+    assert fixed == {u: v["fixed"] for u, v in want.items()}
+    terc = {r.user_id: (r.r_score, r.f_score, r.m_score)
+            for r in users.rfm_tercile(users.rfm_base(dwd, as_of=as_of.isoformat())).collect()}
+    assert terc == {u: v["tercile"] for u, v in want.items()}

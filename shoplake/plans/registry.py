@@ -412,3 +412,33 @@ register("behavior_uv_pv_stream", with_ctes(UV_PV))(
     lambda s, d: sio.replay_uv_pv(s, B.user_behavior(s, d)))
 register("order_window_totals_stream", ORACLE_SQL["order_window_totals"])(
     lambda s, d: sio.replay_order_totals(s, B.fact_order(s, d)))
+
+register("cohort_conversion_all_users", with_ctes(
+    "SELECT r.register_month, r.registered_users, COALESCE(b.fmb, 0) AS first_month_buyers, "
+    f"{pct('COALESCE(b.fmb, 0)', 'r.registered_users')} AS conversion_rate FROM ("
+    "SELECT strftime(register_date, '%Y-%m') AS register_month, COUNT(user_id) AS registered_users "
+    "FROM dim_user GROUP BY 1) r LEFT JOIN ("
+    "SELECT register_month, COUNT(DISTINCT CASE WHEN first_order_month = register_month "
+    "THEN user_id END) AS fmb FROM fo GROUP BY register_month) b "
+    "ON r.register_month = b.register_month", dwd=DWD, fo=FIRST_ORDER))(
+    lambda s, d: users.cohort_conversion(_dwd(s, d), B.dim_user(s, d), "all_users"))
+
+VALID_LINES = (
+    "SELECT * FROM fact_order_detail WHERE order_id IN (SELECT order_id FROM fact_order "
+    "WHERE order_status IN ('paid','shipped','completed') AND CAST(actual_amount AS DECIMAL(18,2)) > 0)")
+LP_VALID = "vl l LEFT JOIN dim_product p ON l.product_id = p.product_id"
+
+register("category_sales_valid_orders", with_ctes(
+    f"SELECT p.category, COUNT(DISTINCT l.product_id) AS product_cnt, COUNT(l.detail_id) AS sold_qty, "
+    f"CAST(SUM(l.quantity) AS BIGINT) AS units_sold, {msum('l.subtotal')} AS total_gmv, "
+    f"CAST({_PROFIT} AS DOUBLE) AS total_profit, "
+    f"{rnd(f'CAST({_PROFIT} AS DOUBLE) / NULLIF({msum(SUBTOTAL)}, 0) * 100', 1)} "
+    f"AS profit_margin_pct FROM {LP_VALID} GROUP BY p.category", vl=VALID_LINES))(
+    lambda s, d: products.category_sales(B.fact_order_detail(s, d), B.dim_product(s, d),
+                                         orders=clean.valid_orders(B.fact_order(s, d))))
+
+register("co_purchase_distinct", with_ctes(
+    "SELECT a.product_id AS product_a, b.product_id AS product_b, "
+    "COUNT(DISTINCT a.order_id) AS co_count FROM fact_order_detail a JOIN fact_order_detail b "
+    "ON a.order_id = b.order_id AND a.product_id < b.product_id GROUP BY 1, 2"))(
+    lambda s, d: baskets.co_purchase(B.fact_order_detail(s, d), distinct_per_order=True))

@@ -146,11 +146,15 @@ USER_SPENDING = (
 register("user_spending", with_ctes(USER_SPENDING, dwd=DWD))(
     lambda s, d: users.user_spending(_dwd(s, d)))
 
-RFM_FIXED = (
-    "SELECT *, CAST(CASE WHEN recency_days <= 7 THEN 3 WHEN recency_days <= 30 THEN 2 ELSE 1 END AS INT) AS r_score, "
-    "CAST(CASE WHEN order_cnt >= 10 THEN 3 WHEN order_cnt >= 3 THEN 2 ELSE 1 END AS INT) AS f_score, "
-    f"CAST(CASE WHEN total_spent >= {M_CUTS[0]} THEN 3 WHEN total_spent >= {M_CUTS[1]} THEN 2 ELSE 1 END AS INT) AS m_score "
-    f"FROM (SELECT *, CAST(date_diff('day', last_order_date, DATE '{AS_OF}') AS INT) AS recency_days FROM us)")
+def rfm_fixed_sql(m_cuts) -> str:
+    return (
+        "SELECT *, CAST(CASE WHEN recency_days <= 7 THEN 3 WHEN recency_days <= 30 THEN 2 ELSE 1 END AS INT) AS r_score, "
+        "CAST(CASE WHEN order_cnt >= 10 THEN 3 WHEN order_cnt >= 3 THEN 2 ELSE 1 END AS INT) AS f_score, "
+        f"CAST(CASE WHEN total_spent >= {m_cuts[0]} THEN 3 WHEN total_spent >= {m_cuts[1]} THEN 2 ELSE 1 END AS INT) AS m_score "
+        f"FROM (SELECT *, CAST(date_diff('day', last_order_date, DATE '{AS_OF}') AS INT) AS recency_days FROM us)")
+
+
+RFM_FIXED = rfm_fixed_sql(M_CUTS)
 RFM_FIXED_TIER = (
     "SELECT *, CASE WHEN rfm_total >= 7 THEN 'high' WHEN rfm_total >= 5 THEN 'mid' ELSE 'low' END AS user_tier "
     "FROM (SELECT *, CAST(r_score + f_score + m_score AS INT) AS rfm_total FROM rf)")
@@ -442,3 +446,9 @@ register("co_purchase_distinct", with_ctes(
     "COUNT(DISTINCT a.order_id) AS co_count FROM fact_order_detail a JOIN fact_order_detail b "
     "ON a.order_id = b.order_id AND a.product_id < b.product_id GROUP BY 1, 2"))(
     lambda s, d: baskets.co_purchase(B.fact_order_detail(s, d), distinct_per_order=True))
+
+# the reference's own spend cut-offs (50000 / 10000): most TESTDATA users score M = 3
+register("rfm_fixed_reference_cuts", with_ctes(
+    "SELECT * FROM rfm", dwd=DWD, us=USER_SPENDING, rf=rfm_fixed_sql((50000, 10000)),
+    rfm=RFM_FIXED_TIER))(
+    lambda s, d: users.rfm_fixed(_dwd(s, d), as_of=AS_OF))

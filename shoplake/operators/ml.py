@@ -87,6 +87,13 @@ def als_estimator(implicit: bool = False, blocks: int | None = None, **params):
                implicitPrefs=implicit, coldStartStrategy="drop", **p)
 
 
+def als_fit(r: DataFrame, implicit: bool = False, train_pct: int = 80, **params):
+    """M2: fit on the train split only (no counts, no evaluation)."""
+    train = _als_input(r).where(train_flag(["user_id", "product_id"], train_pct))
+    with persisted(train):
+        return als_estimator(implicit, **params).fit(train)
+
+
 def als_fit_evaluate(r: DataFrame, implicit: bool = False, train_pct: int = 80, **params):
     """M2 + M3: fit on the train split, RMSE on the test split.
 
@@ -123,7 +130,7 @@ def als_top_k(r: DataFrame, products: DataFrame, k: int = ALS_TOP_K, implicit: b
     reference's subset call over all rated users).
     """
     if model is None:
-        model, _, _, _ = als_fit_evaluate(r, implicit, **params)
+        model = als_fit(r, implicit, **params)
     recs = (model.recommendForAllUsers(k)
             .select("user_id", F.explode("recommendations").alias("rec"))
             .select("user_id", F.col("rec.product_id").alias("product_id"),

@@ -185,3 +185,10 @@ def test_order_totals_replay_with_status_filter(spark):
     want = sorted(tuple(r) for r in order_window_totals(o, statuses=["paid"]).collect())
     assert got == want and len(want) > 0
     assert o.where(F.col("order_status") == "paid").count() == sum(r[2] for r in want)
+
+
+def test_replay_of_empty_table(spark):
+    from conftest import SF_SMALL
+    from shoplake.sources import bindings as B
+    ev = B.user_behavior(spark, SF_SMALL).where("log_id < 0")
+    assert sio.replay_uv_pv(spark, ev).count() == 0

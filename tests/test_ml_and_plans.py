@@ -3,6 +3,7 @@
 import os
 import pathlib
 import re
+import sys
 import tempfile
 
 from pyspark.sql import functions as F
@@ -187,3 +188,16 @@ def test_tsv_snapshot_nulls_and_quotes(spark):
     snapshot.write_snapshot(df, root, "dim_product", "2026-05-18")
     back = snapshot.read_snapshot(spark, root, "dim_product", "2026-05-18")
     assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
+
+
+def test_command_line_job():
+    import subprocess
+    out = tempfile.mkdtemp(prefix="shoplake-cli-")
+    proc = subprocess.run(
+        [sys.executable, "-m", "shoplake", "etl", "--testdata", SF_SMALL, "--out", f"{out}/ads",
+         "--as-of", "2001-08-02", "--master", "local[2]"],
+        cwd=str(ROOT), capture_output=True, text=True, timeout=600)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    written = dict(line.split("\t") for line in proc.stdout.strip().splitlines())
+    assert {"daily_trade", "user_rfm", "kpi_dashboard"} <= set(written)
+    assert os.path.isdir(written["daily_trade"])

@@ -192,3 +192,36 @@ def test_replay_of_empty_table(spark):
     from shoplake.sources import bindings as B
     ev = B.user_behavior(spark, SF_SMALL).where("log_id < 0")
     assert sio.replay_uv_pv(spark, ev).count() == 0
+
+
+def test_live_order_totals_job(spark):
+    from shoplake.streaming import jobs as sjobs
+    root = tempfile.mkdtemp(prefix="shoplake-live-orders-")
+    src = os.path.join(root, "src")
+    os.makedirs(src)
+    base = time.time() - 1000
+    for i, rows in enumerate([[(1, 5, 10.0), (2, 20, 2.5)], [(3, 200, 1.0)]]):
+        path = os.path.join(src, f"o-{i}.json")
+        with open(path, "w") as f:
+            for oid, sec, amt in rows:
+                f.write(json.dumps({"order_id": oid, "user_id": 7, "order_status": "paid",
+                                    "actual_amount": amt, "items": [],
+                                    "order_time": f"2024-01-01 00:{sec // 60:02d}:{sec % 60:02d}"})
+                        + "\n")
+        os.utime(path, (base + i * 10, base + i * 10))
+    q = sjobs.start_order_totals(sio.json_lines_stream(spark, src, max_files_per_trigger=1),
+                                 os.path.join(root, "out"), os.path.join(root, "ckpt"),
+                                 available_now=True)
+    q.awaitTermination()
+    out = spark.read.schema("window_start timestamp, window_end timestamp, order_count long, "
+                            "total_amount double, avg_amount double").json(os.path.join(root, "out"))
+    assert [(r.order_count, r.total_amount, r.avg_amount) for r in out.collect()] == [(2, 12.5, 6.25)]
+
+
+def test_register_views(spark):
+    from conftest import SF_SMALL
+    from shoplake.sources import bindings as B
+    from shoplake.sources import snapshot
+    snapshot.register_views(B.business_tables(spark, SF_SMALL))
+    n = spark.sql("SELECT COUNT(*) AS n FROM fact_order WHERE order_status = 'paid'").first().n
+    assert n == B.fact_order(spark, SF_SMALL).where("order_status = 'paid'").count()

@@ -10,6 +10,8 @@ at runtime when the measured side is small.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -67,6 +69,13 @@ def main():
         for table, cols, pushed in s["scans"]:
             print(f"- scan `{table}`: columns [{cols}]" + (f"; pushed [{pushed}]" if pushed else ""))
         print()
+    print("## Appendix: `explain(\"formatted\")` of three flagship queries\n")
+    for name in ("daily_trade", "co_purchase", "rfm_tercile"):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            E.queries()[name](spark, sf).explain("formatted")
+        text = re.sub(r"file:/\S+/(\w+\.parquet)", r"\1", buf.getvalue().strip())
+        print(f"### {name}\n\n```\n{text}\n```\n")
 
 
 if __name__ == "__main__":

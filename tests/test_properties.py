@@ -155,3 +155,50 @@ def test_rfm_matches_python_rules(spark, draws):
     terc = {r.user_id: (r.r_score, r.f_score, r.m_score)
             for r in users.rfm_tercile(users.rfm_base(dwd, as_of=as_of.isoformat())).collect()}
     assert terc == {u: v["tercile"] for u, v in want.items()}
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(1, 9), st.integers(0, 120)), min_size=1, max_size=50),
+       st.lists(st.integers(0, 120), min_size=6, max_size=6))
+def test_repurchase_and_cohorts_match_python_rules(spark, draws, reg_days):
+    import datetime as dt
+
+    from shoplake.operators import clean, users
+    day0 = dt.date(2026, 1, 1)
+    text = [(i, u, "paid", "10.00", "0", "10.00", "card",
+             f"{(day0 + dt.timedelta(days=d)).isoformat()} 08:00:00")
+            for i, (u, d) in enumerate(draws)]
+    schema = ("order_id long, user_id long, order_status string, order_amount string, "
+              "discount_amount string, actual_amount string, payment_method string, "
+              "order_time string")
+    dwd = clean.dwd_order(spark.createDataFrame(text, schema))
+    # users 1..6 are registered; 7..9 are orphans
+    regs = {u: day0 + dt.timedelta(days=reg_days[u - 1]) for u in range(1, 7)}
+    u_df = spark.createDataFrame(
+        [(u, f"u{u}", "M", 30, "X", d.isoformat(), 0, None) for u, d in regs.items()],
+        "user_id long, user_name string, gender string, age int, city string, "
+        "register_date string, vip_level int, create_time string")
+
+    counts, first = {}, {}
+    for u, d in draws:
+        day = day0 + dt.timedelta(days=d)
+        counts[u] = counts.get(u, 0) + 1
+        first[u] = min(first.get(u, day), day)
+
+    def bucket(n):
+        return "1" if n == 1 else "2" if n == 2 else "3-5" if n <= 5 else "6-10" if n <= 10 else ">10"
+    want_b = {}
+    for n in counts.values():
+        want_b[bucket(n)] = want_b.get(bucket(n), 0) + 1
+    base = users.rfm_base(dwd, as_of="2026-12-31")
+    got_b = {r.purchase_cnt: r.user_cnt for r in users.repurchase_dist(base).collect()}
+    assert got_b == want_b
+
+    want_c = {}
+    for u, f in first.items():
+        month = regs[u].strftime("%Y-%m") if u in regs else None
+        reg, conv = want_c.get(month, (0, 0))
+        want_c[month] = (reg + 1, conv + (month == f.strftime("%Y-%m")))
+    got_c = {r.register_month: (r.registered_users, r.first_month_buyers)
+             for r in users.cohort_conversion(dwd, u_df).collect()}
+    assert got_c == want_c

@@ -128,6 +128,10 @@ def save_bucketed(df: DataFrame, table: str, key: str, num_buckets: int, path: s
 
     Two tables bucketed the same way on ``order_id`` (orders and order lines)
     join without a shuffle; the buckets are computed once, at write time.
+    Trade-off: a bucketed join has no shuffle for AQE to split, so a key that
+    holds a large share of the rows makes one bucket (one task) that large.
+    Bucket only on keys without such hot values; otherwise keep the shuffled
+    join, where AQE splits skewed partitions.
     """
     (df.write.mode("overwrite").format(fmt).bucketBy(num_buckets, key).sortBy(key)
      .option("path", path).saveAsTable(table))

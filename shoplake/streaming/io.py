@@ -127,7 +127,7 @@ QUANTILE_GRID = 1024
 
 def _slice_bounds(table: DataFrame, time_col: str, min_slices: int,
                   rows_per_slice: int, rows_per_file: int):
-    """Event-time cut points for slices of about equal row count, files and rows per slice.
+    """Event-time cut points for slices of about equal row count, files per slice, row count.
 
     One aggregate pass: the row count, the time range and a fixed grid of
     approximate time quantiles (bounded memory) from which the cuts are taken.
@@ -143,7 +143,7 @@ def _slice_bounds(table: DataFrame, time_col: str, min_slices: int,
     slices = min(QUANTILE_GRID, max(min_slices, -(-n // rows_per_slice)))
     files = max(1, -(-n // (slices * rows_per_file)))
     cuts = [stats["q"][round(k * QUANTILE_GRID / slices) - 1] for k in range(1, slices)]
-    return t_us, sorted({lo, *[int(c) for c in cuts], hi + 1}), files, -(-n // slices)
+    return t_us, sorted({lo, *[int(c) for c in cuts], hi + 1}), files, n
 
 
 def replay(spark: SparkSession, table: DataFrame, time_col: str,
@@ -166,8 +166,8 @@ def replay(spark: SparkSession, table: DataFrame, time_col: str,
     ``time_col``.  ``sentinel`` gives column values for one extra row at
     ``SENTINEL_TIME``, written with the last slice; it moves the watermark past
     every real window and sits in a window of its own that stays open, so it
-    is never emitted.  Runs of up to ``heap_state_rows`` rows keep their state
-    on the heap; larger runs use RocksDB.
+    is never emitted.  Tables of up to ``heap_state_rows`` rows keep their
+    state on the heap; larger ones use RocksDB.
     """
     base = work_dir or shared_dir(spark, name)
     src, out, ckpt = f"{base}/source", f"{base}/output", f"{base}/checkpoint"
@@ -197,12 +197,14 @@ def replay(spark: SparkSession, table: DataFrame, time_col: str,
         # about 2 M rows per core per run: a bigger cluster takes bigger slices,
         # while the state each task holds during a run stays bounded
         rows_per_slice = max(50_000_000, 2_000_000 * spark.sparkContext.defaultParallelism)
-    t_us, bounds, files, slice_rows = _slice_bounds(table, time_col, min_slices, rows_per_slice,
+    t_us, bounds, files, total_rows = _slice_bounds(table, time_col, min_slices, rows_per_slice,
                                                     rows_per_file)
     # state store chosen by size (fixed for the checkpoint's life): small state
-    # per run stays on the heap, large state goes to RocksDB on local disk
+    # stays on the heap, large state goes to RocksDB on local disk.  The whole
+    # table is the bound, since a hot timestamp can make one slice much larger
+    # than the average
     runner.conf.set("spark.sql.streaming.stateStore.providerClass",
-                    ROCKSDB_PROVIDER if slice_rows > heap_state_rows else HEAP_PROVIDER)
+                    ROCKSDB_PROVIDER if total_rows > heap_state_rows else HEAP_PROVIDER)
     ranges = list(zip(bounds, bounds[1:])) or [(None, None)]
     for i, (a, b) in enumerate(ranges):
         last = i == len(ranges) - 1

@@ -51,7 +51,11 @@ def snapshot_project(df: DataFrame, datetime_format: str = DATETIME_FORMAT,
         if money_as_double and isinstance(f.dataType, DecimalType):
             cols.append(F.col(f.name).cast("double").alias(f.name))
             continue
-        if isinstance(f.dataType, (TimestampType, TimestampNTZType)):
+        if isinstance(f.dataType, TimestampNTZType) and datetime_format == LAKE_DATETIME_FORMAT:
+            # the text of a wall time, free of the session time zone (date_format
+            # would shift wall times that a DST change skips)
+            cols.append(F.substring(F.col(f.name).cast("string"), 1, 19).alias(f.name))
+        elif isinstance(f.dataType, (TimestampType, TimestampNTZType)):
             cols.append(F.date_format(F.col(f.name), datetime_format).alias(f.name))
         elif isinstance(f.dataType, DateType):
             cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name))

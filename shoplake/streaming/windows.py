@@ -25,17 +25,33 @@ from shoplake.functions.columns import money_sum, to_money
 from shoplake.functions.labels import WINDOW_DURATION
 
 
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ntz_to_instant(c: Column) -> Column:
+    """TIMESTAMP_NTZ -> TIMESTAMP of the same wall time read as UTC, independent of the
+    session time zone (a plain cast would shift wall times a DST change skips)."""
+    return F.concat(c.cast("string"), F.lit("Z")).cast("timestamp")
+
+
+def instant_to_ntz(c: Column) -> Column:
+    """Inverse of ``ntz_to_instant``: the UTC wall time of an instant, as TIMESTAMP_NTZ."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch_ntz())
+
+
 def event_time(df: DataFrame, col: str, fmt: str | None = None) -> Column:
-    """A TIMESTAMP (session time zone) from a TIMESTAMP, TIMESTAMP_NTZ or text column.
+    """A TIMESTAMP from a TIMESTAMP, TIMESTAMP_NTZ or text column.
 
     Watermarks require TIMESTAMP; Parquet timestamps often load as
-    TIMESTAMP_NTZ, so they are cast (and cast back at the output).
+    TIMESTAMP_NTZ, so they become the instant of the same wall time in UTC
+    (and are turned back at the output), whatever the session time zone.
     """
     dt = df.schema[col].dataType
     if isinstance(dt, TimestampType):
         return F.col(col)
     if isinstance(dt, TimestampNTZType):
-        return F.col(col).cast("timestamp")
+        return ntz_to_instant(F.col(col))
     if isinstance(dt, StringType):
         return F.try_to_timestamp(F.col(col), F.lit(fmt)) if fmt else F.col(col).try_cast("timestamp")
     return F.col(col).cast("timestamp")
@@ -54,11 +70,19 @@ def with_event_time(df: DataFrame, col: str, delay: str | None = None,
     return df.withWatermark(out, delay) if delay else df
 
 
+def window_bound(df: DataFrame, col: str, delay: str | None):
+    """Maps a window bound back to TIMESTAMP_NTZ, matching how ``with_event_time`` built it."""
+    if isinstance(df.schema[col].dataType, TimestampNTZType):
+        return (lambda c: c) if delay is None else instant_to_ntz
+    return lambda c: c.cast("timestamp_ntz")
+
+
 def behavior_uv_pv(events: DataFrame, time_col: str = "behavior_time",
                    window: str = WINDOW_DURATION, delay: str | None = None,
                    exact: bool = True) -> DataFrame:
     """X2 + X4: per tumbling window and behaviour, distinct users (UV) and events (PV)."""
     df = with_event_time(events, time_col, delay)
+    bound = window_bound(events, time_col, delay)
     w = F.window("event_time", window).alias("w")
     if exact:
         per_user = df.groupBy(w, "behavior_type", "user_id").agg(F.count(F.lit(1)).alias("n"))
@@ -67,8 +91,7 @@ def behavior_uv_pv(events: DataFrame, time_col: str = "behavior_time",
     else:
         out = df.groupBy(w, "behavior_type").agg(
             F.approx_count_distinct("user_id").alias("uv"), F.count(F.lit(1)).alias("pv"))
-    return out.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                      "behavior_type", "uv", "pv")
+    return out.select(bound(F.col("w.start")).alias("window_start"), "behavior_type", "uv", "pv")
 
 
 def order_window_totals(orders: DataFrame, time_col: str = "order_time",
@@ -83,13 +106,14 @@ def order_window_totals(orders: DataFrame, time_col: str = "order_time",
     if statuses is not None:
         orders = orders.where(F.col("order_status").isin(*statuses))
     df = with_event_time(orders, time_col, delay)
+    bound = window_bound(orders, time_col, delay)
     out = df.groupBy(F.window("event_time", window).alias("w")).agg(
         F.count(F.lit(1)).alias("order_count"),
         money_sum(amount_col).alias("total_amount"),
         F.count(to_money(amount_col)).alias("_n"))
     return out.select(
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        bound(F.col("w.start")).alias("window_start"),
+        bound(F.col("w.end")).alias("window_end"),
         "order_count", "total_amount",
         F.try_divide(F.col("total_amount"), F.col("_n")).alias("avg_amount"))
 

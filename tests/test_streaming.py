@@ -225,3 +225,22 @@ def test_register_views(spark):
     snapshot.register_views(B.business_tables(spark, SF_SMALL))
     n = spark.sql("SELECT COUNT(*) AS n FROM fact_order WHERE order_status = 'paid'").first().n
     assert n == B.fact_order(spark, SF_SMALL).where("order_status = 'paid'").count()
+
+
+def test_ntz_wall_times_ignore_the_session_zone(spark):
+    from pyspark.sql import functions as F
+
+    from shoplake.sources import snapshot
+    from shoplake.streaming.windows import instant_to_ntz, ntz_to_instant
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Santiago")  # 1995-10-15 00:00 is skipped
+    try:
+        df = spark.sql("SELECT TIMESTAMP_NTZ'1995-10-15 00:00:00' AS order_time, "
+                       "CAST(1 AS DOUBLE) AS actual_amount, 'paid' AS order_status")
+        assert snapshot.snapshot_project(df).first().order_time == "1995-10-15 00:00:00"
+        back = df.select(instant_to_ntz(ntz_to_instant(F.col("order_time"))).alias("t")).first().t
+        assert back.isoformat() == "1995-10-15T00:00:00"
+        w = order_window_totals(df, delay="5 seconds").first()   # the streaming conversion path
+        assert w.window_start.isoformat() == "1995-10-15T00:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -25,3 +25,28 @@ def test_salting_and_scalar_subquery_are_in_the_plans(spark):
     assert "explode(sequence(0" in co            # right side copied per salt bucket
     terc = E.queries()["rfm_tercile"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "scalar-subquery" in terc and "Join" not in terc.split("scalar-subquery")[0]
+
+
+ML_CONTRACT = {
+    "als_rmse": "train_rows bigint, test_rows bigint, rmse double",
+    "als_top5": "user_id int, product_id int, product_name string, category string, score double",
+    "user_clusters": "user_id bigint, cluster int, order_cnt bigint, total_spent double, "
+                     "avg_order_value double",
+    "cluster_summary": "cluster int, user_cnt bigint, avg_orders double, avg_spent double, "
+                       "avg_aov double",
+    "cluster_quality": "cluster int, centre_order_cnt double, centre_total_spent double, "
+                       "centre_aov double, silhouette double",
+}
+
+
+@pytest.mark.parametrize("name", sorted(ML_CONTRACT))
+def test_rows_only_queries_keep_their_contract(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    got = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    assert got == ML_CONTRACT[name]
+
+
+def test_every_query_has_unique_column_names(spark):
+    for name in NAMES:
+        cols = E.queries()[name](spark, SF_SMALL).columns
+        assert cols and len(cols) == len(set(cols)), name

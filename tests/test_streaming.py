@@ -244,3 +244,36 @@ def test_ntz_wall_times_ignore_the_session_zone(spark):
         assert w.window_start.isoformat() == "1995-10-15T00:00:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_restart_keeps_watermark_and_state(spark):
+    """Stop and restart on one checkpoint: the watermark survives, a late row after the
+    restart is dropped, and windows closed before the restart are not emitted twice."""
+    root = tempfile.mkdtemp(prefix="shoplake-restart-")
+    src, out, ckpt = (os.path.join(root, n) for n in ("src", "out", "ckpt"))
+    os.makedirs(src)
+
+    def put(i, rows):
+        path = os.path.join(src, f"part-{i:03d}.json")
+        with open(path, "w") as f:
+            for sec, user, beh in rows:
+                f.write(json.dumps({"user_id": user, "behavior_type": beh,
+                                    "behavior_time": f"2024-01-01 00:{sec // 60:02d}:{sec % 60:02d}"})
+                        + "\n")
+        os.utime(path, (time.time() - 1000 + i * 10,) * 2)
+
+    def run():
+        stream = (spark.readStream.schema(SCHEMA).option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+                  .json(src))
+        q = sio.start_file_sink(behavior_uv_pv(stream, delay="5 seconds"), out, ckpt,
+                                fmt="json", available_now=True)
+        q.awaitTermination()
+        return sio.dropped_late_rows(q)
+
+    put(0, [(1, 1, "view"), (2, 2, "view"), (70, 1, "view")])
+    assert run() == 0                                    # watermark now 65 s: 00:00 closes
+    put(1, [(10, 3, "view"), (130, 1, "view")])          # the 10 s row is late after restart
+    assert run() == 1
+    rows = sorted((r.window_start.strftime("%H:%M"), r.uv, r.pv) for r in spark.read.schema(
+        "window_start timestamp, behavior_type string, uv long, pv long").json(out).collect())
+    assert rows == [("00:00", 2, 2), ("00:01", 1, 1)]

@@ -1,9 +1,9 @@
 """shoplake: retail analytics on Spark DataFrames.
 
 Every operator is a plain function ``DataFrame -> DataFrame`` built on the
-DataFrame API, Spark SQL, MLlib and Structured Streaming.  Library functions
-never trigger an action; actions live only in ``shoplake.plans.jobs`` and in
-the ML fits, which are actions by nature.
+DataFrame API, Spark SQL, MLlib and Structured Streaming.  Actions run
+in ``shoplake.plans.jobs``, the ML fits, exact quantiles (one bracketing row) and streaming runs over tables;
+all other functions only build plans.
 
 Sub-packages
 ------------

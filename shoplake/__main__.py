@@ -16,7 +16,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from shoplake.plans.jobs import JOBS, run_job
-from shoplake.session import DEFAULT_CONF
+from shoplake.session import DEFAULT_CONF, scale_conf
 from shoplake.sources import bindings, snapshot
 
 
@@ -30,19 +30,24 @@ def main(argv=None) -> None:
     ap.add_argument("--format", default="tsv", help="snapshot format (tsv or parquet)")
     ap.add_argument("--out", help="result folder (default: show results)")
     ap.add_argument("--as-of", help="recency reference date (default: today)")
+    ap.add_argument("--shuffle-gb", type=float, help="size of the largest shuffle; sets partition counts and sizes")
+    ap.add_argument("--cores", type=int, default=8, help="cores of the cluster, with --shuffle-gb")
     ap.add_argument("--master", help="only for local runs, e.g. local[8]")
     args = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName(f"shoplake-{args.job}")
     if args.master:
         builder = builder.master(args.master)
-    for k, v in DEFAULT_CONF.items():
+    conf = dict(DEFAULT_CONF)
+    if args.shuffle_gb:
+        conf |= scale_conf(int(args.shuffle_gb * (1 << 30)), args.cores)
+    for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     if args.lake:
         if not args.date:
             ap.error("--lake needs --date")
-        tables = snapshot.lake_tables(spark, args.lake, args.date, args.format)
+        tables = snapshot.lake_tables(spark, args.lake, args.date, args.format, optional=("fact_order_detail",))
     else:
         tables = bindings.business_tables(spark, args.testdata)
     written = run_job(spark, args.job, tables, args.out, as_of=args.as_of)

@@ -1,6 +1,6 @@
 """Column-level helpers shared by the operators.
 
-Money is summed as DECIMAL(18,2) and turned into DOUBLE only at the end, so
+Money is summed as DECIMAL(28,2) and turned into DOUBLE only at the end, so
 sums do not depend on the order in which partitions are merged.  Ratios are
 DOUBLE divisions rounded half-up, with ``try_divide`` so a zero denominator
 gives NULL instead of an ANSI error.
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DecimalType, StringType, TimestampNTZType,
                                TimestampType)
 
-MONEY = DecimalType(18, 2)
+MONEY = DecimalType(28, 2)
 
 
 def col_(c) -> Column:
@@ -21,7 +21,10 @@ def col_(c) -> Column:
 
 
 def to_money(c) -> Column:
-    """Exact two-place decimal; text or overflow becomes NULL (never raises)."""
+    """Exact two-place decimal; text that is no number, or 1e26 and more, becomes NULL (never raises).
+
+    ``clean.rejected_orders`` counts the numbers that do not fit.
+    """
     return col_(c).try_cast(MONEY)
 
 

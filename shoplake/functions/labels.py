@@ -10,18 +10,10 @@ FIXED VALUES (domain constants, thresholds and labels, stated as they are used):
 - tier cut-offs on R+F+M: >= 7 high, >= 5 mid, else low
 - RFM tercile probabilities: 0.33 and 0.66
 - purchase-count buckets: 1, 2, 3-5, 6-10, >10
-- RFM tercile labels, first match wins (r, f, m):
-  r = 3, f >= 2, m >= 2 -> key_value
-  r = 3, f <= 1, m >= 2 -> key_develop
-  r <= 2, f >= 2, m >= 2 -> key_retain
-  r <= 2, f <= 1, m >= 2 -> key_win_back
-  r = 3, f >= 2, m <= 1 -> general_value
-  r <= 2, f >= 2, m <= 1 -> general_retain
-  r <= 2, f <= 1, m <= 1 -> lost
-  otherwise -> new
+- RFM tercile labels: see RFM_LABEL_RULES, first match wins, otherwise new
 - stream watermark delay 5 seconds, tumbling window 1 minute
 - topics: user-behavior-log (behaviour events), order-stream (orders with items)
-- lake datetime text: yyyy-MM-dd HH:mm:ss (source side: %Y-%m-%d %H:%i:%s);
+- lake datetime text: yyyy-MM-dd HH:mm:ss;
   stream JSON timestamps: yyyy-MM-dd HH:mm:ss
 - ALS: rank 5, 5 iterations, regularisation 0.1, non-negative, seed 42, top 5;
   K-Means: k = 4, seed 42
@@ -41,15 +33,15 @@ TERCILE_PROBS = (0.33, 0.66)
 
 PURCHASE_BUCKETS = ("1", "2", "3-5", "6-10", ">10")
 
+# conditions on r_score, f_score and m_score
 RFM_LABEL_RULES = (
-    # (r_is_top, f_high, m_high, label); r_is_top: r == 3, else r <= 2
-    (True, True, True, "key_value"),
-    (True, False, True, "key_develop"),
-    (False, True, True, "key_retain"),
-    (False, False, True, "key_win_back"),
-    (True, True, False, "general_value"),
-    (False, True, False, "general_retain"),
-    (False, False, False, "lost"),
+    ("r_score = 3 AND f_score >= 2 AND m_score >= 2", "key_value"),
+    ("r_score = 3 AND f_score <= 1 AND m_score >= 2", "key_develop"),
+    ("r_score <= 2 AND f_score >= 2 AND m_score >= 2", "key_retain"),
+    ("r_score <= 2 AND f_score <= 1 AND m_score >= 2", "key_win_back"),
+    ("r_score = 3 AND f_score >= 2 AND m_score <= 1", "general_value"),
+    ("r_score <= 2 AND f_score >= 2 AND m_score <= 1", "general_retain"),
+    ("r_score <= 2 AND f_score <= 1 AND m_score <= 1", "lost"),
 )
 RFM_DEFAULT_LABEL = "new"
 
@@ -59,7 +51,6 @@ WINDOW_DURATION = "1 minute"
 BEHAVIOR_TOPIC = "user-behavior-log"
 ORDER_TOPIC = "order-stream"
 LAKE_DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-SOURCE_DATETIME_FORMAT = "%Y-%m-%d %H:%i:%s"
 STREAM_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 ALS_PARAMS = dict(rank=5, maxIter=5, regParam=0.1, nonnegative=True, seed=42)

@@ -11,6 +11,9 @@ Scale notes
   every bucket, so each pair is produced exactly once and a huge basket is
   spread over many tasks instead of one.  Ordinary orders get one bucket and
   are not copied.
+* Only orders above ``split_above`` enter the bucket lookup.  They are copied
+  to ``LOOKUP_PARTS`` parts and lines look them up by (order, part of the
+  product's hash), so a hot order is spread over that many tasks before any copy is made.
 * The pair count ``sum(lines_a * lines_b)`` equals the count of line pairs the
   reference produces (D11), without materialising the line pairs.
 """
@@ -44,6 +47,9 @@ def multi_product_orders(details: DataFrame, min_size: int = 2) -> DataFrame:
     return baskets(details, min_size).agg(F.count(F.lit(1)).alias("order_cnt"))
 
 
+LOOKUP_PARTS = 64
+
+
 def co_purchase(details: DataFrame, distinct_per_order: bool = False,
                 split_above: int | None = 2048) -> DataFrame:
     """J4 + A21: ``(product_a < product_b, co_count)`` over all orders.
@@ -62,17 +68,16 @@ def co_purchase(details: DataFrame, distinct_per_order: bool = False,
                              F.col("w").alias("wb"))
         pairs = left.join(right, "order_id")
     else:
-        # basket size per order: a partial aggregate (a hot order collapses
-        # map-side) joined back; unlike a window, a skewed join partition can
-        # be split by AQE.  Counting rows with ``w > 0`` (all of them) keeps this branch
-        # input identical to the join sides', so all three share one shuffle.
-        sizes = items.groupBy("order_id").agg(
-            F.greatest(F.lit(1), F.ceil(F.count_if(F.col("w") > 0) / F.lit(split_above)))
-            .cast("int").alias("buckets"))
-        salted = items.join(sizes, "order_id")
+        # basket size per order is a partial aggregate: a hot order collapses map-side
+        hot = (items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > split_above)
+               .select("order_id", F.ceil(F.col("n") / F.lit(split_above)).cast("int").alias("buckets"),
+                       F.explode(F.sequence(F.lit(0), F.lit(LOOKUP_PARTS - 1))).alias("part")))
+        part = F.pmod(F.xxhash64("product_id"), F.lit(LOOKUP_PARTS)).cast("int")
+        salted = (items.withColumn("part", part).join(hot, ["order_id", "part"], "left")
+                  .withColumn("buckets", F.coalesce("buckets", F.lit(1))))
         left = salted.select(
             "order_id", F.col("product_id").alias("product_a"), F.col("w").alias("wa"),
-            F.pmod(F.xxhash64("product_id"), F.col("buckets")).cast("int").alias("salt"))
+            F.pmod(F.xxhash64(F.lit(1), "product_id"), F.col("buckets")).cast("int").alias("salt"))
         right = salted.select(
             "order_id", F.col("product_id").alias("product_b"), F.col("w").alias("wb"),
             F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)).alias("salt"))
@@ -86,17 +91,21 @@ def top_co_purchase(details: DataFrame, products: DataFrame, k: int = 10,
                     distinct_per_order: bool = False, pairs: DataFrame | None = None) -> DataFrame:
     """T4 + J5: the k most co-purchased pairs with both product names.
 
-    The k-row top list is the broadcast side (a size bound by construction);
-    the product table is only scanned, never shuffled.  Pass ``pairs`` (a
-    ``co_purchase`` result) to reuse an already computed pair table.
+    The product table meets the at most 2k ids of the list in a semi join
+    whose broadcast side is the ids, and the surviving names are broadcast to
+    the list: both sides are bounded by k (repeated keys of the product table
+    aside), and products are only scanned, never shuffled.  Pass ``pairs`` (a ``co_purchase`` result) to
+    reuse an already computed pair table.
     """
     if pairs is None:
         pairs = co_purchase(details, distinct_per_order)
     top = (pairs
            .orderBy(F.col("co_count").desc(), F.col("product_a").asc(), F.col("product_b").asc())
            .limit(k))
-    names_a = products.select(F.col("product_id").alias("_pa"), F.col("product_name").alias("name_a"))
-    names_b = products.select(F.col("product_id").alias("_pb"), F.col("product_name").alias("name_b"))
-    with_a = names_a.join(F.broadcast(top), F.col("_pa") == F.col("product_a"), "right").drop("_pa")
-    with_b = names_b.join(F.broadcast(with_a), F.col("_pb") == F.col("product_b"), "right").drop("_pb")
-    return with_b.select("product_a", "product_b", "name_a", "name_b", "co_count")
+    ids = top.select(F.explode(F.array("product_a", "product_b")).alias("product_id")).distinct()
+    names = F.broadcast(products.select("product_id", "product_name").join(F.broadcast(ids), "product_id", "left_semi"))
+    return (top.join(names.select(F.col("product_id").alias("product_a"), F.col("product_name").alias("name_a")),
+                     "product_a", "left")
+            .join(names.select(F.col("product_id").alias("product_b"), F.col("product_name").alias("name_b")),
+                  "product_b", "left")
+            .select("product_a", "product_b", "name_a", "name_b", "co_count"))

@@ -1,9 +1,10 @@
 """DWD cleaning: valid-order filter, typed order rows, reject counts, weekend split.
 
-The valid-order predicate is applied directly on the source columns so that
-Catalyst pushes it into the scan (``PushedFilters`` on Parquet).  Text amounts
-and dates are parsed with ``try_*`` functions: dirty rows become NULL instead
-of failing the whole job under ANSI mode.
+The valid-order predicate tests the source columns as they are, so that
+Catalyst pushes it into the scan (``PushedFilters`` on Parquet) and no amount is
+rounded before it is judged.  Text amounts and dates are parsed with ``try_*``
+functions: dirty rows become NULL instead of failing the whole job under ANSI
+mode.  Amounts stay DOUBLE in the cleaned rows; only sums use a decimal.
 """
 
 from __future__ import annotations
@@ -12,46 +13,58 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from shoplake.functions.columns import money_sum, to_date_safe, to_double, to_money
 from shoplake.functions.labels import VALID_STATUSES
 
 
-def valid_predicate(statuses: Sequence[str] = VALID_STATUSES, min_amount: float | None = 0,
+def _amount(orders: DataFrame, amount_col: str) -> Column:
+    """The raw amount column; parsed only when it is text."""
+    text = isinstance(orders.schema[amount_col].dataType, StringType)
+    return to_double(amount_col) if text else F.col(amount_col)
+
+
+def valid_predicate(orders: DataFrame, statuses: Sequence[str] = VALID_STATUSES, min_amount: float | None = 0,
                     status_col: str = "order_status", amount_col: str = "actual_amount") -> Column:
     """``status IN statuses AND amount > min_amount`` (amount test skipped if None)."""
     cond = F.col(status_col).isin(*statuses)
     if min_amount is not None:
-        cond = cond & (to_money(amount_col) > F.lit(min_amount))
+        cond = cond & (_amount(orders, amount_col) > F.lit(min_amount))
     return cond
 
 
 def valid_orders(orders: DataFrame, statuses: Sequence[str] = VALID_STATUSES,
                  min_amount: float | None = 0) -> DataFrame:
     """Orders that count as sales."""
-    return (orders.where(valid_predicate(statuses, min_amount))
+    return (orders.where(valid_predicate(orders, statuses, min_amount))
             .select("order_id", "user_id", "order_status",
-                    to_double(to_money("actual_amount")).alias("actual_amount")))
+                    to_double("actual_amount").alias("actual_amount")))
 
 
 def dwd_order(orders: DataFrame, statuses: Sequence[str] = VALID_STATUSES,
               min_amount: float | None = 0, time_col: str = "order_time") -> DataFrame:
     """Cleaned, typed order rows (the DWD layer every trade metric reads)."""
     order_date = to_date_safe(time_col, orders.schema[time_col].dataType)
-    return (orders.where(valid_predicate(statuses, min_amount))
+    return (orders.where(valid_predicate(orders, statuses, min_amount))
             .select("order_id", "user_id", "order_status",
-                    to_double(to_money("order_amount")).alias("order_amount"),
-                    to_double(to_money("discount_amount")).alias("discount_amount"),
-                    to_double(to_money("actual_amount")).alias("actual_amount"),
+                    to_double("order_amount").alias("order_amount"),
+                    to_double("discount_amount").alias("discount_amount"),
+                    to_double("actual_amount").alias("actual_amount"),
                     "payment_method",
                     order_date.alias("order_date")))
 
 
 def rejected_orders(orders: DataFrame, statuses: Sequence[str] = VALID_STATUSES,
                     min_amount: float | None = 0) -> DataFrame:
-    """G1: total / kept / rejected in a single aggregate (no second scan)."""
-    keep = F.coalesce(valid_predicate(statuses, min_amount), F.lit(False))
-    return (orders.agg(F.count(F.lit(1)).alias("total"), F.count_if(keep).alias("kept"))
+    """G1: total / kept / rejected in a single aggregate (no second scan).
+
+    ``unfit_amounts`` counts kept rows whose amount is a number that money sums cannot hold.
+    """
+    keep = F.coalesce(valid_predicate(orders, statuses, min_amount), F.lit(False))
+    return (orders.agg(F.count(F.lit(1)).alias("total"), F.count_if(keep).alias("kept"),
+                       F.count_if(keep & to_double("actual_amount").isNotNull()
+                                  & to_money("actual_amount").isNull()).alias("unfit_amounts"))
             .withColumn("rejected", F.col("total") - F.col("kept")))
 
 

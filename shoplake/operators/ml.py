@@ -8,7 +8,10 @@ checkpoint folder.
 
 The train/test split is a hash of (user, product), not ``randomSplit``:
 ``randomSplit`` depends on how rows are partitioned, so a re-run on a
-different cluster layout would give a different split.
+different cluster layout would give a different split.  ALS uses a fixed number
+of blocks and K-Means a fixed hash layout, sorted within partitions, and clusters are
+numbered by their centres: results do not depend on the cluster's size, up
+to the last bits of floating-point sums.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoplake.functions.columns import money_avg
@@ -58,9 +61,9 @@ def rating_stats(r: DataFrame) -> DataFrame:
 
 
 def train_flag(cols: Sequence[str], train_pct: int = 80, seed: int = 42):
-    """True for the ``train_pct`` percent of rows chosen by a hash of ``cols``."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(100))
-    return bucket < train_pct
+    """True for about ``train_pct`` percent of rows, chosen by an MD5 of ``cols`` (the same in any SQL engine)."""
+    key = F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % 100 < train_pct
 
 
 def hash_split(df: DataFrame, cols: Sequence[str], train_pct: int = 80, seed: int = 42):
@@ -69,21 +72,47 @@ def hash_split(df: DataFrame, cols: Sequence[str], train_pct: int = 80, seed: in
     return df.where(flag), df.where(~flag)
 
 
+ID_BUCKETS = 1024
+ALS_BLOCKS = 10
+ITEM_BLOCK = 200_000
+KMEANS_PARTITIONS = 64
+
+
+def dense_ids(df: DataFrame, col: str, buckets: int = ID_BUCKETS) -> DataFrame:
+    """``(col, <col>_idx)``: the distinct values numbered 0, 1, ... as INT, whatever their own type.
+
+    Values are ranked within hash buckets and offset by the sizes of the
+    buckets before, a table of ``buckets`` rows: no task sees all values, and
+    a value's number follows from the values alone.
+    """
+    ids = df.select(col).where(F.col(col).isNotNull()).distinct().withColumn(
+        "_b", F.pmod(F.xxhash64(col), F.lit(buckets)))
+    sizes = ids.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    ranked = ids.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(col)) - 1)
+    # at most ``buckets`` rows
+    return ranked.join(F.broadcast(offsets), "_b").select(
+        col, (F.col("_off") + F.col("_r")).cast("int").alias(f"{col}_idx"))
+
+
+def split_ratings(r: DataFrame, train_pct: int = 80) -> DataFrame:
+    """M1: the rating pairs with ``is_train``."""
+    return r.select("user_id", "product_id", train_flag(["user_id", "product_id"], train_pct).alias("is_train"))
+
+
 def _als_input(r: DataFrame) -> DataFrame:
-    # ALS ids must be INT; under ANSI the cast fails loudly on overflow
-    return r.select(F.col("user_id").cast("int").alias("user_id"),
-                    F.col("product_id").cast("int").alias("product_id"), "rating")
+    """Ratings with dense INT ids: ALS takes INT ids only, the business keys are BIGINT."""
+    return (r.join(dense_ids(r, "user_id"), "user_id").join(dense_ids(r, "product_id"), "product_id")
+            .select("user_id", "product_id", "user_id_idx", "product_id_idx", "rating"))
 
 
-def als_estimator(implicit: bool = False, blocks: int | None = None, **params):
-    """ALS with the reference parameters; user/item blocks follow the cluster size."""
+def als_estimator(implicit: bool = False, blocks: int = ALS_BLOCKS, **params):
+    """ALS with the reference parameters and a fixed number of user and item blocks."""
     from pyspark.ml.recommendation import ALS
-    from pyspark.sql import SparkSession as _S
-    if blocks is None:
-        blocks = max(2, _S.active().sparkContext.defaultParallelism)
     p = dict(ALS_PARAMS, numUserBlocks=blocks, numItemBlocks=blocks)
     p.update(params)
-    return ALS(userCol="user_id", itemCol="product_id", ratingCol="rating",
+    return ALS(userCol="user_id_idx", itemCol="product_id_idx", ratingCol="rating",
                implicitPrefs=implicit, coldStartStrategy="drop", **p)
 
 
@@ -121,6 +150,51 @@ def als_rmse(spark: SparkSession, r: DataFrame, implicit: bool = False, **params
                                  "train_rows bigint, test_rows bigint, rmse double")
 
 
+def _top_items(item_ids, item_factors, k: int):
+    """Batches of user factors -> the k best items per user, equal scores by item number."""
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+        step = max(1, 4_000_000 // max(1, len(item_ids)))
+        take = min(k, len(item_ids))
+        for pdf in batches:
+            users = pdf["id"].to_numpy()
+            factors = np.array(pdf["features"].tolist(), dtype=np.float32).reshape(len(users), -1)
+            for at in range(0, len(users), step):
+                scores = factors[at:at + step] @ item_factors.T
+                order = np.argsort(-scores, axis=1, kind="stable")[:, :take]
+                yield pd.DataFrame({"user_id_idx": np.repeat(users[at:at + step], take),
+                                    "product_id_idx": item_ids[order].ravel(),
+                                    "score": np.take_along_axis(scores, order, axis=1).ravel().astype(float)})
+    return run
+
+
+def recommend(model, k: int, item_block: int = ITEM_BLOCK) -> DataFrame:
+    """M4: (user_id_idx, product_id_idx, score), the k best items of every user of the model.
+
+    Every user's factors meet every item's: that is the operator's cost,
+    users x items x rank multiplications.  Items come in blocks of at most
+    ``item_block`` (a few MB) that travel to the tasks holding the users; no join is
+    planned and only k rows per user and block leave a task.
+    """
+    import numpy as np
+    items = model.itemFactors
+    blocks = max(1, -(-items.count() // item_block))
+    parts = []
+    for b in range(blocks):
+        own = items.where(F.pmod(F.col("id"), F.lit(blocks)) == b).orderBy("id").toPandas()
+        factors = np.array(own["features"].tolist(), dtype=np.float32).reshape(len(own), -1)
+        parts.append(model.userFactors.mapInPandas(
+            _top_items(own["id"].to_numpy(), factors, k), "user_id_idx int, product_id_idx int, score double"))
+    if blocks == 1:
+        return parts[0]
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    best = Window.partitionBy("user_id_idx").orderBy(F.col("score").desc(), "product_id_idx")
+    return both.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k).drop("_r")
+
+
 def als_top_k(r: DataFrame, products: DataFrame, k: int = ALS_TOP_K, implicit: bool = False,
               model=None, **params) -> DataFrame:
     """M4 + M5 + J6: top-k products per rated user with names and rounded scores.
@@ -131,16 +205,23 @@ def als_top_k(r: DataFrame, products: DataFrame, k: int = ALS_TOP_K, implicit: b
     """
     if model is None:
         model = als_fit(r, implicit, **params)
-    recs = (model.recommendForAllUsers(k)
-            .select("user_id", F.explode("recommendations").alias("rec"))
-            .select("user_id", F.col("rec.product_id").alias("product_id"),
-                    F.round(F.col("rec.rating").cast("double"), 4).alias("score")))
-    names = products.select(F.col("product_id").cast("int").alias("product_id"),
-                            "product_name", "category")
+    recs = (recommend(model, k)
+            .join(dense_ids(r, "user_id"), "user_id_idx").join(dense_ids(r, "product_id"), "product_id_idx")
+            .select("user_id", "product_id", F.round("score", 4).alias("score")))
+    names = products.select("product_id", "product_name", "category")
     return dim_join(recs, names, "product_id").select(
         "user_id", "product_id", "product_name", "category", "score")
 
 
+def top_k_contract(recs: DataFrame, r: DataFrame) -> DataFrame:
+    """One row of facts any top-k must meet: users, rows per user, pairs named twice, products without a rating."""
+    known = r.select("product_id").distinct().withColumn("known", F.lit(1))
+    per_user = recs.join(known, "product_id", "left").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("product_id").alias("d"), F.count_if(F.col("known").isNull()).alias("u"))
+    return per_user.agg(F.count(F.lit(1)).alias("users"), F.min("n").alias("min_rows"), F.max("n").alias("max_rows"),
+                        F.sum(F.col("n") - F.col("d")).alias("repeated"), F.sum("u").alias("unknown_products"))
+
+
 def user_features(dwd: DataFrame | None, facts: DataFrame | None = None) -> DataFrame:
     """Order count, spend and mean order value per user."""
     from shoplake.operators.users import user_spending
@@ -160,17 +241,48 @@ def cluster_pipeline(k: int = KMEANS_K, seed: int = KMEANS_SEED):
     ])
 
 
-def fit_clusters(features: DataFrame, k: int = KMEANS_K, seed: int = KMEANS_SEED):
-    """Fit the pipeline; returns ``(pipeline_model, clustered_frame)``."""
-    with persisted(features):
-        model = cluster_pipeline(k, seed).fit(features)
-    return model, model.transform(features)
+def fit_clusters(features: DataFrame, k: int = KMEANS_K, seed: int = KMEANS_SEED,
+                 partitions: int = KMEANS_PARTITIONS):
+    """Fit on a fixed layout; returns ``(pipeline_model, order, clustered_frame)``.
+
+    ``order`` lists the fitted centre numbers by centre, least first; the
+    column ``cluster`` holds the position in that list, so numbers do not
+    depend on the order in which the fit found the clusters.
+    """
+    laid = features.repartition(partitions, "user_id").sortWithinPartitions("user_id")
+    with persisted(laid):
+        model = cluster_pipeline(k, seed).fit(laid)
+    centres = model.stages[-1].clusterCenters()                 # k small vectors
+    order = sorted(range(len(centres)), key=lambda i: tuple(round(float(x), 6) for x in centres[i]))
+    number = F.array(*[F.lit(order.index(i)) for i in range(len(centres))])
+    clustered = model.transform(laid).withColumn("cluster", F.get(number, F.col("cluster")).cast("int"))
+    return model, order, clustered
+
+
+def cluster_results(dwd: DataFrame | None, k: int = KMEANS_K, seed: int = KMEANS_SEED,
+                    facts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """M8-M10 + A25 from one fit: ``user_clusters``, ``cluster_summary``, ``cluster_quality``."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    features = user_features(dwd, facts)
+    spark = features.sparkSession
+    model, order, clustered = fit_clusters(features, k, seed)
+    silhouette = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
+                                     metricName="silhouette").evaluate(clustered)
+    centres = model.stages[-1].clusterCenters()
+    rows = [(i, *[round(float(x), 6) for x in centres[c]], round(float(silhouette), 6)) for i, c in enumerate(order)]
+    users = clustered.select("user_id", "cluster", *FEATURES)
+    return {
+        "user_clusters": users,
+        "cluster_summary": cluster_summary(users),
+        "cluster_quality": spark.createDataFrame(rows, "cluster int, centre_order_cnt double, "
+                                                       "centre_total_spent double, centre_aov double, "
+                                                       "silhouette double"),
+    }
 
 
 def user_clusters(dwd: DataFrame, k: int = KMEANS_K, seed: int = KMEANS_SEED) -> DataFrame:
-    """Cluster id per user with the three raw features."""
-    _, clustered = fit_clusters(user_features(dwd), k, seed)
-    return clustered.select("user_id", F.col("cluster").cast("int").alias("cluster"), *FEATURES)
+    """Cluster number per user with the three raw features."""
+    return fit_clusters(user_features(dwd), k, seed)[2].select("user_id", "cluster", *FEATURES)
 
 
 def cluster_summary(clusters: DataFrame) -> DataFrame:
@@ -182,19 +294,19 @@ def cluster_summary(clusters: DataFrame) -> DataFrame:
         money_avg("avg_order_value").alias("avg_aov"))
 
 
-def cluster_quality(spark: SparkSession, dwd: DataFrame, k: int = KMEANS_K,
-                    seed: int = KMEANS_SEED) -> DataFrame:
+def cluster_quality(dwd: DataFrame, k: int = KMEANS_K, seed: int = KMEANS_SEED) -> DataFrame:
     """M9 + M10: scaled cluster centres and the silhouette (one row per cluster)."""
-    from pyspark.ml.evaluation import ClusteringEvaluator
-    model, clustered = fit_clusters(user_features(dwd), k, seed)
-    silhouette = ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
-                                     metricName="silhouette").evaluate(clustered)
-    centres = model.stages[-1].clusterCenters()  # k small vectors
-    rows = [(i, float(c[0]), float(c[1]), float(c[2]), float(silhouette))
-            for i, c in enumerate(centres)]
-    return spark.createDataFrame(rows, "cluster int, centre_order_cnt double, "
-                                       "centre_total_spent double, centre_aov double, "
-                                       "silhouette double")
+    return cluster_results(dwd, k, seed)["cluster_quality"]
+
+
+def scaled_features(features: DataFrame, scale: int = 4) -> DataFrame:
+    """M6 + M7: the standardised features per user, rounded."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    stages = cluster_pipeline().getStages()[:2]
+    v = vector_to_array("features")
+    return Pipeline(stages=stages).fit(features).transform(features).select(
+        "user_id", *[F.round(v[i], scale).alias(f"{c}_scaled") for i, c in enumerate(FEATURES)])
 
 
 def sample_recommendations(recs: DataFrame, n_users: int = 3) -> DataFrame:

@@ -71,7 +71,7 @@ def category_sales(details: DataFrame | None, products: DataFrame | None,
             details = restrict_to_orders(details, orders)
         sales = sales_with_dims(details, products, broadcast)
     agg = sales.groupBy("category").agg(
-        F.count("product_id").alias("product_cnt"),
+        F.count_distinct("product_id").alias("product_cnt"),
         F.sum("lines").alias("sold_qty"),
         F.sum("units").alias("units_sold"),
         F.sum("gmv").cast("double").alias("total_gmv"),
@@ -95,7 +95,7 @@ def brand_sales(details: DataFrame | None, products: DataFrame | None,
         sales = sales_with_dims(details, products, broadcast)
     return sales.groupBy("category", "brand").agg(
         F.sum("gmv").cast("double").alias("brand_sales"),
-        F.count("product_id").alias("brand_products"))
+        F.count_distinct("product_id").alias("brand_products"))
 
 
 def brand_top3(details: DataFrame | None, products: DataFrame | None, k: int = 3,

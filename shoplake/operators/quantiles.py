@@ -1,13 +1,15 @@
-"""Exact quantiles (linear interpolation) computed without a single-task merge.
+"""Exact quantiles (linear interpolation) without collecting the values anywhere.
 
 ``percentile`` keeps a map of every distinct value in one aggregation buffer
 and merges all of them in the final task of a global aggregate; with billions
-of distinct money values that task runs out of memory.  Here the distinct
-values are counted (partial aggregation), range-partitioned, ranked inside
-each range partition, and offset by the per-partition totals, a table whose
-size is bounded by the number of range partitions times the number of
-measures.  Only the rows that hold the two ranks around each requested
-position survive to the final aggregate.
+of distinct money values that task runs out of memory.  Here a first pass
+brackets each wanted rank: ``percentile_approx`` has a rank error of at most
+n / ``ACCURACY``, so the values at p - 3/ACCURACY and p + 3/ACCURACY enclose
+it with two ranks to spare, once n reaches ACCURACY (fewer rows are one bracket).  The second pass counts the rows below each bracket and the distinct
+values inside (a 6/ACCURACY share of the rows), ranks those, and
+reads off the two order statistics around the position.  The brackets are
+plain numbers, so every row is judged by its value alone, whatever the
+partitioning or plan.
 
 The position is ``pos = p * (n - 1)`` and the value interpolates linearly
 between the order statistics around it, with weight ``t = pos - floor(pos)``,
@@ -23,68 +25,66 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ACCURACY = 10_000
+
 
 def quantile_name(measure: str, p: float) -> str:
     return f"{measure}_q{round(p * 100):02d}"
 
 
-MAX_RANGES = 4096
+def _brackets(df: DataFrame, cells: dict[str, Column], probs: Sequence[float], accuracy: int) -> list[tuple]:
+    """(measure, p, n, low, high) with the wanted ranks between low and high; one aggregate row."""
+    margin = 3 / accuracy
+    edges = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
+    row = df.agg(*[F.struct(F.count(c).alias("n"), F.percentile_approx(c, edges, accuracy).alias("q")).alias(m)
+                   for m, c in cells.items()]).first()
+    out = []
+    for m in cells:
+        for k, p in enumerate(probs):
+            if row[m]["n"]:
+                low, high = row[m]["q"][2 * k:2 * k + 2]
+                if row[m]["n"] < accuracy:
+                    low, high = float("-inf"), float("inf")
+                out.append((m, float(p), row[m]["n"], low, high))
+    return out
 
 
 def exact_quantiles(df: DataFrame, measures: Mapping[str, Column | str],
-                    probs: Sequence[float], num_ranges: int | None = None) -> DataFrame:
+                    probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """One row with a column ``<measure>_q<pp>`` per measure and probability.
 
-    ``num_ranges`` is the number of range partitions of the distinct values
-    (default: ``spark.sql.shuffle.partitions``, at most ``MAX_RANGES``), which
-    bounds the broadcast offset table to ``num_ranges * len(measures)`` rows.
-    NULL values are ignored; a measure with no values gives NULL.
+    Runs the bracketing pass when called.  NULL values are ignored; a measure
+    with no values gives NULL.
     """
-    spark = df.sparkSession
-    if num_ranges is None:
-        num_ranges = min(MAX_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    names = list(measures)
-    cells = F.array(*[F.struct(F.lit(n).alias("m"), (F.col(c) if isinstance(c, str) else c)
-                               .cast("double").alias("v")) for n, c in measures.items()])
-    long = df.select(F.inline(cells)).where(F.col("v").isNotNull())
-    counts = long.groupBy("m", "v").agg(F.count(F.lit(1)).alias("c"))
-
-    ranged = (counts.repartitionByRange(num_ranges, "m", "v")
-              .withColumn("pid", F.spark_partition_id()))
-    in_part = Window.partitionBy("pid", "m").orderBy("v").rowsBetween(
+    cells = {m: (F.col(c) if isinstance(c, str) else c).cast("double") for m, c in measures.items()}
+    brackets = _brackets(df, cells, probs, accuracy)
+    # a bracket's rows keep their value, rows below it count under NULL
+    inside = [F.when(cells[m] <= F.lit(high), F.struct(
+        F.lit(i).alias("k"), F.when(cells[m] >= F.lit(low), cells[m]).alias("v")))
+        for i, (m, _, _, low, high) in enumerate(brackets)]
+    wanted = F.array(*inside) if inside else F.array().cast("array<struct<k:int,v:double>>")
+    counts = (df.select(F.explode(wanted).alias("x")).where(F.col("x").isNotNull())
+              .groupBy("x.k", "x.v").agg(F.count(F.lit(1)).alias("c")))
+    upto = Window.partitionBy("k").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    ranked = ranged.withColumn("cum", F.sum("c").over(in_part))
+    ranked = counts.withColumn("last", F.sum("c").over(upto) - 1)      # 0-based last rank of the value
 
-    # one row per (range partition, measure): bounded by num_ranges * len(measures)
-    per_part = ranked.groupBy("m", "pid").agg(F.sum("c").alias("pc"))
-    before = Window.partitionBy("m").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        "m", "pid",
-        F.coalesce(F.sum("pc").over(before), F.lit(0)).alias("off"),
-        F.sum("pc").over(Window.partitionBy("m")).alias("n"))
+    def order_statistic(k: int, rank: int) -> Column:
+        hit = (F.col("k") == k) & F.col("v").isNotNull() & (F.col("last") >= rank) & (F.col("last") - F.col("c") < rank)
+        return F.max(F.when(hit, F.col("v")))
 
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    located = (ranked.join(F.broadcast(offsets), ["m", "pid"])
-               .withColumn("hi", F.col("off") + F.col("cum"))        # 1-based last rank
-               .withColumn("lo", F.col("hi") - F.col("c") + 1)       # 1-based first rank
-               .withColumn("p", F.explode(probs_arr))
-               .withColumn("pos", F.col("p") * (F.col("n") - 1))
-               .withColumn("r0", F.floor("pos") + 1)
-               .withColumn("r1", F.ceil("pos") + 1))
-    hit0 = F.col("r0").between(F.col("lo"), F.col("hi"))
-    hit1 = F.col("r1").between(F.col("lo"), F.col("hi"))
-    per_q = (located.where(hit0 | hit1)
-             .groupBy("m", "p")
-             .agg(F.max(F.when(hit0, F.col("v"))).alias("v0"),
-                  F.max(F.when(hit1, F.col("v"))).alias("v1"),
-                  F.max("pos").alias("pos"))
-             .withColumn("t", F.col("pos") - F.floor("pos"))
-             .select("m", "p", F.when(F.col("t") >= 0.5,
-                                      F.col("v1") - (F.col("v1") - F.col("v0")) * (1 - F.col("t")))
-                     .otherwise(F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("t")).alias("q")))
+    place = {(m, p): (k, n) for k, (m, p, n, _, _) in enumerate(brackets)}
     out = []
-    for n in names:
+    for m in measures:
         for p in probs:
-            sel = (F.col("m") == n) & (F.col("p") == F.lit(float(p)))
-            out.append(F.max(F.when(sel, F.col("q"))).alias(quantile_name(n, p)))
-    return per_q.agg(*out)
+            name = quantile_name(m, p)
+            if (m, float(p)) not in place:
+                out.append(F.max(F.lit(None).cast("double")).alias(name))
+                continue
+            k, n = place[m, float(p)]
+            pos = float(p) * (n - 1)
+            t = pos - int(pos)
+            lo, hi = order_statistic(k, int(pos)), order_statistic(k, -int(-pos // 1))
+            value = hi - (hi - lo) * F.lit(1 - t) if t >= 0.5 else lo + (hi - lo) * F.lit(t)
+            out.append(F.coalesce(value, F.raise_error(F.lit(f"{name}: rank outside its bracket")).cast("double")).alias(name))
+    return ranked.agg(*out)

@@ -69,14 +69,15 @@ def vip_analysis(dwd: DataFrame | None, users: DataFrame, broadcast: bool = True
     """Per VIP level users, orders, revenue, AOV and ARPU.
 
     Orders are first reduced to one row per user (count and exact revenue),
-    then joined to the VIP level, then summed per level: the distinct-user
-    count becomes a plain count because each user appears once.
+    then joined to the VIP level, then summed per level.  Users are counted
+    distinctly: a user table with repeated keys multiplies orders and revenue, as
+    any join does, but not users.
     """
     per_user = _facts(dwd, facts)
     joined = dim_join(per_user, users.select("user_id", "vip_level"), "user_id",
                       broadcast=broadcast)
     agg = joined.groupBy("vip_level").agg(
-        F.count("user_id").alias("user_cnt"),
+        F.count_distinct("user_id").alias("user_cnt"),
         F.sum("n_orders").alias("order_cnt"),
         F.sum("revenue").cast("double").alias("total_revenue"),
         F.sum("n_amounts").alias("n_amounts"))
@@ -162,13 +163,9 @@ def rfm_thresholds(base: DataFrame, probs: Sequence[float] = TERCILE_PROBS,
 
 
 def _tercile_label() -> Column:
-    r3 = F.col("r_score") == 3
-    f2 = F.col("f_score") >= 2
-    m2 = F.col("m_score") >= 2
-    out = None
-    for r_top, f_hi, m_hi, label in RFM_LABEL_RULES:
-        cond = (r3 if r_top else ~r3) & (f2 if f_hi else ~f2) & (m2 if m_hi else ~m2)
-        out = F.when(cond, label) if out is None else out.when(cond, label)
+    out = F.when(F.lit(False), F.lit(None).cast("string"))
+    for condition, label in RFM_LABEL_RULES:
+        out = out.when(F.expr(condition), label)
     return out.otherwise(RFM_DEFAULT_LABEL)
 
 
@@ -189,12 +186,9 @@ def rfm_tercile(base: DataFrame, thresholds: DataFrame | None = None,
     # one scalar subquery, projected once as a struct column, read field by field
     th = thresholds.select(F.struct("*").alias("t")).scalar()
     return (base.withColumn("_th", th)
-            .withColumn("r_score", F.when(F.col("recency") <= q("r", lo), 3)
-                        .when(F.col("recency") <= q("r", hi), 2).otherwise(1).cast("int"))
-            .withColumn("f_score", F.when(F.col("frequency") >= q("f", hi), 3)
-                        .when(F.col("frequency") >= q("f", lo), 2).otherwise(1).cast("int"))
-            .withColumn("m_score", F.when(F.col("monetary") >= q("m", hi), 3)
-                        .when(F.col("monetary") >= q("m", lo), 2).otherwise(1).cast("int"))
+            .withColumn("r_score", _score_low_is_good(F.col("recency"), (q("r", lo), q("r", hi))).cast("int"))
+            .withColumn("f_score", _score_high_is_good(F.col("frequency"), (q("f", hi), q("f", lo))).cast("int"))
+            .withColumn("m_score", _score_high_is_good(F.col("monetary"), (q("m", hi), q("m", lo))).cast("int"))
             .drop("_th")
             .withColumn("rfm_label", _tercile_label()))
 
@@ -242,10 +236,10 @@ def first_order(dwd: DataFrame | None, users: DataFrame, broadcast: bool = True,
     """First order date and month per user, with the registration month.
 
     The first order is taken per user before the join, so the join carries
-    one row per user.
+    one row per user and registration month; repeated rows of the user table count once.
     """
     firsts = _facts(dwd, facts).select("user_id", "first_order_date")
-    regs = users.select("user_id", _register_month(users).alias("register_month"))
+    regs = users.select("user_id", _register_month(users).alias("register_month")).distinct()
     return (dim_join(firsts, regs, "user_id", broadcast=broadcast)
             .select("user_id", "register_month", "first_order_date",
                     month_key("first_order_date").alias("first_order_month")))
@@ -261,8 +255,8 @@ def cohort_conversion(dwd: DataFrame | None, users: DataFrame, denominator: str
     fo = first_order(dwd, users, broadcast, facts)
     converted = F.col("first_order_month") == F.col("register_month")
     per_month = fo.groupBy("register_month").agg(
-        F.count("user_id").alias("registered_users"),
-        F.count(F.when(converted, F.col("user_id"))).alias("first_month_buyers"))
+        F.count_distinct("user_id").alias("registered_users"),
+        F.count_distinct(F.when(converted, F.col("user_id"))).alias("first_month_buyers"))
     if denominator == "all_users":
         regs = (users.groupBy(_register_month(users).alias("register_month"))
                 .agg(F.count("user_id").alias("registered_users")))

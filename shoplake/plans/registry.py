@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoplake.operators import baskets, clean, ml, products, quality, trade, users
 from shoplake.plans.sqltext import dbl, dwd_sql, mavg, msum, pct, rnd, with_ctes
+from shoplake.session import shared_dir
 from shoplake.sources import bindings as B
 from shoplake.sources import snapshot
+from shoplake.sources.sinks import write_result
 from shoplake.streaming import io as sio
 from shoplake.streaming import windows
 
@@ -45,9 +47,8 @@ DWD = dwd_sql()
 # --- cleaning -----------------------------------------------------------------------------
 
 register("valid_orders", with_ctes(
-    f"SELECT order_id, user_id, order_status, {dbl('actual_amount')} AS actual_amount "
-    "FROM fact_order WHERE order_status IN ('paid','shipped','completed') "
-    "AND CAST(actual_amount AS DECIMAL(18,2)) > 0"))(
+    "SELECT order_id, user_id, order_status, CAST(actual_amount AS DOUBLE) AS actual_amount "
+    "FROM fact_order WHERE order_status IN ('paid','shipped','completed') AND actual_amount > 0"))(
     lambda s, d: clean.valid_orders(B.fact_order(s, d)))
 
 register("dwd_order", with_ctes("SELECT * FROM dwd", dwd=DWD))(_dwd)
@@ -55,9 +56,9 @@ register("dwd_order", with_ctes("SELECT * FROM dwd", dwd=DWD))(_dwd)
 register("rejected_orders", with_ctes(
     "SELECT COUNT(*) AS total, "
     "CAST(SUM(CASE WHEN order_status IN ('paid','shipped','completed') "
-    "AND CAST(actual_amount AS DECIMAL(18,2)) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS kept, "
+    "AND actual_amount > 0 THEN 1 ELSE 0 END) AS BIGINT) AS kept, CAST(0 AS BIGINT) AS unfit_amounts, "
     "COUNT(*) - CAST(SUM(CASE WHEN order_status IN ('paid','shipped','completed') "
-    "AND CAST(actual_amount AS DECIMAL(18,2)) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS rejected "
+    "AND actual_amount > 0 THEN 1 ELSE 0 END) AS BIGINT) AS rejected "
     "FROM fact_order"))(
     lambda s, d: clean.rejected_orders(B.fact_order(s, d)))
 
@@ -378,7 +379,32 @@ register("als_rmse")(lambda s, d: ml.als_rmse(s, _ratings(s, d)))
 register("als_top5")(lambda s, d: ml.als_top_k(_ratings(s, d), B.dim_product(s, d), 5))
 register("user_clusters")(lambda s, d: ml.user_clusters(_dwd(s, d)))
 register("cluster_summary")(lambda s, d: ml.cluster_summary(ml.user_clusters(_dwd(s, d))))
-register("cluster_quality")(lambda s, d: ml.cluster_quality(s, _dwd(s, d)))
+register("cluster_quality")(lambda s, d: ml.cluster_quality(_dwd(s, d)))
+
+# what any fit must meet, and the parts around the fits, in SQL
+IS_TRAIN = ("CAST('0x' || substr(md5('42:' || CAST(user_id AS VARCHAR) || ':' || CAST(product_id AS VARCHAR)), 1, 8) "
+            "AS BIGINT) % 100 < 80")
+register("als_split", with_ctes(f"SELECT user_id, product_id, {IS_TRAIN} AS is_train FROM r", r=RATINGS))(
+    lambda s, d: ml.split_ratings(_ratings(s, d)))
+register("als_top5_contract", with_ctes(
+    f"SELECT COUNT(DISTINCT user_id) AS users, CAST(5 AS BIGINT) AS min_rows, CAST(5 AS BIGINT) AS max_rows, "
+    f"CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS unknown_products FROM r WHERE {IS_TRAIN}", r=RATINGS))(
+    lambda s, d: ml.top_k_contract(ml.als_top_k(_ratings(s, d), B.dim_product(s, d), 5), _ratings(s, d)))
+_SCALED = ", ".join(rnd(f"({c} - AVG({c}) OVER ()) / STDDEV_SAMP({c}) OVER ()", 4) + f" AS {c}_scaled"
+                    for c in ("order_cnt", "total_spent", "avg_order_value"))
+register("scaled_features", with_ctes(
+    f"SELECT user_id, {_SCALED} FROM (SELECT user_id, COUNT(order_id) AS order_cnt, {msum('actual_amount')} AS total_spent, "
+    f"{mavg('actual_amount')} AS avg_order_value FROM dwd GROUP BY user_id)", dwd=DWD))(
+    lambda s, d: ml.scaled_features(ml.user_features(_dwd(s, d))))
+register("cluster_contract", with_ctes(
+    "SELECT CAST(4 AS BIGINT) AS clusters, COUNT(DISTINCT user_id) AS users, COUNT(DISTINCT user_id) AS user_rows FROM dwd",
+    dwd=DWD))(
+    lambda s, d: ml.user_clusters(_dwd(s, d)).agg(
+        F.count_distinct("cluster").alias("clusters"), F.count_distinct("user_id").alias("users"),
+        F.count("user_id").alias("user_rows")))
+register("recommendation_sample", with_ctes(
+    "SELECT * FROM r WHERE user_id IN (SELECT DISTINCT user_id FROM r ORDER BY user_id LIMIT 3)", r=RATINGS))(
+    lambda s, d: ml.sample_recommendations(_ratings(s, d), 3))
 
 # --- quality and lake ---------------------------------------------------------------------
 
@@ -394,6 +420,72 @@ register("snapshot_project", with_ctes(
     "payment_method, strftime(order_time, '%Y-%m-%d %H:%M:%S') AS order_time FROM fact_order"))(
     lambda s, d: snapshot.snapshot_project(B.fact_order(s, d)))
 
+
+
+def _snapshot_roundtrip(s, d):
+    orders = B.fact_order(s, d)
+    root = shared_dir(s, "snapshot")
+    snapshot.write_snapshot(orders, root, "fact_order", AS_OF)
+    return snapshot.read_snapshot(s, root, "fact_order", AS_OF, snapshot.snapshot_project(orders).schema)
+
+
+def _result_roundtrip(s, d):
+    daily = trade.daily_trade(_dwd(s, d))
+    path = write_result(daily, shared_dir(s, "result"))
+    return s.read.schema(daily.schema).options(header="true", sep="\t").csv(path)
+
+
+def _catalog_scan(s, d):
+    lake = B.fact_order(s, d)
+    root = shared_dir(s, "catalog")
+    path = snapshot.write_snapshot(lake, root, "fact_order", AS_OF, fmt="parquet")
+    snapshot.create_database(s, "shoplake_check")
+    name = snapshot.register_snapshot(s, "shoplake_check", "fact_order", path,
+                                      snapshot.snapshot_project(lake).schema, fmt="parquet")
+    return snapshot.read_catalog_table(s, name, ["order_id", "user_id", "actual_amount", "order_status"],
+                                       "order_status = 'paid'")
+
+
+def _order_items(s, d):
+    nested = B.fact_order_detail(s, d).groupBy("order_id").agg(
+        F.collect_list(F.struct("product_id", "quantity", "subtotal")).alias("items"))
+    return windows.explode_order_items(nested).withColumn("subtotal", F.col("subtotal").cast("double"))
+
+
+def _order_feed(s, d):
+    """Valid orders that carry a product_id of their own, as the fallback's input would."""
+    first = B.fact_order_detail(s, d).groupBy("order_id").agg(F.min("product_id").alias("product_id"))
+    return clean.valid_orders(B.fact_order(s, d)).join(first, "order_id")
+
+
+register("snapshot_roundtrip", ORACLE_SQL["snapshot_project"])(_snapshot_roundtrip)
+register("result_roundtrip", ORACLE_SQL["daily_trade"])(_result_roundtrip)
+register("catalog_scan", with_ctes(
+    "SELECT order_id, user_id, CAST(actual_amount AS DOUBLE) AS actual_amount, order_status FROM fact_order "
+    "WHERE order_status = 'paid'"))(_catalog_scan)
+register("order_items", with_ctes(
+    "SELECT order_id, product_id, quantity, CAST(subtotal AS DOUBLE) AS subtotal FROM fact_order_detail"))(_order_items)
+register("row_gate", with_ctes(
+    "SELECT 'dim_user' AS table_name, CAST(100 AS BIGINT) AS min_rows, COUNT(*) AS row_count, COUNT(*) >= 100 AS passed "
+    "FROM dim_user UNION ALL SELECT 'fact_order', 1000000000, COUNT(*), COUNT(*) >= 1000000000 FROM fact_order"))(
+    lambda s, d: quality.row_gate(quality.table_row_counts(
+        {"dim_user": B.dim_user(s, d), "fact_order": B.fact_order(s, d)}),
+        {"dim_user": 100, "fact_order": 1_000_000_000}))
+register("sorted_buckets", with_ctes(
+    "SELECT purchase_cnt, user_cnt, CAST(ROW_NUMBER() OVER (ORDER BY CASE purchase_cnt WHEN '1' THEN 1 WHEN '2' THEN 2 "
+    "WHEN '3-5' THEN 3 WHEN '6-10' THEN 4 ELSE 5 END) AS INT) AS position FROM (SELECT CASE WHEN frequency = 1 THEN '1' "
+    "WHEN frequency = 2 THEN '2' WHEN frequency BETWEEN 3 AND 5 THEN '3-5' WHEN frequency BETWEEN 6 AND 10 THEN '6-10' "
+    "ELSE '>10' END AS purchase_cnt, COUNT(user_id) AS user_cnt FROM base GROUP BY 1)", dwd=DWD, base=RFM_BASE))(
+    lambda s, d: users.repurchase_dist(_rfm_base(s, d)).select(
+        "purchase_cnt", "user_cnt", F.row_number().over(Window.orderBy(users.bucket_order())).alias("position")))
+register("category_order_sales", with_ctes(
+    f"SELECT p.category, COUNT(DISTINCT o.product_id) AS product_cnt, COUNT(o.order_id) AS order_cnt, "
+    f"{msum('o.actual_amount')} AS total_gmv FROM (SELECT v.order_id, v.actual_amount, f.product_id FROM (SELECT * FROM "
+    "fact_order WHERE order_status IN ('paid','shipped','completed') AND actual_amount > 0) v JOIN (SELECT order_id, "
+    "MIN(product_id) AS product_id FROM fact_order_detail GROUP BY order_id) f ON v.order_id = f.order_id) o "
+    "LEFT JOIN dim_product p ON o.product_id = p.product_id GROUP BY p.category"))(
+    lambda s, d: products.category_order_sales(_order_feed(s, d), B.dim_product(s, d)))
+
 # --- streaming ----------------------------------------------------------------------------
 
 
@@ -413,9 +505,11 @@ register("json_decode", with_ctes("SELECT log_id, product_id FROM ods_user_behav
         F.col("event_id").alias("log_id"), "props"), "props", "k bigint", "k")
     .select("log_id", F.col("k").alias("product_id")))
 register("behavior_uv_pv_stream", with_ctes(UV_PV))(
-    lambda s, d: sio.replay_uv_pv(s, B.user_behavior(s, d)))
+    lambda s, d: sio.stream_uv_pv(s, B.table_path(d, "events"), B.bind_events,
+                                  {"ts": sio.SENTINEL_TIME, "event_type": "~sentinel"}))
 register("order_window_totals_stream", ORACLE_SQL["order_window_totals"])(
-    lambda s, d: sio.replay_order_totals(s, B.fact_order(s, d)))
+    lambda s, d: sio.stream_order_totals(s, B.table_path(d, "orders"), B.bind_orders,
+                                         {"o_orderdate": sio.SENTINEL_TIME}))
 
 register("cohort_conversion_all_users", with_ctes(
     "SELECT r.register_month, r.registered_users, COALESCE(b.fmb, 0) AS first_month_buyers, "
@@ -429,7 +523,7 @@ register("cohort_conversion_all_users", with_ctes(
 
 VALID_LINES = (
     "SELECT * FROM fact_order_detail WHERE order_id IN (SELECT order_id FROM fact_order "
-    "WHERE order_status IN ('paid','shipped','completed') AND CAST(actual_amount AS DECIMAL(18,2)) > 0)")
+    "WHERE order_status IN ('paid','shipped','completed') AND actual_amount > 0)")
 LP_VALID = "vl l LEFT JOIN dim_product p ON l.product_id = p.product_id"
 
 register("category_sales_valid_orders", with_ctes(

@@ -1,7 +1,7 @@
 """SQL text helpers for the DuckDB oracle.
 
 They spell out, in plain SQL, the same arithmetic the Spark operators use:
-money summed as DECIMAL(18,2) and turned into DOUBLE, ratios divided as
+money summed as DECIMAL and turned into DOUBLE, ratios divided as
 DOUBLE and rounded half-up on the shortest decimal text of the double (which
 is how Spark rounds a DOUBLE).
 """
@@ -34,9 +34,9 @@ def pct(num: str, den: str, n: int = 1) -> str:
 
 def dwd_sql(statuses=("paid", "shipped", "completed"), min_amount=0) -> str:
     st = ", ".join(f"'{s}'" for s in statuses)
-    amount = "" if min_amount is None else f" AND CAST(actual_amount AS DECIMAL(18,2)) > {min_amount}"
-    return (f"SELECT order_id, user_id, order_status, {dbl('order_amount')} AS order_amount, "
-            f"{dbl('discount_amount')} AS discount_amount, {dbl('actual_amount')} AS actual_amount, "
+    amount = "" if min_amount is None else f" AND actual_amount > {min_amount}"
+    return ("SELECT order_id, user_id, order_status, CAST(order_amount AS DOUBLE) AS order_amount, "
+            "CAST(discount_amount AS DOUBLE) AS discount_amount, CAST(actual_amount AS DOUBLE) AS actual_amount, "
             f"payment_method, CAST(order_time AS DATE) AS order_date "
             f"FROM fact_order WHERE order_status IN ({st}){amount}")
 

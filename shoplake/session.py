@@ -98,11 +98,3 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
         return base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(path: str) -> str | None:
-    """Filesystem path for ``file:`` / bare paths, None for remote URIs."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return os.path.abspath(path)

@@ -80,13 +80,25 @@ BINDING_SQL = {
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def _project(df: DataFrame, cols: dict) -> DataFrame:
     return df.selectExpr(*[f"{expr} AS {name}" for name, expr in cols.items()])
 
 
+def bind_orders(orders: DataFrame) -> DataFrame:
+    return _project(orders, FACT_ORDER_COLS)
+
+
+def bind_events(events: DataFrame) -> DataFrame:
+    return _project(events, BEHAVIOR_COLS_SPARK)
+
+
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     n = read_table(spark, sf_dir, "nation")
@@ -98,7 +110,7 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _project(read_table(spark, sf_dir, "orders"), FACT_ORDER_COLS)
+    return bind_orders(read_table(spark, sf_dir, "orders"))
 
 
 def fact_order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +118,7 @@ def fact_order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _project(read_table(spark, sf_dir, "events"), BEHAVIOR_COLS_SPARK)
+    return bind_events(read_table(spark, sf_dir, "events"))
 
 
 BINDERS = {

@@ -37,10 +37,17 @@ def read_snapshot(spark: SparkSession, root: str, table: str, snapshot_date: str
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def lake_tables(spark: SparkSession, root: str, snapshot_date: str,
-                fmt: str = "tsv") -> dict[str, DataFrame]:
-    """All five business tables from one snapshot date (input for ``run_job``)."""
-    return {t: read_snapshot(spark, root, t, snapshot_date, fmt=fmt) for t in TABLES}
+def snapshot_exists(spark: SparkSession, root: str, table: str, snapshot_date: str) -> bool:
+    """Whether the dated folder is there, asked of the file system that holds it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(snapshot_path(root, table, snapshot_date))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def lake_tables(spark: SparkSession, root: str, snapshot_date: str, fmt: str = "tsv",
+                optional: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """The business tables from one snapshot date (input for ``run_job``); S9: absent ``optional`` ones are left out."""
+    return {t: read_snapshot(spark, root, t, snapshot_date, fmt=fmt) for t in TABLES
+            if t not in optional or snapshot_exists(spark, root, t, snapshot_date)}
 
 
 def snapshot_project(df: DataFrame, datetime_format: str = DATETIME_FORMAT,

@@ -1,14 +1,11 @@
-"""Stream sources, payload parsing, sinks and a replay harness.
+"""Stream sources, payload parsing, sinks, and streaming runs over a table's files.
 
 * ``read_kafka`` is a thin option builder over Spark's ``kafka`` source (the
   connector jar must be on the classpath; it is not in this environment).
 * ``parse_json_values`` turns any frame with a ``value`` column (Kafka
   binary, or text lines from a file source) into typed rows.
-* ``replay`` feeds a whole table through a streaming query: the rows are
-  appended to the shared folder in event-time slices and the query runs with
-  ``availableNow`` after each slice on one checkpoint; the last slice carries
-  a far-future sentinel row whose only purpose is to move the watermark past
-  every real window.
+* ``stream_table`` streams the files of a table through a query and closes its
+  last windows with one sentinel row.
 """
 
 from __future__ import annotations
@@ -26,7 +23,6 @@ from shoplake.session import shared_dir
 from shoplake.streaming.windows import behavior_uv_pv, order_window_totals
 
 SENTINEL_TIME = "2200-01-01 00:00:00"
-HEAP_PROVIDER = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -122,122 +118,67 @@ def start_console_sink(df: DataFrame, output_mode: str = "append", truncate: boo
             .option("truncate", str(truncate).lower()).start())
 
 
-QUANTILE_GRID = 1024
+def stream_table(spark: SparkSession, path: str, query: Callable[[DataFrame], DataFrame], sentinel: dict,
+                 fmt: str = "parquet", max_files_per_trigger: int | None = None, name: str = "stream",
+                 work_dir: str | None = None) -> DataFrame:
+    """Run a streaming ``query`` over the files of a static table; return what it emitted.
 
+    The table's own files are the stream source and are read once, in
+    micro-batches of ``max_files_per_trigger`` files (all at once by default; set it where
+    the files follow event time).  The first run takes the files, the second
+    resumes from the checkpoint (the path a restarted driver takes) and reads
+    one far-future ``sentinel`` row, the only row written, which moves the
+    watermark past every real window.  Its own window stays open and is never emitted.
+    ``query`` puts its watermark on the event time.
 
-def _slice_bounds(table: DataFrame, time_col: str, min_slices: int,
-                  rows_per_slice: int, rows_per_file: int):
-    """Event-time cut points for slices of about equal row count, files per slice, row count.
-
-    One aggregate pass: the row count, the time range and a fixed grid of
-    approximate time quantiles (bounded memory) from which the cuts are taken.
-    """
-    t_us = F.unix_micros(F.col(time_col).cast("timestamp"))
-    grid = [k / QUANTILE_GRID for k in range(1, QUANTILE_GRID)]
-    stats = table.agg(F.count(F.lit(1)).alias("n"), F.min(t_us).alias("lo"),
-                      F.max(t_us).alias("hi"),
-                      F.percentile_approx(t_us, grid, 10000).alias("q")).first()
-    n, lo, hi = stats["n"], stats["lo"], stats["hi"]
-    if not n or lo is None:
-        return t_us, [], 1, 0
-    slices = min(QUANTILE_GRID, max(min_slices, -(-n // rows_per_slice)))
-    files = max(1, -(-n // (slices * rows_per_file)))
-    cuts = [stats["q"][round(k * QUANTILE_GRID / slices) - 1] for k in range(1, slices)]
-    return t_us, sorted({lo, *[int(c) for c in cuts], hi + 1}), files, n
-
-
-def replay(spark: SparkSession, table: DataFrame, time_col: str,
-           query: Callable[[DataFrame], DataFrame], sentinel: dict | None = None,
-           min_slices: int = 2, rows_per_slice: int | None = None,
-           rows_per_file: int = 2_000_000, heap_state_rows: int = 5_000_000,
-           fmt: str = "parquet", name: str = "replay", work_dir: str | None = None) -> DataFrame:
-    """Run a streaming ``query`` over a whole static table; return what it emitted.
-
-    The table is appended to a source folder in event-time slices of about
-    ``rows_per_slice`` rows (default: 2 M per core of the cluster, at least
-    50 M; at least ``min_slices`` slices); after each slice the
-    query runs with ``availableNow`` on one checkpoint, so every run consumes
-    exactly the new slice and resumes state and watermark from the checkpoint
-    (the restart path a failed driver takes).  State per run stays bounded as
-    the table grows; files hold about ``rows_per_file`` rows, so each run is
-    read by many tasks.
-
-    ``query`` receives the streaming frame and must put its own watermark on
-    ``time_col``.  ``sentinel`` gives column values for one extra row at
-    ``SENTINEL_TIME``, written with the last slice; it moves the watermark past
-    every real window and sits in a window of its own that stays open, so it
-    is never emitted.  Tables of up to ``heap_state_rows`` rows keep their
-    state on the heap; larger ones use RocksDB.
+    State is kept in RocksDB.  Raises if any row was dropped as late.
     """
     base = work_dir or shared_dir(spark, name)
-    src, out, ckpt = f"{base}/source", f"{base}/output", f"{base}/checkpoint"
-    schema = table.schema
-    # the runs use their own session (same cluster, separate SQL conf), so
-    # per-run settings never leak into the caller's session
+    out, ckpt, extra = f"{base}/output", f"{base}/checkpoint", f"{base}/sentinel"
+    schema = spark.read.parquet(path).schema
+    # an empty frame gives the folder its place; its schema is that of the table
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(extra)
+    # the runs use their own session (same cluster, separate SQL conf)
     runner = spark.newSession()
+    runner.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    # as a glob that matches itself, the path may be a folder or one file
+    head, _, tail = path.rstrip("/").rpartition("/")
+    files = f"{head}/{{{tail}}}"
     dropped = 0
-
-    def run_available(final: bool) -> None:
-        nonlocal dropped
-        # only the last run needs the empty batch that flushes closed windows;
-        # earlier runs leave eviction to the next run's first batch
+    for final in (False, True):
+        if final:
+            row = spark.range(1).select(*[F.lit(sentinel.get(f.name)).cast(f.dataType).alias(f.name)
+                                          for f in schema.fields])
+            row.write.mode("append").parquet(extra)
+        # only the last run needs the empty batch that emits the closed windows
         runner.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(final).lower())
-        stream = file_stream(runner, src, schema, "parquet")
-        q = start_file_sink(query(stream), out, ckpt, fmt=fmt, available_now=True)
+        both = file_stream(runner, files, schema, "parquet", max_files_per_trigger).unionByName(
+            file_stream(runner, extra, schema, "parquet"))
+        result = query(both)
+        q = start_file_sink(result, out, ckpt, fmt=fmt, available_now=True)
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
         dropped += dropped_late_rows(q)
-
-    values = dict(sentinel or {})
-    sentinel_row = spark.range(1).select(*[
-        (F.lit(SENTINEL_TIME) if c == time_col else F.lit(values.get(c)))
-        .cast(schema[c].dataType).alias(c) for c in table.columns])
-    if rows_per_slice is None:
-        # about 2 M rows per core per run: a bigger cluster takes bigger slices,
-        # while the state each task holds during a run stays bounded
-        rows_per_slice = max(50_000_000, 2_000_000 * spark.sparkContext.defaultParallelism)
-    t_us, bounds, files, total_rows = _slice_bounds(table, time_col, min_slices, rows_per_slice,
-                                                    rows_per_file)
-    # state store chosen by size (fixed for the checkpoint's life): small state
-    # stays on the heap, large state goes to RocksDB on local disk.  The whole
-    # table is the bound, since a hot timestamp can make one slice much larger
-    # than the average
-    runner.conf.set("spark.sql.streaming.stateStore.providerClass",
-                    ROCKSDB_PROVIDER if total_rows > heap_state_rows else HEAP_PROVIDER)
-    ranges = list(zip(bounds, bounds[1:])) or [(None, None)]
-    for i, (a, b) in enumerate(ranges):
-        last = i == len(ranges) - 1
-        part = table.where((t_us >= F.lit(a)) & (t_us < F.lit(b))) if a is not None else table
-        if last:  # the sentinel rides in the last slice; it is not late within its batch
-            part = part.unionByName(sentinel_row)
-        part.repartition(files).write.mode("append").parquet(src)
-        run_available(final=last)
     if dropped:
-        raise RuntimeError(f"replay dropped {dropped} rows as late")
-    return spark.read.format(fmt).schema(query(table).schema).load(out)
+        raise RuntimeError(f"{dropped} rows came later than the watermark")
+    return spark.read.format(fmt).schema(result.schema).load(out)
 
 
-def replay_uv_pv(spark: SparkSession, events: DataFrame, time_col: str = "behavior_time",
-                 window: str = WINDOW_DURATION, delay: str = WATERMARK_DELAY,
-                 columns: Sequence[str] = ("log_id", "user_id", "product_id", "behavior_type"),
+def stream_uv_pv(spark: SparkSession, path: str, bind: Callable[[DataFrame], DataFrame], sentinel: dict,
+                 time_col: str = "behavior_time", window: str = WINDOW_DURATION, delay: str = WATERMARK_DELAY,
                  **kw) -> DataFrame:
-    """X1 + X2 streamed: UV/PV per window over a whole events table."""
-    table = events.select(*columns, time_col)
-    return replay(spark, table, time_col,
-                  lambda df: behavior_uv_pv(df, time_col, window, delay),
-                  sentinel={"behavior_type": "~sentinel"}, name="uvpv-replay", **kw)
+    """X1 + X2 streamed: UV/PV per window over the files of an events table; ``bind`` maps its columns."""
+    return stream_table(spark, path, lambda df: behavior_uv_pv(bind(df), time_col, window, delay), sentinel,
+                        name="uvpv-stream", **kw)
 
 
-def replay_order_totals(spark: SparkSession, orders: DataFrame, time_col: str = "order_time",
-                        window: str = WINDOW_DURATION, delay: str = WATERMARK_DELAY,
+def stream_order_totals(spark: SparkSession, path: str, bind: Callable[[DataFrame], DataFrame], sentinel: dict,
+                        time_col: str = "order_time", window: str = WINDOW_DURATION, delay: str = WATERMARK_DELAY,
                         statuses: Sequence[str] | None = None, **kw) -> DataFrame:
-    """X1 + X3 + K3 streamed: order totals per window written as JSON files."""
-    table = orders.select("order_id", "order_status", "actual_amount", time_col)
-    # the status filter runs before the watermark, so the sentinel must pass it
-    # (it still only counts in its own far-future window, which is never emitted)
-    status = statuses[0] if statuses else "~sentinel"
-    return replay(spark, table, time_col,
-                  lambda df: order_window_totals(df, time_col, window, delay, statuses),
-                  sentinel={"order_status": status}, fmt="json",
-                  name="order-totals-replay", **kw)
+    """X1 + X3 + K3 streamed: order totals per window written as JSON files.
+
+    With ``statuses`` the sentinel row must have one of them: the filter runs before the watermark.
+    """
+    return stream_table(spark, path, lambda df: order_window_totals(bind(df), time_col, window, delay, statuses),
+                        sentinel, fmt="json", name="order-totals-stream", **kw)

@@ -42,6 +42,41 @@ def test_valid_filter_edges(spark):
     assert (rej.total, rej.kept, rej.rejected) == (9, 2, 7)
 
 
+def test_valid_orders_judge_the_raw_amount(spark):
+    rows = [(1, 1, "paid", 0.004, 0.0, 0.004, "a", "2026-05-02 10:00:00"),
+            (2, 1, "paid", 2e16, 0.0, 2e16, "a", "2026-05-02 10:00:00"),
+            (3, 1, "paid", 5.0, 0.0, 5.0, "a", "2026-05-02 10:00:00"),
+            (4, 1, "paid", 3e27, 0.0, 3e27, "a", "2026-05-02 10:00:00")]
+    o = spark.createDataFrame(rows, "order_id long, user_id long, order_status string, order_amount double, "
+                                    "discount_amount double, actual_amount double, payment_method string, order_time string")
+    assert {r.order_id: r.actual_amount for r in clean.valid_orders(o).collect()} == {1: 0.004, 2: 2e16, 3: 5.0, 4: 3e27}
+    rej = clean.rejected_orders(o).first()
+    assert (rej.total, rej.kept, rej.rejected, rej.unfit_amounts) == (4, 4, 0, 1)
+    assert trade.kpi_dashboard(clean.dwd_order(o.where("order_id < 4"))).first().total_revenue == 2e16 + 5.0
+
+
+def test_distinct_counts_survive_repeated_dimension_keys(spark):
+    import duckdb
+    from conftest import SF_SMALL
+    from shoplake.plans import registry
+    from shoplake.sources import bindings as B
+    con = duckdb.connect()
+    for t in ("nation", "orders", "lineitem", "events"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    for t in ("customer", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet') UNION ALL "
+                    f"SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    u, p = (f(spark, SF_SMALL).unionAll(f(spark, SF_SMALL)) for f in (B.dim_user, B.dim_product))
+    dwd, d = clean.dwd_order(B.fact_order(spark, SF_SMALL)), B.fact_order_detail(spark, SF_SMALL)
+    got = {"vip_analysis": users.vip_analysis(dwd, u), "first_order": users.first_order(dwd, u),
+           "cohort_conversion": users.cohort_conversion(dwd, u), "category_sales": products.category_sales(d, p),
+           "brand_sales": products.brand_sales(d, p)}
+    for name, df in got.items():
+        cur = con.execute(registry.ORACLE_SQL[name])
+        cols = [c[0] for c in cur.description]
+        assert sorted(map(repr, cur.fetchall())) == sorted(repr(tuple(r)) for r in df.select(cols).collect()), name
+
+
 def test_weekend_flag(spark):
     # 2026-05-02 Saturday, 05-03 Sunday, 05-04 Monday
     o = orders(spark, [(1, 1, "paid", "1", "a", "2026-05-02 00:00:00"),
@@ -109,7 +144,7 @@ def test_exact_quantiles_match_percentile(spark):
     df = spark.range(0, 997).select(((F.col("id") * 7919) % 1013 / 3.0).alias("x"),
                                     (F.col("id") % 5).alias("y"))
     from shoplake.operators.quantiles import exact_quantiles
-    got = exact_quantiles(df, {"x": "x", "y": "y"}, [0.1, 0.33, 0.5, 0.66, 0.99], num_ranges=7).first()
+    got = exact_quantiles(df, {"x": "x", "y": "y"}, [0.1, 0.33, 0.5, 0.66, 0.99], accuracy=50).first()
     ref = df.agg(F.percentile("x", [0.1, 0.33, 0.5, 0.66, 0.99]).alias("px"),
                  F.percentile("y", [0.1, 0.33, 0.5, 0.66, 0.99]).alias("py")).first()
     for i, p in enumerate([10, 33, 50, 66, 99]):
@@ -238,6 +273,23 @@ def test_reconciliation(spark):
     assert [r.detail_id for r in bad] == [2] and bad[0].expected_subtotal == 3.0
 
 
+@pytest.mark.parametrize("reuse,aqe,parts", [("true", "true", 8), ("false", "true", 1), ("false", "false", 37)])
+def test_exact_quantiles_do_not_depend_on_the_plan(spark, reuse, aqe, parts):
+    from shoplake.operators.quantiles import exact_quantiles
+    other = spark.newSession()
+    for k, v in (("spark.sql.exchange.reuse", reuse), ("spark.sql.adaptive.enabled", aqe), ("spark.sql.shuffle.partitions", parts)):
+        other.conf.set(k, str(v))
+    df = other.range(0, 40_000, 1, 7).select(((F.col("id") * 7919) % 40_009).cast("double").alias("x"),
+                                             F.lit(None).cast("double").alias("nothing"))
+    got = exact_quantiles(df, {"x": "x", "nothing": "nothing"}, [0.33, 0.66])
+    values = sorted((i * 7919) % 40_009 for i in range(40_000))
+    assert got.first().nothing_q33 is None
+    for p, v in ((0.33, got.first().x_q33), (0.66, got.first().x_q66)):
+        pos = p * 39_999
+        assert v == pytest.approx(values[int(pos)] + (values[int(pos) + 1] - values[int(pos)]) * (pos - int(pos)), rel=1e-12)
+    assert got._jdf.queryExecution().sparkPlan().toString().count("Exchange") <= 4
+
+
 def test_exact_quantiles_equal_pandas_bitwise(spark):
     import random
 
@@ -250,7 +302,7 @@ def test_exact_quantiles_equal_pandas_bitwise(spark):
         xs = [round(rnd.uniform(0, 3e6), 2) for _ in range(n)]
         ys = [rnd.randint(1, 20) for _ in range(n)]
         df = spark.createDataFrame(list(zip(xs, ys)), "x double, y long")
-        got = exact_quantiles(df, {"x": "x", "y": "y"}, [0.33, 0.66], num_ranges=5).first()
+        got = exact_quantiles(df, {"x": "x", "y": "y"}, [0.33, 0.66], accuracy=100).first()
         for col, vals in (("x", xs), ("y", ys)):
             ref = pd.Series(vals, dtype="float64").quantile([0.33, 0.66])
             assert got[f"{col}_q33"] == ref.iloc[0] and got[f"{col}_q66"] == ref.iloc[1]

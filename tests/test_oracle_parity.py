@@ -5,10 +5,11 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from shoplake.plans import registry
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-SQL = E.oracle_sql()
+SQL = registry.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +27,7 @@ def _norm(rows, cols):
 
 
 def test_every_query_has_a_callable():
-    assert set(SQL) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
     assert len(E.queries()) >= 52
 
 

@@ -94,6 +94,11 @@ def test_hot_order_holding_a_third_of_lines(spark):
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
     orders = B.fact_order(spark, SF_SMALL).unionByName(
         B.fact_order(spark, SF_SMALL).limit(1).withColumn("order_id", F.lit(-1).cast("long")))
+    # per-task rows: the lookup deals the hot order to many parts, and so does the salted join
+    parts = hot.where("order_id = -1").select("product_id").distinct().groupBy(
+        F.pmod(F.xxhash64("product_id"), F.lit(baskets.LOOKUP_PARTS))).count()
+    n = hot.where("order_id = -1").select("product_id").distinct().count()
+    assert parts.agg(F.max("count")).first()[0] <= max(8, 4 * n / baskets.LOOKUP_PARTS)
     r = ml.ratings(hot, orders)
     assert r.agg(F.sum("purchase_count")).first()[0] > 0
 

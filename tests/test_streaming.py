@@ -94,13 +94,35 @@ def test_parse_and_order_totals(spark):
     assert sorted(r.product_id for r in items.collect()) == [7, 8]
 
 
-def test_replay_equals_batch_twin(spark):
+EVENT_SENTINEL = {"ts": sio.SENTINEL_TIME, "event_type": "~sentinel"}
+
+
+def test_table_stream_equals_batch_twin(spark):
+    from shoplake.sources import bindings as B
+    from conftest import SF_SMALL
+    got = sio.stream_uv_pv(spark, B.table_path(SF_SMALL, "events"), B.bind_events, EVENT_SENTINEL)
+    batch = behavior_uv_pv(B.user_behavior(spark, SF_SMALL))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_table_stream_in_several_micro_batches_writes_one_row(spark, tmp_path):
+    from pyspark.sql import functions as F
     from shoplake.sources import bindings as B
     from conftest import SF_SMALL
-    ev = B.user_behavior(spark, SF_SMALL)
-    replay = sorted(tuple(r) for r in sio.replay_uv_pv(spark, ev).collect())
-    batch = sorted(tuple(r) for r in behavior_uv_pv(ev).collect())
-    assert replay == batch
+    src = str(tmp_path / "events")
+    ev = B.read_table(spark, SF_SMALL, "events")
+    cuts = ev.selectExpr("percentile_approx(unix_micros(cast(ts as timestamp)), array(0.34, 0.67))").first()[0]
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    for lo, hi in zip([-1 << 62, *cuts], [*cuts, 1 << 62]):      # files in event-time order
+        ev.where((us >= lo) & (us < hi)).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)                                          # the source orders files by modification time
+    work = str(tmp_path / "work")
+    got = sio.stream_uv_pv(spark, src, B.bind_events, EVENT_SENTINEL, max_files_per_trigger=1, work_dir=work)
+    batch = behavior_uv_pv(B.user_behavior(spark, SF_SMALL))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+    assert len(os.listdir(f"{work}/checkpoint/commits")) >= 4
+    assert spark.read.parquet(f"{work}/sentinel").count() == 1
+    assert sorted(os.listdir(work)) == ["checkpoint", "output", "sentinel"]
 
 
 def test_json_lines_stream_order_totals(spark):
@@ -163,6 +185,8 @@ def test_connector_options():
     from shoplake.sources import jdbc
     o = jdbc.jdbc_options("jdbc:mysql://db/shop", jdbc.SOURCE_QUERIES["fact_order"], "order_id",
                           1, 5000, 3, user="u")
+    assert jdbc.bounds_query("SELECT a FROM t", "a") == "SELECT MIN(a) AS lo, MAX(a) AS hi, COUNT(*) AS n FROM (SELECT a FROM t) q"
+    assert (jdbc.partitions_for(0, 10), jdbc.partitions_for(10, 10), jdbc.partitions_for(11, 10)) == (1, 1, 2)
     assert o["dbtable"].startswith("(SELECT order_id") and o["dbtable"].endswith(") t")
     assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == \
         ("order_id", "1", "5000", "3")
@@ -175,23 +199,25 @@ def test_connector_options():
                  "maxOffsetsPerTrigger": "100000"}
 
 
-def test_order_totals_replay_with_status_filter(spark):
+def test_order_totals_stream_with_status_filter(spark):
     from pyspark.sql import functions as F
 
     from conftest import SF_SMALL
     from shoplake.sources import bindings as B
     o = B.fact_order(spark, SF_SMALL)
-    got = sorted(tuple(r) for r in sio.replay_order_totals(spark, o, statuses=["paid"]).collect())
+    got = sorted(tuple(r) for r in sio.stream_order_totals(
+        spark, B.table_path(SF_SMALL, "orders"), B.bind_orders, {"o_orderdate": sio.SENTINEL_TIME, "o_orderstatus": "O"},
+        statuses=["paid"]).collect())
     want = sorted(tuple(r) for r in order_window_totals(o, statuses=["paid"]).collect())
     assert got == want and len(want) > 0
     assert o.where(F.col("order_status") == "paid").count() == sum(r[2] for r in want)
 
 
-def test_replay_of_empty_table(spark):
+def test_table_stream_of_empty_table(spark, tmp_path):
     from conftest import SF_SMALL
     from shoplake.sources import bindings as B
-    ev = B.user_behavior(spark, SF_SMALL).where("log_id < 0")
-    assert sio.replay_uv_pv(spark, ev).count() == 0
+    B.read_table(spark, SF_SMALL, "events").where("event_id < 0").write.parquet(str(tmp_path / "events"))
+    assert sio.stream_uv_pv(spark, str(tmp_path / "events"), B.bind_events, EVENT_SENTINEL).count() == 0
 
 
 def test_live_order_totals_job(spark):

@@ -61,7 +61,7 @@ def test_filters_and_pruning_reach_the_scan(spark):
     as_double = spark.read.parquet(f"{root}/o").withColumn("actual_amount", F.col("actual_amount").cast("double"))
     as_double.write.parquet(f"{root}/d")
     plan = _plan(clean.dwd_order(spark.read.parquet(f"{root}/d")))
-    assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(actual_amount", plan)
+    assert re.search(r"PushedFilters: .*GreaterThan\(actual_amount", plan)
     daily = E.queries()["daily_trade"](spark, SF_SMALL)
     scan = [ln for ln in _plan(daily).splitlines() if "ReadSchema" in ln][0]
     assert "o_orderpriority" not in scan  # payment method not needed for the daily summary

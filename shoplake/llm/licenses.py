@@ -77,8 +77,10 @@ def _shingles(wh: Column, size: int) -> Column:
 
 def _signature(shingles: Column, bands: int) -> Column:
     """Per band the shingle of least hash, as (hash, shingle)."""
-    return F.array(*[F.array_min(F.transform(shingles, lambda h, b=b: F.struct(
-        F.xxhash64(h, F.lit(b)).alias("rank"), h.alias("shingle")))) for b in range(bands)])
+    def least(band: int) -> Column:
+        return F.array_min(F.transform(shingles, lambda h: F.struct(
+            F.xxhash64(h, F.lit(band)).alias("rank"), h.alias("shingle"))))
+    return F.array(*[least(b) for b in range(bands)])
 
 
 def scan_licenses(docs: DataFrame, templates: DataFrame, shingle: int = SHINGLE, bands: int = BANDS,

@@ -136,7 +136,7 @@ class _Source:
 def _starts_record(src: _Source, at: int) -> bool:
     """Whether the bytes at ``at`` decode to the begin of a WARC header."""
     try:
-        head = zlib.decompressobj(31).decompress(src.read(at, 4096), 4096)
+        head = zlib.decompressobj(31).decompress(src.read(at, 512), 64)
     except zlib.error:
         return False
     return head.startswith(b"WARC/1.") and b"\r\n" in head
@@ -194,11 +194,11 @@ def records_in_range(file, size: int, start: int, end: int):
     src = _Source(file, size)
     at = _first_record(src, start, end)
     while at is not None and at < min(end, size):
-        content, at = _member(src, at)
-        yield content
-        # anything between members (padding) is searched like the begin of a range
-        if at < size and not src.read(at, len(MAGIC)) == MAGIC:
-            at = _first_record(src, at, end)
+        if src.read(at, len(MAGIC)) == MAGIC and _starts_record(src, at):
+            content, at = _member(src, at)
+            yield content
+        else:                                  # padding or other bytes between members
+            at = _first_record(src, at + 1, end)
 
 
 def _reader(folder: str):

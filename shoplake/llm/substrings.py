@@ -10,14 +10,14 @@ a window that covers it also starts in a document with a smaller doc_id.
    one document only cannot be part of a repeat and go.  Whole copies go
    first: all windows of a copy start in the copy of smallest id.
 3. Each remaining suffix carries the hashes of 50 words to its right and of 38
-   to its left.  A task takes groups of whole prefixes, as many as fit
+   to its left; places of a document with the same context share one row.  A task takes groups of whole prefixes, as many as fit
    ``TREE_ROWS``, and builds the suffix tree of the right sides and the tree
    of the reversed left sides by sorting: neighbours' common prefix lengths
    give the internal nodes at each depth.  A window that starts j words
    left of the suffix start is a pair of nodes, at depth j to the left and
    50 - j to the right; together they are a node of depth 50, and suffixes below
    it whose doc_id is not the least mark the window.
-4. A prefix with more than ``HOT_ROWS`` suffixes does not fit one task.  It is
+4. A prefix with more than ``HOT_ROWS`` places does not go to one task.  It is
    lengthened to the full depth: each of its 39 windows becomes a prefix of its own,
    whose least doc_id is a partial aggregate.
 
@@ -80,6 +80,15 @@ def _suffix_starts(hashes, window: int, prefix: int):
     return pos, h[pos].view(np.int64)
 
 
+def _lists(arrays: list, kind):
+    """Arrow list array of numpy arrays."""
+    import numpy as np
+    import pyarrow as pa
+    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    flat = np.concatenate(arrays).astype(kind) if arrays else np.zeros(0, kind)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
 def _index(window: int, prefix: int):
     """Arrow batches (_row, doc_id, text) -> one row per document with its suffix starts."""
     def run(batches):
@@ -87,7 +96,7 @@ def _index(window: int, prefix: int):
         import numpy as np
         import pyarrow as pa
         for batch in batches:
-            sizes, shas, d1, d2, starts, keys = [], [], [], [], [], []
+            sizes, shas, d1, d2, starts, keys, own, counts = [], [], [], [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 words = text.split()                    # splits at exactly \x20 and \x09-\x0D
                 joined = b" ".join(words)
@@ -99,24 +108,29 @@ def _index(window: int, prefix: int):
                 shas.append(hashlib.sha256(joined).hexdigest())
                 d1.append(a)
                 d2.append(b)
-                starts.append(pos)
+                starts.append(pos.astype(np.int32))
                 keys.append(key)
-            offsets = pa.array(np.concatenate([[0], np.cumsum([len(p) for p in starts])]).astype(np.int32))
-            empty = np.zeros(0, dtype=np.int64)
+                distinct, count = np.unique(key, return_counts=True)
+                own.append(distinct)
+                counts.append(count)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_row"), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(shas, pa.string()),
-                 pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
-                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(starts or [empty]).astype(np.int32))),
-                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys or [empty])))],
-                names=["_row", "doc_id", "n_words", "sha", "c1", "c2", "pos", "key"])
+                 pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), _lists(starts, np.int32), _lists(keys, np.int64),
+                 _lists(own, np.int64), _lists(counts, np.int64)],
+                names=["_row", "doc_id", "n_words", "sha", "c1", "c2", "pos", "key", "own", "count"])
     return run
 
 
-INDEX = "_row bigint, doc_id bigint, n_words bigint, sha string, c1 bigint, c2 bigint, pos array<int>, key array<bigint>"
+INDEX = ("_row bigint, doc_id bigint, n_words bigint, sha string, c1 bigint, c2 bigint, pos array<int>, key array<bigint>, "
+         "own array<bigint>, count array<bigint>")
+
 
+def _suffixes(window: int, prefix: int, hot: bool):
+    """Arrow batches (_row, doc_id, text, pos, key, shared) -> one row per distinct suffix context of a document.
 
-def _suffixes(window: int, prefix: int):
-    """Arrow batches (_row, doc_id, text, pos, key) -> one row per suffix with its context as word hashes."""
+    ``shared`` names the prefixes to take.  Periodic text repeats one context
+    many times; the row then lists all its places.
+    """
     left_words = window - prefix
 
     def run(batches):
@@ -124,24 +138,36 @@ def _suffixes(window: int, prefix: int):
         import pyarrow as pa
         from numpy.lib.stride_tricks import sliding_window_view
         for batch in batches:
-            for row, doc, text, pos, key in zip(*[batch.column(c).to_pylist() for c in
-                                                  ("_row", "doc_id", "text", "pos", "key")]):
+            for row, doc, text, pos, key, shared in zip(*[batch.column(c).to_pylist() for c in (
+                    "_row", "doc_id", "text", "pos", "key", "shared")]):
+                wanted = np.array([x["key"] for x in shared if x["hot"] == hot], dtype=np.int64)
+                key, pos = np.array(key, dtype=np.int64), np.array(pos, dtype=np.int64)
+                mine = np.isin(key, wanted)
+                key, pos = key[mine], pos[mine]
+                if not len(pos):
+                    continue
                 hashes = _word_hashes(text.split())
-                pos = np.array(pos, dtype=np.int64)
                 padded = np.concatenate([np.zeros(left_words, np.uint64), hashes, np.zeros(window, np.uint64)])
-                right = sliding_window_view(padded, window)[pos + left_words]
-                left = sliding_window_view(padded, left_words)[pos][:, ::-1]
-                n = len(pos)
+                at: dict[tuple, list] = {}
+                for k in range(0, len(pos), 4096):                    # contexts of a few thousand places at a time
+                    part = pos[k:k + 4096]
+                    right = np.ascontiguousarray(sliding_window_view(padded, window)[part + left_words])
+                    left = np.ascontiguousarray(sliding_window_view(padded, left_words)[part][:, ::-1])
+                    sizes = zip(np.minimum(part, left_words).tolist(), np.minimum(len(hashes) - part, window).tolist())
+                    for p, x, l, r, n in zip(part.tolist(), key[k:k + 4096].tolist(), left, right, sizes):
+                        at.setdefault((x, *n, l.tobytes(), r.tobytes()), []).append(p)
+                n = len(at)
+                x, n_left, n_right, left, right = zip(*at)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, row)), pa.array(np.full(n, doc)), pa.array(pos), pa.array(key, pa.int64()),
-                     pa.array(np.minimum(pos, left_words)), pa.array(np.minimum(len(hashes) - pos, window)),
-                     pa.array([x.tobytes() for x in np.ascontiguousarray(left)], pa.binary()),
-                     pa.array([x.tobytes() for x in np.ascontiguousarray(right)], pa.binary())],
+                    [pa.array(np.full(n, row)), pa.array(np.full(n, doc)), pa.array(list(at.values()), pa.list_(pa.int64())),
+                     pa.array(x, pa.int64()), pa.array(n_left, pa.int64()), pa.array(n_right, pa.int64()),
+                     pa.array(left, pa.binary()), pa.array(right, pa.binary())],
                     names=["_row", "doc_id", "pos", "key", "n_left", "n_right", "left", "right"])
     return run
 
 
-SUFFIX = "_row bigint, doc_id bigint, pos bigint, key bigint, n_left bigint, n_right bigint, left binary, right binary"
+SUFFIX = ("_row bigint, doc_id bigint, pos array<bigint>, key bigint, n_left bigint, n_right bigint, "
+          "left binary, right binary")
 
 
 def _nodes(rows, width: int):
@@ -157,8 +183,8 @@ def _nodes(rows, width: int):
     return place, np.concatenate([[0], common])
 
 
-def _tree_marks(doc, pos, n_left, n_right, left, right, window: int, prefix: int):
-    """(suffix number, first window start, last window end) for the marked windows of one task's groups."""
+def _tree_marks(doc, n_left, n_right, left, right, window: int, prefix: int):
+    """(suffix number, words to its left) of the marked windows of one task's groups."""
     import numpy as np
     left_words = window - prefix
     r_place, r_common = _nodes(right, window)
@@ -176,7 +202,7 @@ def _tree_marks(doc, pos, n_left, n_right, left, right, window: int, prefix: int
         least = np.full(node.max() + 1, np.iinfo(np.int64).max)
         np.minimum.at(least, node, doc[valid])
         hit = valid[doc[valid] > least[node]]
-        out.append(np.stack([hit, pos[hit] - j], axis=1))
+        out.append(np.stack([hit, np.full(len(hit), j)], axis=1))
     return np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
 
 
@@ -189,11 +215,14 @@ def _trees(window: int, prefix: int, tree_rows: int):
 
         def work(table):
             cols = {c: table.column(c) for c in names}
-            num = {c: cols[c].to_numpy() for c in names[:6]}
-            wide = [np.frombuffer(b"".join(cols[c].to_pylist()), dtype=np.uint64).reshape(len(num["pos"]), -1)
+            num = {c: cols[c].to_numpy() for c in ("_row", "doc_id", "n_left", "n_right")}
+            wide = [np.frombuffer(b"".join(cols[c].to_pylist()), dtype=np.uint64).reshape(table.num_rows, -1)
                     for c in ("left", "right")]
-            found = _tree_marks(num["doc_id"], num["pos"], num["n_left"], num["n_right"], *wide, window, prefix)
-            row, start = num["_row"][found[:, 0]], found[:, 1]
+            found = _tree_marks(num["doc_id"], num["n_left"], num["n_right"], *wide, window, prefix)
+            # every place of the marked contexts
+            places = [np.array(p, dtype=np.int64) for p in cols["pos"].to_pylist()]
+            row = np.repeat(num["_row"][found[:, 0]], [len(places[h]) for h in found[:, 0]])
+            start = np.concatenate([places[h] - j for h, j in found.tolist()]) if len(found) else found[:, 0]
             order = np.lexsort((start, row))
             row, start = row[order], start[order]
             # windows that touch become one stretch
@@ -225,10 +254,12 @@ def _deep_prefixes(hot: DataFrame, window: int, prefix: int) -> DataFrame:
     each = each.filter((F.col("n_left") >= F.col("j")) & (F.col("n_right") >= window - F.col("j")))
     words = F.concat(F.expr("substring(left, 1, 8 * j)"),
                      F.expr(f"substring(right, 1, 8 * ({window} - j))"))
-    each = each.select("_row", "doc_id", (F.col("pos") - F.col("j")).alias("start"), "j", F.md5(words).alias("node"))
+    each = each.select("_row", "doc_id", "pos", "j", F.md5(words).alias("node"))
     least = each.groupBy(F.col("j").alias("_j"), F.col("node").alias("_node")).agg(F.min("doc_id").alias("least"))
     return (each.join(least, (F.col("j") == F.col("_j")) & (F.col("node") == F.col("_node")))
-            .filter("doc_id > least").select("_row", "start", (F.col("start") + window).alias("stop")).distinct())
+            .filter("doc_id > least").select("_row", "j", F.explode("pos").alias("pos"))
+            .select("_row", (F.col("pos") - F.col("j")).alias("start"), (F.col("pos") - F.col("j") + window).alias("stop"))
+            .distinct())
 
 
 def _kept(batches):
@@ -269,23 +300,22 @@ def _build(docs: DataFrame, window: int, prefix: int, tree_rows: int, hot_rows:
     first = (index.filter("doc_id is not null").groupBy(F.col("c1").alias("_c1"), F.col("c2").alias("_c2"))
              .agg(F.min("doc_id").alias("least")))
     ids = index.join(first, (F.col("c1") == F.col("_c1")) & (F.col("c2") == F.col("_c2")), "left").drop("_c1", "_c2")
-    own = ids.filter("doc_id = least").select("_row", "doc_id", F.explode(F.arrays_zip("key", "pos")).alias("a")).select(
-        "_row", "doc_id", "a.key", "a.pos")
+    own = ids.filter("doc_id = least").select("_row", "doc_id", F.inline(F.arrays_zip("own", "count"))).withColumnRenamed(
+        "own", "key")
     shared = (own.groupBy(F.col("key").alias("_key")).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
-                                                          F.count("*").alias("rows")).filter("lo < hi"))
-    marks = (own.join(shared, F.col("key") == F.col("_key")).groupBy("_row")
-             .agg(F.collect_list(F.struct("pos", "key", (F.col("rows") > hot_rows).alias("hot"))).alias("at")))
-    wanted = marks.join(index.select("_row", "doc_id", "c1", "c2"), "_row").withColumnRenamed("doc_id", "_id")
+                                                          F.sum("count").alias("rows")).filter("lo < hi"))
+    marks = (own.join(shared, F.col("key") == F.col("_key")).groupBy(F.col("_row").alias("_r"))
+             .agg(F.collect_list(F.struct("key", (F.col("rows") > hot_rows).alias("hot"))).alias("shared")))
+    wanted = marks.join(index.select("_row", F.col("doc_id").alias("_id"), "c1", "c2", "pos", "key"), F.col("_r") == F.col("_row"))
+    shape = ("_row bigint, doc_id bigint, pos array<int>, key array<bigint>, shared array<struct<key:bigint,hot:boolean>>, "
+             "text binary")
     suspects = stored(
-        rows.join(wanted, F.col("doc_id") == F.col("_id")).select("_row", "doc_id", "c1", "c2", "at", "text")
-        .mapInArrow(_matching, "_row bigint, doc_id bigint, at array<struct<pos:int,key:bigint,hot:boolean>>, text binary"),
-        "substring-suspects")
+        rows.join(wanted, F.col("doc_id") == F.col("_id")).select("_row", "doc_id", "c1", "c2", "pos", "key", "shared", "text")
+        .mapInArrow(_matching, shape), "substring-suspects")
 
     def suffixes(hot: bool) -> DataFrame:
-        at = F.filter("at", lambda a: a["hot"] == F.lit(hot))
-        mine = suspects.select("_row", "doc_id", "text", at.alias("at")).filter(F.size("at") > 0)
-        return mine.select("_row", "doc_id", "text", F.col("at.pos").alias("pos"), F.col("at.key").alias("key")).mapInArrow(
-            _suffixes(window, prefix), SUFFIX)
+        return suspects.filter(F.exists("shared", lambda x: x["hot"] == F.lit(hot))).mapInArrow(
+            _suffixes(window, prefix, hot), SUFFIX)
     normal = suffixes(False).repartition("key").sortWithinPartitions("key").mapInArrow(
         _trees(window, prefix, tree_rows), "_row bigint, start bigint, stop bigint")
     stretches = normal.unionByName(_deep_prefixes(suffixes(True), window, prefix))

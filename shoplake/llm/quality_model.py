@@ -7,7 +7,8 @@ pair sum computed in time linear in the features as
 Features of a document (never its labels, lang, source or doc_id):
 
 * words, lower-cased, hashed to ``BUCKETS`` buckets, with log counts scaled to unit length;
-* structure: shares of symbols, upper case, digits, ``!`` and ``|``, distinct and longest words, repeated lines, word length;
+* structure: shares of symbols, upper case, digits, ``!`` and ``|``, distinct, longest,
+  most frequent and doubled words, repeated lines, word length;
 * metadata: the length of the text as log of words and of characters.
 
 Training: labelled rows outside the held-out fold, at most ``TRAIN_ROWS`` of
@@ -37,7 +38,7 @@ L2 = 1e-5
 SEED = 7
 FOLDS = 5
 THRESHOLD = 0.3
-N_STRUCTURE = 14
+N_STRUCTURE = 16
 
 
 def fold(doc_id):
@@ -53,11 +54,13 @@ def features(text: bytes, buckets: int = BUCKETS):
     words = text.lower().split()
     n, size = len(words), len(text)
     idx, val = np.zeros(0, dtype=np.int64), np.zeros(0)
-    distinct = 0
+    distinct, doubled, frequent = 0, 0.0, 0.0
     if n:
         hashed = np.fromiter(map(crc32, words), dtype=np.int64, count=n)
         distinct = len(np.unique(hashed))
+        doubled = float((hashed[1:] == hashed[:-1]).mean()) if n > 1 else 0.0
         idx, counts = np.unique(hashed & (buckets - 1), return_counts=True)
+        frequent = counts.max() / n
         val = np.log1p(counts)
         val = val / np.sqrt((val * val).sum())
 
@@ -67,7 +70,8 @@ def features(text: bytes, buckets: int = BUCKETS):
     upper, digits = share(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), share(b"0123456789")
     stats = [1.0, math.log1p(n) / 8, math.log1p(size) / 10, 4 * share(b"#*$%&<>"), 2 * upper, 4 * digits, 8 * share(b"!"),
              8 * share(b"|"), 4 * share(b".,;:?"), distinct / max(n, 1), 1 - len(set(lines)) / max(len(lines), 1),
-             (size / max(n, 1)) / 10, min(max(map(len, words), default=0), 100) / 50, math.log1p(len(lines)) / 5]
+             (size / max(n, 1)) / 10, min(max(map(len, words), default=0), 100) / 50, math.log1p(len(lines)) / 5,
+             2 * doubled, frequent]
     return (np.concatenate([idx, np.arange(buckets, buckets + N_STRUCTURE)]),
             np.concatenate([val, np.array(stats)]))
 

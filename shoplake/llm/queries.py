@@ -39,7 +39,8 @@ def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.template_table(spark))
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.template_table(spark)).select(
+        "doc_id", "license_id", "containment", "template_id", "start_word", "n_windows")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +48,8 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "matched_words", "stretch_words")
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

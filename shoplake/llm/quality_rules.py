@@ -77,13 +77,24 @@ def _union_length(starts: Column, window: int) -> Column:
         lambda a: a["n"])
 
 
-def _line_fails(line: Column, first_copy: Column) -> Column:
+def _first_copies(lines: Column) -> Column:
+    """The lines without those equal to an earlier one, in text order; sorting puts copies side by side."""
+    pairs = F.sort_array(F.transform(lines, lambda x, i: F.struct(x.alias("line"), i.alias("i"))))
+
+    def firsts(order: Column) -> Column:
+        return F.sort_array(F.transform(
+            F.filter(order, lambda p, k: F.coalesce(F.get(order, k - 1)["line"] != p["line"], F.lit(True))),
+            lambda p: F.struct(p["i"].alias("i"), p["line"].alias("line"))))
+    return F.transform(let(pairs, firsts), lambda p: p["line"])
+
+
+def _line_fails(line: Column) -> Column:
     words = words_of(line)
     n = F.size(words)
     noisy = F.size(F.filter(words, lambda w: w.rlike(r"(?:[#*$%&|<>]{3,}|!!+)$")))
     bars = F.size(F.filter(words, lambda w: w.rlike(r"^[|<>»›·•/\\\-]+$")))
     furniture = F.lower(line).rlike("|".join(BOILERPLATE))
-    return (noisy > n * F.lit(NOISY_SHARE)) | (bars > n * F.lit(SEPARATOR_SHARE)) | furniture | ~first_copy
+    return (noisy > n * F.lit(NOISY_SHARE)) | (bars > n * F.lit(SEPARATOR_SHARE)) | furniture
 
 
 def quality_signals(docs: DataFrame, keep_share: float = KEEP_SHARE) -> DataFrame:
@@ -101,13 +112,9 @@ def _signals(rows: DataFrame, keep_share: float, also: tuple = ()) -> DataFrame:
         "lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     b = (a.withColumn("hashes", _window_hashes(F.col("words")))
          .withColumn("n_dup_lines", _dup_lines(F.col("lines"))))
-    numbered = F.transform("lines", lambda x, i: F.struct(x.alias("line"), i.alias("i")))
-    # only documents with a repeated line look for the first copy of each line
-    first = F.when(F.col("n_dup_lines") > 0, F.transform("lines", lambda x, i: F.array_position("lines", x) == i + 1))
-    ok = F.filter(F.col("numbered"), lambda s: ~_line_fails(
-        s["line"], F.coalesce(F.get(F.col("first"), s["i"]), F.lit(True))))
-    c = (b.withColumn("numbered", numbered).withColumn("first", first)
-         .withColumn("good", F.transform(ok, lambda s: s["line"])))
+    # only documents with a repeated line sort their lines
+    once = F.when(F.col("n_dup_lines") > 0, _first_copies(F.col("lines"))).otherwise(F.col("lines"))
+    c = b.withColumn("once", once).withColumn("good", F.filter("once", lambda x: ~_line_fails(x)))
     d = (c.withColumn("n_words", F.size("words").cast("long"))
          .withColumn("word_chars", F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long"))
          .withColumn("n_symbols", F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long"))

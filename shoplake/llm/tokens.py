@@ -7,7 +7,7 @@ with its integer run-length encoding, in stripes of ``STRIPE_BYTES`` with row
 indexes, and keeps a Bloom filter on doc_id, so readers work stripe by stripe
 in parallel and a filter on doc_id skips stripes by their statistics.
 
-Scale: the ranges are found on the rows as read, then each task encodes and
+Scale: the ranges, of doc_id and a hash of the text so that a repeated id can be split, are found on the rows as read, then each task encodes and
 sorts the documents of one range, one Arrow batch at a time.  Text crosses the
 network once, ids never do.  The place of a document in the token stream is a
 running sum within its file plus the sum of the files before, which are one
@@ -150,7 +150,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     """Encode ``text`` and write the ORC files, ordered by doc_id."""
     tokenizer = tokenizer or tokenizer_path()
     ranged = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-              .repartitionByRange("doc_id").sortWithinPartitions("doc_id"))
+              .repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id"))
     encoded = ranged.mapInArrow(_encoder(tokenizer, end_id, cached_words), ENCODED)
     (encoded.write.option("orc.stripe.size", stripe_bytes).option("orc.bloom.filter.columns", "doc_id")
      .option("orc.create.index", "true").option("orc.compress", "ZSTD").orc(path))

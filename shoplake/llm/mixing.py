@@ -36,7 +36,7 @@ BROADCAST_SOURCES = 100_000
 
 
 def word_count(text: Column) -> Column:
-    """Number of words: word starts are the characters that follow white space or the text's start."""
+    """Number of words of a text."""
     return F.size(F.array_remove(F.split(text, SPACE), "")).cast("long")
 
 

@@ -71,7 +71,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    # one JVM: "local" or "local[...]", not "local-cluster[...]", whose executors are processes of their own
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:

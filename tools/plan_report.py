@@ -48,13 +48,12 @@ def summarise(plan: str) -> dict:
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]", 8, extra={"spark.sql.maxMetadataStringLength": "2000"})
+    spark = build_session("local[2]", 8, extra={"spark.sql.maxMetadataStringLength": "2000"})
     print("# Physical plans\n")
     print(f"Generated by `tools/plan_report.py {sf}` from the initial physical plan of each "
           "registered query (before AQE). Fitted-model and streaming queries are left out "
           "(their plans are made by MLlib and the stream runs).\n")
-    print("Identical exchanges in one plan are shared at runtime (AQE stage reuse): co_purchase "
-          "lists four lineitem scans statically but reads and shuffles lineitem once. Broadcast "
+    print("Identical exchanges in one plan are shared at runtime (AQE stage reuse). Broadcast "
           "joins here come from the size check (sf0.1 inputs are below the threshold); above it "
           "the same joins plan as sort-merge joins.\n")
     for name, fn in registry.QUERIES.items():

@@ -141,6 +141,8 @@ def stream_table(spark: SparkSession, path: str, query: Callable[[DataFrame], Da
     # the runs use their own session (same cluster, separate SQL conf)
     runner = spark.newSession()
     runner.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    # a commit writes the changes of its batch, not a snapshot of all state
+    runner.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     # as a glob that matches itself, the path may be a folder or one file
     head, _, tail = path.rstrip("/").rpartition("/")
     files = f"{head}/{{{tail}}}"

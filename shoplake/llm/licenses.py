@@ -34,7 +34,17 @@ SHINGLE = 5
 BANDS = 24
 CONTAINMENT = 0.8
 BROADCAST_SEEDS = 100_000
-# FIXED VALUES: notices of public licences (statement lines and standard header paragraphs)
+# FIXED VALUES: notices of public licences: statement lines, names, standard header paragraphs and licence bodies.
+# They are worded so that under ``CONTAINMENT`` of a template's shingles occur in the templates of any one other
+# licence (tests/llm checks it), so a notice of that licence alone is not enough to report the template.  GPL, LGPL and BSD are families,
+# reported beside the version when the text names it.
+_CC = (("CC-BY", "Attribution"), ("CC-BY-SA", "Attribution-ShareAlike"), ("CC-BY-NC", "Attribution-NonCommercial"),
+       ("CC-BY-ND", "Attribution-NoDerivatives"), ("CC-BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+       ("CC-BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
+_GNU = (("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"),
+        ("AGPL-3.0", "Affero ", "3"))
+_USES = ("licensed under", "distributed under", "available under", "provided under", "published under", "terms of",
+         "covered by", "subject to")
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
@@ -42,22 +52,64 @@ TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the "
                    "License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-            "General Public License as published by the Free Software Foundation"),
+    ("GPL-3.0", "GNU General Public License, version 3"),
+    ("GPL-2.0", "GNU General Public License, version 2"),
+    ("GPL", "modify it under the terms of the GNU General Public License"),
     ("LGPL", "Licensed under the GNU Lesser General Public License"),
-    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "GNU Affero General Public License, version 3"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                     "provided that the following conditions are met"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+            "provided that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
-            "hereby granted"),
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *(("MIT", f"{use} the MIT License") for use in _USES),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the Software"),
+    ("Apache-2.0", "Apache License, Version 2.0"),
+    ("Apache-2.0", "the Apache License 2.0"),
+    ("Apache-2.0", "the Apache 2.0 License"),
+    ("Apache-2.0", "the Apache License v2.0"),
+    ("BSD-3-Clause", "the BSD 3-Clause License"),
+    ("BSD-3-Clause", "the 3-Clause BSD License"),
+    ("BSD-3-Clause", "may be used to endorse or promote products derived from this software without specific prior "
+                     "written permission"),
+    ("BSD-2-Clause", "the BSD 2-Clause License"),
+    ("BSD-2-Clause", "the 2-Clause BSD License"),
+    ("BSD-2-Clause", "materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS "
+                     "AND CONTRIBUTORS"),
+    ("0BSD", "for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR "
+             "DISCLAIMS"),
+    *(("ISC", f"{use} the ISC License") for use in ("released under", *_USES)),
+    ("MPL-2.0", "Mozilla Public License, version 2.0"),
+    ("MPL-2.0", "Mozilla Public License, v. 2.0"),
+    ("MPL-2.0", "Mozilla Public License 2.0"),
+    ("MPL-2.0", "the Mozilla Public License v2.0"),
+    ("EPL-2.0", "Eclipse Public License, version 2.0"),
+    ("EPL-2.0", "Eclipse Public License 2.0"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("EPL-2.0", "the Eclipse Public License v2.0"),
+    ("LGPL", "the terms of the GNU Lesser General Public License"),
+    *((name, f"GNU {kind}General Public License, version {v}") for name, kind, v in _GNU if name.startswith("L")),
+    *((name, f"GNU {kind}General Public License v{v}") for name, kind, v in _GNU),
+    *((name, f"version {v} of the GNU {kind}General Public License") for name, kind, v in _GNU),
+    *((name, f"the terms of the GNU {kind}General Public License as published by the Free Software Foundation, "
+             f"either version {v} of the License") for name, kind, v in _GNU),
+    *((f"{name}-{v}", f"Creative Commons {words} {v} {place}") for name, words in _CC
+      for v, place in (("4.0", "International"), ("3.0", "Unported"))),
+    *((f"{name}-{v}", f"{use} {name.replace('-', ' ')} {v}") for name, _ in _CC for v in ("4.0", "3.0")
+      for use in (("under", "under a", "under the") if name == "CC-BY" else ("",))),
+    *((f"{name}-{v}", f"creativecommons.org/licenses/{name[3:].lower()}/{v}") for name, _ in _CC for v in ("4.0", "3.0")),
+    ("CC0-1.0", "Creative Commons CC0 1.0 Universal"),
+    ("CC0-1.0", "CC0 1.0 Universal Public Domain Dedication"),
+    ("CC0-1.0", "creativecommons.org/publicdomain/zero/1.0"),
+    *((name, f"SPDX-License-Identifier: {name}") for name in (
+        "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0",
+        "EPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0")),
 )
 
 

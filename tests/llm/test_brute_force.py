@@ -229,6 +229,48 @@ def test_license_with_edits(spark):
     assert got == {(1, "MIT"), (3, "MIT")}
 
 
+def test_license_templates_have_shingles_of_their_own():
+    sh = lambda t: {tuple(w[p:p + 5]) for w in [_template_words(t)] for p in range(len(w) - 4)}
+    family = lambda a, b: {a.split("-")[0], b.split("-")[0]} in ({"GPL"}, {"LGPL"}) and {"GPL", "LGPL"} & {a, b}
+    own = defaultdict(set)
+    for name, text in licenses.TEMPLATES:
+        own[name] |= sh(text)
+    for name, text in licenses.TEMPLATES:
+        assert sh(text)
+        for other in own.keys() - {name}:
+            assert family(name, other) or len(sh(text) & own[other]) < 0.8 * len(sh(text)), (name, text, other)
+
+
+def test_license_wordings_give_their_licence_only(spark):
+    fsf = "General Public License as published by the Free Software Foundation, either version"
+    free = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
+    cases = [
+        ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("This file is licensed under the MIT License", "MIT"),
+        ("Code is distributed under the MIT license.", "MIT"),
+        ("This project is licensed under the terms of the MIT license.", "MIT"),
+        ("Licensed under the Apache License 2.0", "Apache-2.0"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+         "CC-BY-NC-SA-4.0"),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
+        ("Text is available under the CC BY-SA 3.0 license", "CC-BY-SA-3.0"),
+        ("Published under a CC BY 4.0 license", "CC-BY-4.0"),
+        (f"{free} {fsf} 3 of the License, or any later version", "GPL GPL-3.0"),
+        (f"{free} {fsf} 2 of the License, or any later version", "GPL GPL-2.0"),
+        (f"{free} Affero {fsf} 3 of the License, or any later version", "AGPL-3.0"),
+        (f"{free} Lesser {fsf} 2.1 of the License, or any later version", "LGPL LGPL-2.1"),
+        ("// SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+        ("the licence of this text is not known to the people who wrote it", "")]
+    got = defaultdict(set)
+    rows = [(i, f"words before it. {t} and words after it") for i, (t, _) in enumerate(cases)]
+    for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string"), licenses.template_table(spark)).collect():
+        got[r.doc_id].add(r.license_id)
+    assert [(t, " ".join(sorted(got[i]))) for i, (t, _) in enumerate(cases)] == cases
+
+
 def _repeats(texts, window=50):
     words = {i: WORD.findall(t or "") for i, t in texts.items()}
     first = {}

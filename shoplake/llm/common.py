@@ -42,6 +42,11 @@ def id_key(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def text_hash(col: str) -> Column:
+    """128-bit hash of a text, null as empty; with the doc_id it names a row where ids are missing or repeated."""
+    return F.md5(text_of(col).cast("binary"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

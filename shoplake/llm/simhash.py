@@ -34,7 +34,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_key, stored
+from .common import stored, text_hash
 from .graph import components
 
 SHINGLE_WORDS = 4
@@ -60,7 +60,7 @@ def position_triples(minimum: int = 4) -> list[tuple[int, ...]]:
 
 
 def _fingerprints(shingle: int, seed: int):
-    """Arrow batches (doc_id, text) -> (doc_id, fp)."""
+    """Arrow batches (doc_id, ..., text) -> (doc_id, ..., fp)."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -87,15 +87,16 @@ def _fingerprints(shingle: int, seed: int):
             return int.from_bytes(np.packbits(2 * counts > n, bitorder="little").tobytes(), "little")
         for batch in batches:
             fps = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], names=["doc_id", "fp"])
+            names = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(fps)], names=[*names, "fp"])
     return run
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    doc_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_fingerprints(shingle, seed), f"doc_id {doc_type}, fp bigint")
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, seed: int = SEED, also: tuple = ()) -> DataFrame:
+    """doc_id, the columns ``also``, fp (the 64 bits as a signed long)."""
+    rows = docs.select("doc_id", *also, F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
+    kept = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("doc_id", *also))
+    return rows.mapInArrow(_fingerprints(shingle, seed), f"{kept}, fp bigint")
 
 
 def _unit_edges(fp, max_bits: int):
@@ -204,13 +205,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     return fps.join(by_fp, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, **params) -> DataFrame:
-    """The documents, all columns, one of each group: the row with the group's least doc_id.
+def deduplicate(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, seed: int = SEED,
+                block: int = BLOCK, short: int = SHORT) -> DataFrame:
+    """The documents, all columns, one row of each group: the one with the least doc_id, then the least text hash.
 
-    Of rows that repeat that doc_id one stays.  In a group whose doc_ids are all
-    null one row stays.
+    Rows without doc_id come last; of rows that repeat the doc_id and the text one stays.
     """
-    groups = near_duplicates(docs, **params)
-    keep = groups.select(id_key("component_id").alias("_id")).distinct()
-    kept = docs.withColumn("_key", id_key("doc_id")).join(keep, F.col("_key") == F.col("_id"), "left_semi")
-    return kept.dropDuplicates(["_key"]).select(docs.columns)
+    hashed = docs.withColumn("_hash", text_hash("text"))
+    fps = stored(fingerprints(hashed, shingle, seed, also=("_hash",)), "simhash-rows")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("_id"), F.col("_hash").alias("_text"))
+    distinct = fps.groupBy("fp").agg(F.min(row).alias("least"))
+    root = components(links(distinct.select("fp"), max_bits, block, short))
+    keep = (distinct.join(root, F.col("fp") == F.col("node"), "left")
+            .groupBy(F.coalesce("root", "fp").alias("_root")).agg(F.min("least").alias("least"))
+            .select("least._id", "least._text"))
+    kept = hashed.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_hash"]).select(docs.columns)

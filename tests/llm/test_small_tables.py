@@ -87,6 +87,18 @@ def test_decontamination(docs, empty, bench):
     assert rest.columns == docs.columns and rest.count() == 7
 
 
+def test_rows_without_or_with_a_repeated_id_are_judged_by_their_text(spark, bench):
+    words = [[f"{p}{i}" for i in range(80)] for p in ("kilo", "lima", "mike", "november")]
+    a, b, c, d = [" ".join(w) for w in words]
+    item = " ".join(f"alpha{i} beta{i}" for i in range(10, 25))
+    rows = [(None, a), (None, b), (None, a), (3, c), (5, c), (5, d), (5, d)]
+    got = simhash.deduplicate(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(0, a), (0, b), (3, c), (5, d)])
+    rows = [(None, a), (None, item), (5, b), (5, item), (6, item)]
+    got = decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, a), (5, b)]
+
+
 def test_licenses(spark, docs, empty):
     own = docs.withColumn("text", F.when(F.col("doc_id") == 4, "Released under the MIT License.").otherwise(F.col("text")))
     got = [(r.doc_id, r.license_id, r.containment) for r in licenses.scan_licenses(own, licenses.template_table(spark)).collect()]

@@ -4,10 +4,11 @@ Each line with at least one word is checked by three rules:
 
 * punctuation: at most ``NOISY_SHARE`` of its words end in a run of three or more symbols or in ``!!``
   (a line without a final stop passes);
-* navigation: ``|``, ``>``, bullets or similar separators standing alone make up more than
-  ``SEPARATOR_SHARE`` of its words;
-* boilerplate: it holds a phrase of page furniture (cookie notices, script warnings, placeholder text),
-  or it repeats an earlier line of the document.
+* navigation: ``|``, ``>``, bullets or similar separators standing alone after its first word make up more than
+  ``SEPARATOR_SHARE`` of its words, and there are two of them or a bar or guillemet is among them (a list item's bullet
+  or one dash is none);
+* boilerplate: phrases of page furniture (cookie notices, script warnings, placeholder text) make up at least
+  ``FURNITURE_SHARE`` of its words, or it repeats an earlier line of the document.
 
 Failing lines are removed.  A document is kept when it passes the base rule
 (at least 20 words; at most 30 % of its words in 8-word windows that occur
@@ -34,11 +35,14 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 NOISY_SHARE = 0.3
 SEPARATOR_SHARE = 0.15
+FURNITURE_SHARE = 0.25
 KEEP_SHARE = 0.5
 # FIXED VALUES: phrases of page furniture, lower case
 BOILERPLATE = ("enable javascript", "javascript is disabled", "lorem ipsum", "we use cookies", "cookie policy",
                "accept all cookies", "terms of use", "terms of service", "all rights reserved",
                "skip to content", "click here to subscribe", "sign up for our newsletter")
+# FIXED VALUES: how placeholder text goes on
+PLACEHOLDER = ("dolor sit amet", "consectetur adipiscing elit", "sed do eiusmod tempor", "incididunt ut labore et dolore")
 
 
 def _dup_lines(lines: Column) -> Column:
@@ -92,9 +96,13 @@ def _line_fails(line: Column) -> Column:
     words = words_of(line)
     n = F.size(words)
     noisy = F.size(F.filter(words, lambda w: w.rlike(r"(?:[#*$%&|<>]{3,}|!!+)$")))
-    bars = F.size(F.filter(words, lambda w: w.rlike(r"^[|<>»›·•/\\\-]+$")))
-    furniture = F.lower(line).rlike("|".join(BOILERPLATE))
-    return (noisy > n * F.lit(NOISY_SHARE)) | (bars > n * F.lit(SEPARATOR_SHARE)) | furniture
+    inner = F.filter(words, lambda w, i: (i > 0) & w.rlike(r"^[|<>»›·•/\\\-]+$"))
+    bars = let(inner, lambda b: (F.size(b) > n * F.lit(SEPARATOR_SHARE)) & (
+        (F.size(b) > 1) | F.exists(b, lambda w: w.rlike("[|»›]"))))
+    phrases = "|".join(BOILERPLATE + PLACEHOLDER)
+    phrase_words = F.size(F.split(F.array_join(F.regexp_extract_all(F.lower(line), F.lit(phrases), F.lit(0)), " "), " "))
+    furniture = F.when(F.lower(line).rlike(phrases), phrase_words >= n * F.lit(FURNITURE_SHARE)).otherwise(F.lit(False))
+    return (noisy > n * F.lit(NOISY_SHARE)) | bars | furniture
 
 
 def quality_signals(docs: DataFrame, keep_share: float = KEEP_SHARE) -> DataFrame:

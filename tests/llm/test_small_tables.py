@@ -99,6 +99,16 @@ def test_rows_without_or_with_a_repeated_id_are_judged_by_their_text(spark, benc
     assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, a), (5, b)]
 
 
+def test_line_rules_leave_lists_and_long_lines(spark):
+    lists = "\n".join(f"- item{i} of" for i in range(20)) + "\n" + "\n".join(f"key{i} - value{i}" for i in range(20))
+    long = " ".join(f"word{i}" for i in range(60)) + " the terms of use say and all rights reserved means " + PROSE
+    nav = "Home | About\nHome > Shop > Shoes\nAll rights reserved\nLorem ipsum dolor sit amet, consectetur adipiscing elit"
+    rows = [(1, lists), (2, long), (3, PROSE + "\n" + nav)]
+    got = {r.doc_id: (r.text, r.n_chars) for r in quality_rules.clean(
+        spark.createDataFrame([(*r, 0) for r in rows], "doc_id bigint, text string, n_chars bigint")).collect()}
+    assert got == {1: (lists, len(lists)), 2: (long, len(long)), 3: (PROSE, len(PROSE))}
+
+
 def test_licenses(spark, docs, empty):
     own = docs.withColumn("text", F.when(F.col("doc_id") == 4, "Released under the MIT License.").otherwise(F.col("text")))
     got = [(r.doc_id, r.license_id, r.containment) for r in licenses.scan_licenses(own, licenses.template_table(spark)).collect()]

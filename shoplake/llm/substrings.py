@@ -28,7 +28,7 @@ result.  No list of all links or documents reaches one task.
 
 Edge cases: null and empty texts have no words (hash of the empty string);
 rows without a doc_id, and repeated rows of one doc_id, neither remove from one another
-(not smaller) nor crash; rows without doc_id keep all words; texts under 50
+(not smaller) nor crash, and repeated rows get equal results; rows without doc_id keep all words; texts under 50
 words keep all; an empty table gives no rows; other columns are ignored.
 Words are compared by 64-bit hashes, fifty of them to a window.
 """
@@ -298,9 +298,11 @@ def _build(docs: DataFrame, window: int, prefix: int, tree_rows: int, hot_rows:
     index = stored(rows.withColumn("_row", F.monotonically_increasing_id()).select("_row", "doc_id", "text")
                    .mapInArrow(_index(window, prefix), INDEX), "substring-index")
     first = (index.filter("doc_id is not null").groupBy(F.col("c1").alias("_c1"), F.col("c2").alias("_c2"))
-             .agg(F.min("doc_id").alias("least")))
+             .agg(F.min(F.struct("doc_id", "_row")).alias("m")).select("_c1", "_c2", F.col("m.doc_id").alias("least"),
+                                                                      F.col("m._row").alias("rep")))
     ids = index.join(first, (F.col("c1") == F.col("_c1")) & (F.col("c2") == F.col("_c2")), "left").drop("_c1", "_c2")
-    own = ids.filter("doc_id = least").select("_row", "doc_id", F.inline(F.arrays_zip("own", "count"))).withColumnRenamed(
+    # of equal rows one stands for all
+    own = ids.filter("doc_id = least and _row = rep").select("_row", "doc_id", F.inline(F.arrays_zip("own", "count"))).withColumnRenamed(
         "own", "key")
     shared = (own.groupBy(F.col("key").alias("_key")).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
                                                           F.sum("count").alias("rows")).filter("lo < hi"))
@@ -311,7 +313,7 @@ def _build(docs: DataFrame, window: int, prefix: int, tree_rows: int, hot_rows:
              "text binary")
     suspects = stored(
         rows.join(wanted, F.col("doc_id") == F.col("_id")).select("_row", "doc_id", "c1", "c2", "pos", "key", "shared", "text")
-        .mapInArrow(_matching, shape), "substring-suspects")
+        .mapInArrow(_matching, shape).dropDuplicates(["_row"]), "substring-suspects")
 
     def suffixes(hot: bool) -> DataFrame:
         return suspects.filter(F.exists("shared", lambda x: x["hot"] == F.lit(hot))).mapInArrow(
@@ -328,7 +330,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
     ids, _, stretches = _build(docs, window, prefix, tree_rows, hot_rows)
     copies = ids.filter((F.col("doc_id") > F.col("least")) & (F.col("n_words") >= window)).select(
         "doc_id", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("stop"))
-    return stretches.join(ids.select("_row", "doc_id"), "_row").select("doc_id", "start", "stop").unionByName(copies)
+    rows = ids.filter("doc_id = least").select(F.col("rep").alias("_row"), "doc_id")
+    return stretches.join(rows, "_row").select("doc_id", "start", "stop").unionByName(copies)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, tree_rows: int = TREE_ROWS,
@@ -340,7 +343,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
            .mapInArrow(_kept, "_row bigint, n_removed bigint, kept_sha string")
            .select(F.col("_row").alias("_k"), "n_removed", "kept_sha"))
     copy = F.coalesce((F.col("doc_id") > F.col("least")) & (F.col("n_words") >= window), F.lit(False))
-    return (ids.select("_row", "doc_id", "n_words", "sha", "least").join(cut, F.col("_row") == F.col("_k"), "left")
+    own = F.when(F.col("doc_id") == F.col("least"), F.col("rep")).otherwise(F.col("_row"))
+    return (ids.select(own.alias("_own"), "doc_id", "n_words", "sha", "least").join(cut, F.col("_own") == F.col("_k"), "left")
             .select("doc_id", "n_words",
                     F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
                     F.when(copy, F.lit(EMPTY_SHA256)).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256")))

@@ -109,6 +109,13 @@ def test_line_rules_leave_lists_and_long_lines(spark):
     assert got == {1: (lists, len(lists)), 2: (long, len(long)), 3: (PROSE, len(PROSE))}
 
 
+def test_repeated_rows_with_a_partial_repeat_stay_single(spark):
+    rows = [(1, PROSE), (8, PROSE + " tail"), (8, PROSE + " tail"), (8, PROSE + "  tail"), (8, "other"), (9, "more " + PROSE)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in substrings.remove_repeats(docs).collect())
+    assert got == [(1, 120, 0), (8, 1, 0), (8, 121, 120), (8, 121, 120), (8, 121, 120), (9, 121, 120)]
+
+
 def test_licenses(spark, docs, empty):
     own = docs.withColumn("text", F.when(F.col("doc_id") == 4, "Released under the MIT License.").otherwise(F.col("text")))
     got = [(r.doc_id, r.license_id, r.containment) for r in licenses.scan_licenses(own, licenses.template_table(spark)).collect()]

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, licenses, mixing, quality_model, quality_rules, secrets, simhash, substrings, tokens,
-               warc)
+from . import (decontaminate, licenses, mixing, quality_model, quality_rules, search, secrets, simhash, substrings,
+               tokens, warc)
 from .common import table
 from .sql import ORACLE_SQL as ORACLE_SQL
 
@@ -67,6 +67,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(search.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_secret_scan": op2_secret_scan,
@@ -78,4 +82,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
+    "op11_ranked_search": op11_ranked_search,
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, licenses, mixing, quality_model, quality_rules, search, secrets, simhash, substrings,
-               tokens, warc)
+from . import (decontaminate, licenses, mixing, ngram_join, quality_model, quality_rules, search, secrets, simhash,
+               substrings, tokens, trie, warc)
 from .common import table
 from .sql import ORACLE_SQL as ORACLE_SQL
 
@@ -71,6 +71,14 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(search.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
 
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_secret_scan": op2_secret_scan,
@@ -83,4 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
     "op11_ranked_search": op11_ranked_search,
+    "op12_ngram_jaccard_join": op12_ngram_jaccard_join,
+    "op13_conversation_trie": op13_conversation_trie,
 }

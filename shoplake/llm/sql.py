@@ -201,5 +201,67 @@ FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 """
 
 # op3 needs XXH64, op4 a tokenizer, op8 a fitted model: tests/llm compares them with plain Python
+_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_AZ}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term),
+s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d WHERE len(t) > 0),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+qt AS (SELECT q, item_id, term, count(*) AS c FROM (SELECT q, item_id, unnest(t) AS term FROM q) GROUP BY ALL),
+w AS (SELECT q, item_id, term, c * CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM qt JOIN df USING (term), s),
+m AS (SELECT r, doc_id, 100 - 75 + ((75 * len(t) * n_docs) // n_terms) AS m FROM d, s),
+p AS (SELECT q, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM w JOIN tf USING (term) JOIN m USING (r) GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM p WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
+OP12 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_words(_AZ)} AS w FROM documents),
+g AS (SELECT r, unnest(list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                                          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g FROM d),
+n AS (SELECT r, count(*) AS n FROM g GROUP BY r),
+shared AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+e AS (SELECT a, b FROM shared JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM d LEFT JOIN n USING (r) JOIN reach ON reach.a = d.r JOIN d o ON o.r = reach.b GROUP BY d.r, d.doc_id
+"""
+
+# CRC-32 of the decimal digits of a conversation's id, bit by bit; the polynomial is the fixed one of that checksum
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda c, x: list_reduce(list_prepend(xor(c, x), CAST(range(8) AS BIGINT[])),
+    lambda k, i: CASE WHEN k % 2 = 1 THEN xor(k >> 1, CAST(3988292384 AS BIGINT)) ELSE k >> 1 END)), CAST(4294967295 AS BIGINT))"""
+_N_WORDS = f"len({_words()})"
+OP13 = f"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos,
+                  sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS sym, {_N_WORDS} AS words
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, count(*) AS len, ({_CRC}) % 4 AS h FROM t GROUP BY conv_id),
+k AS (SELECT c.conv_id, c.len, c.h, c.conv_id - c.conv_id % 20 AS base, least(c.h, coalesce(b.len, 0)) AS given
+      FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 20),
+s AS (SELECT k.conv_id, pos, sym, words FROM k JOIN t ON t.conv_id = base AND pos < h
+      UNION ALL SELECT k.conv_id, pos - h + given, sym, words FROM k JOIN t ON t.conv_id = k.conv_id AND pos >= h),
+p AS (SELECT conv_id, CAST(pos + 1 AS BIGINT) AS depth, words,
+             sha256(string_agg(sym, ',') OVER (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING)) AS name FROM s
+      UNION ALL SELECT conv_id, 0, 0, 'root' FROM k),
+l AS (SELECT conv_id, max(depth) AS last FROM p GROUP BY conv_id),
+r AS (SELECT name, depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+             sha256(coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (WHERE last = depth), '')) AS ends_sha256
+      FROM p JOIN l USING (conv_id) GROUP BY name, depth),
+u AS (SELECT r.name, o.name AS parent, q.conv_id AS parent_conv_id FROM r
+      LEFT JOIN p o ON o.conv_id = r.conv_id AND o.depth = r.depth - 1 LEFT JOIN r q ON q.name = o.name),
+ch AS (SELECT parent AS name, count(*) AS n_children FROM u WHERE parent IS NOT NULL GROUP BY parent),
+v AS (SELECT a.name, CAST(sum(CASE WHEN ch.name IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+             CAST(sum((x.n_convs - 1) * x.words) AS BIGINT) AS saved_tokens
+      FROM r x JOIN p a ON a.conv_id = x.conv_id AND a.depth <= x.depth LEFT JOIN ch ON ch.name = x.name GROUP BY a.name)
+SELECT conv_id, depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, ends_sha256
+FROM r JOIN u USING (name) JOIN v USING (name) LEFT JOIN ch USING (name)
+"""
+
 ORACLE_SQL = {"op1_warc": OP1, "op2_secret_scan": OP2, "op5_license_scan": OP5, "op6_substring_dedup": OP6,
-              "op7_decontamination": OP7, "op9_quality_rules": OP9, "op10_mixing": OP10}
+              "op7_decontamination": OP7, "op9_quality_rules": OP9, "op10_mixing": OP10, "op11_ranked_search": OP11,
+              "op12_ngram_jaccard_join": OP12, "op13_conversation_trie": OP13}

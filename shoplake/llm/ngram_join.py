@@ -193,7 +193,7 @@ def frequent_tokens(docs: DataFrame, tokens: int, shingle: int = SHINGLE_WORDS,
     counted = stored(blobs.groupBy("part").applyInArrow(_counted(least), "key bigint, df bigint"), "join-frequent")
     n = counted.count()
     while n * 16 > bitmap_bits:
-        least *= 2
+        least = max(1, 2 * least)
         counted = counted.where(F.col("df") > least)
         n = counted.count()
     bits = min(bitmap_bits, max(1 << 16, 1 << (64 * max(1, n) - 1).bit_length()))

@@ -119,8 +119,7 @@ def _indexer(bits: int, block_docs: int, block_bits: int, lexicon_piece: int):
                     continue
                 if len(known) > lexicon_piece:
                     known.clear()
-                for t in counts.keys() - known.keys():
-                    known[t] = xxh64_intdigest(t)
+                known.update((t, xxh64_intdigest(t)) for t in counts if t not in known)
                 n = counts.total()
                 n_docs, n_terms = n_docs + 1, n_terms + n
                 lexicon.update(counts.keys())

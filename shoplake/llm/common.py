@@ -47,6 +47,12 @@ def text_hash(col: str) -> Column:
     return F.md5(text_of(col).cast("binary"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, _hash (of the text) and _row, the whole row as one struct: no column of ``docs`` can clash."""
+    return docs.select("doc_id", "text", text_hash("text").alias("_hash"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

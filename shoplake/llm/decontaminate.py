@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import normal_words, text_hash, text_of, word_hashes
+from .common import normal_words, packed, text_of, word_hashes
 
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
 STRETCH = 13
@@ -95,10 +95,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple = MASKS, st
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
-    """The documents (all columns) that overlap no benchmark item; a row is told by its doc_id and its text."""
-    hashed = docs.withColumn("_hash", text_hash("text"))
+    """The documents (all columns, of any name) that overlap no benchmark item; a row is told by its doc_id and its text."""
+    hashed = packed(docs)
     rows = hashed.select(F.struct("doc_id", "_hash").alias("doc_id"), "text")
     bad = contaminated(rows, benchmark, **params).select(
         F.col("doc_id.doc_id").alias("_bad"), F.col("doc_id._hash").alias("_text")).distinct()
     return hashed.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")) & (F.col("_hash") == F.col("_text")),
-                       "left_anti").select(docs.columns)
+                       "left_anti").select("_row.*")

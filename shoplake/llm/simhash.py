@@ -34,7 +34,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_hash
+from .common import packed, stored
 from .graph import components
 
 SHINGLE_WORDS = 4
@@ -209,9 +209,10 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = M
                 block: int = BLOCK, short: int = SHORT) -> DataFrame:
     """The documents, all columns, one row of each group: the one with the least doc_id, then the least text hash.
 
-    Rows without doc_id come last; of rows that repeat the doc_id and the text one stays.
+    Rows without doc_id come last; of rows that repeat the doc_id and the text one stays.  Other columns may have
+    any name and come back unchanged.
     """
-    hashed = docs.withColumn("_hash", text_hash("text"))
+    hashed = packed(docs)
     fps = stored(fingerprints(hashed, shingle, seed, also=("_hash",)), "simhash-rows")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("_id"), F.col("_hash").alias("_text"))
     distinct = fps.groupBy("fp").agg(F.min(row).alias("least"))
@@ -220,4 +221,4 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = M
             .groupBy(F.coalesce("root", "fp").alias("_root")).agg(F.min("least").alias("least"))
             .select("least._id", "least._text"))
     kept = hashed.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_hash"]).select(docs.columns)
+    return kept.dropDuplicates(["doc_id", "_hash"]).select("_row.*")

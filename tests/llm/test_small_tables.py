@@ -170,3 +170,25 @@ def test_stages_on_an_empty_table_and_on_nulls(spark, docs, empty, bench, tmp_pa
         assert n <= 3 * given.count()
         if name != corpus_pipeline.STAGES[-1][0]:
             assert out.columns == given.columns
+
+
+# names that the operators use inside; as columns of the documents they must come back as they were
+INSIDE = ("_hash", "_id", "_text", "_bad", "_k", "_own", "_row", "_key", "_root", "least", "root", "node", "fp", "u", "v", "n", "key",
+          "a", "b", "mine", "blocks", "seed", "pos", "wh", "diag", "low", "seg", "best", "same", "item_id", "item_pos", "item_len",
+          "_item", "item_wh", "_source", "rate", "copies", "taken", "_copy", "size", "source_size", "target", "level", "fill", "cap",
+          "words", "lines", "kept", "n_words", "base_failed", "ids", "crc32", "n_tokens", "start", "file", "block", "seq", "mark")
+
+
+@pytest.mark.parametrize("stage", [f for f in corpus_pipeline.STAGES if f[0] != "token_output"], ids=lambda f: f[0])
+def test_stages_leave_columns_of_any_name_alone(spark, tmp_path, bench, stage):
+    rows = [(i, PROSE + f" own{i}" * 40 if i % 2 else "other " + " ".join(f"q{i}x{j}" for j in range(60)) + ".", "en", "ab"[i % 2],
+             *[f"{c}-{i}" for c in INSIDE]) for i in range(1, 7)]
+    schema = "doc_id bigint, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in INSIDE)
+    wide = spark.createDataFrame(rows, schema)
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = stage[1](spark, wide, str(tmp_path))
+    assert out.columns == wide.columns
+    got = out.collect()
+    assert got and all(r[c] == f"{c}-{r.doc_id}" for r in got for c in INSIDE)
+    if stage[0] == "benchmark_decontamination":
+        assert {r.doc_id for r in got} == {2, 4, 6}

@@ -8,8 +8,8 @@ checkpoint folder.
 
 The train/test split is a hash of (user, product), not ``randomSplit``:
 ``randomSplit`` depends on how rows are partitioned, so a re-run on a
-different cluster layout would give a different split.  ALS uses a fixed number
-of blocks and K-Means a fixed hash layout, sorted within partitions, and clusters are
+different cluster layout would give a different split.  ALS blocks and the
+K-Means layout follow the number of rows, not the cluster, rows are sorted within partitions, and clusters are
 numbered by their centres: results do not depend on the cluster's size, up
 to the last bits of floating-point sums.
 """
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from shoplake.functions.columns import money_avg
 from shoplake.functions.labels import ALS_PARAMS, ALS_TOP_K, KMEANS_K, KMEANS_SEED, VALID_STATUSES
 from shoplake.plans.joins import dim_join
+from shoplake.session import stored_table
 
 FEATURES = ("order_cnt", "total_spent", "avg_order_value")
 
@@ -73,9 +75,16 @@ def hash_split(df: DataFrame, cols: Sequence[str], train_pct: int = 80, seed: in
 
 
 ID_BUCKETS = 1024
-ALS_BLOCKS = 10
-ITEM_BLOCK = 200_000
-KMEANS_PARTITIONS = 64
+RATINGS_PER_BLOCK = 500_000
+ITEM_BLOCK = 20_000
+USER_BLOCK = 4096
+COPIES = 32
+USERS_PER_PARTITION = 200_000
+
+
+def parts_for(rows: int, per_part: int, least: int = 8) -> int:
+    """Blocks or partitions for so many rows; the same for the same data on any cluster."""
+    return max(least, -(-rows // per_part))
 
 
 def dense_ids(df: DataFrame, col: str, buckets: int = ID_BUCKETS) -> DataFrame:
@@ -101,14 +110,27 @@ def split_ratings(r: DataFrame, train_pct: int = 80) -> DataFrame:
     return r.select("user_id", "product_id", train_flag(["user_id", "product_id"], train_pct).alias("is_train"))
 
 
-def _als_input(r: DataFrame) -> DataFrame:
-    """Ratings with dense INT ids: ALS takes INT ids only, the business keys are BIGINT."""
-    return (r.join(dense_ids(r, "user_id"), "user_id").join(dense_ids(r, "product_id"), "product_id")
-            .select("user_id", "product_id", "user_id_idx", "product_id_idx", "rating"))
+@dataclass
+class RatingData:
+    """Ratings with dense INT ids (ALS takes INT ids only, the business keys are BIGINT) and the two id tables, all stored."""
+    ratings: DataFrame
+    users: DataFrame
+    items: DataFrame
+    rows: int
+
 
+def rating_data(r: DataFrame, train_pct: int = 80) -> RatingData:
+    """Read the ratings once, number users and products once; every later step uses these tables."""
+    r = stored_table(r.select("user_id", "product_id", "rating"), "ratings")
+    users, items = (stored_table(dense_ids(r, c), f"ids-{c}") for c in ("user_id", "product_id"))
+    numbered = (r.join(users, "user_id").join(items, "product_id")
+                .withColumn("is_train", train_flag(["user_id", "product_id"], train_pct))
+                .select("user_id", "product_id", "user_id_idx", "product_id_idx", "rating", "is_train"))
+    return RatingData(stored_table(numbered, "ratings-numbered"), users, items, r.count())
 
-def als_estimator(implicit: bool = False, blocks: int = ALS_BLOCKS, **params):
-    """ALS with the reference parameters and a fixed number of user and item blocks."""
+
+def als_estimator(implicit: bool = False, blocks: int = 10, **params):
+    """ALS with the reference parameters and a given number of user and item blocks."""
     from pyspark.ml.recommendation import ALS
     p = dict(ALS_PARAMS, numUserBlocks=blocks, numItemBlocks=blocks)
     p.update(params)
@@ -116,31 +138,27 @@ def als_estimator(implicit: bool = False, blocks: int = ALS_BLOCKS, **params):
                implicitPrefs=implicit, coldStartStrategy="drop", **p)
 
 
-def als_fit(r: DataFrame, implicit: bool = False, train_pct: int = 80, **params):
+def als_fit(r: DataFrame | None, implicit: bool = False, train_pct: int = 80, data: RatingData | None = None, **params):
     """M2: fit on the train split only (no counts, no evaluation)."""
-    train = _als_input(r).where(train_flag(["user_id", "product_id"], train_pct))
+    data = data or rating_data(r, train_pct)
+    train = data.ratings.where("is_train")
     with persisted(train):
-        return als_estimator(implicit, **params).fit(train)
+        return als_estimator(implicit, parts_for(data.rows, RATINGS_PER_BLOCK), **params).fit(train)
 
 
-def als_fit_evaluate(r: DataFrame, implicit: bool = False, train_pct: int = 80, **params):
+def als_fit_evaluate(r: DataFrame | None, implicit: bool = False, train_pct: int = 80, data: RatingData | None = None,
+                     **params):
     """M2 + M3: fit on the train split, RMSE on the test split.
 
     Returns ``(model, train_rows, test_rows, rmse)``.
     """
     from pyspark.ml.evaluation import RegressionEvaluator
-    split = _als_input(r).withColumn("is_train", train_flag(["user_id", "product_id"], train_pct))
-    with persisted(split):
-        counts = split.agg(F.count_if("is_train").alias("tr"),
-                           F.count_if(~F.col("is_train")).alias("te")).first()
-        n_train, n_test = counts["tr"], counts["te"]
-        train = split.where("is_train").drop("is_train")
-        test = split.where(~F.col("is_train")).drop("is_train")
-        model = als_estimator(implicit, **params).fit(train)
-        pred = model.transform(test)
-        rmse = RegressionEvaluator(metricName="rmse", labelCol="rating",
-                                   predictionCol="prediction").evaluate(pred)
-    return model, n_train, n_test, rmse
+    data = data or rating_data(r, train_pct)
+    counts = data.ratings.agg(F.count_if("is_train").alias("tr"), F.count_if(~F.col("is_train")).alias("te")).first()
+    model = als_fit(None, implicit, train_pct, data, **params)
+    pred = model.transform(data.ratings.where(~F.col("is_train")))
+    rmse = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction").evaluate(pred)
+    return model, counts["tr"], counts["te"], rmse
 
 
 def als_rmse(spark: SparkSession, r: DataFrame, implicit: bool = False, **params) -> DataFrame:
@@ -150,63 +168,165 @@ def als_rmse(spark: SparkSession, r: DataFrame, implicit: bool = False, **params
                                  "train_rows bigint, test_rows bigint, rmse double")
 
 
-def _top_items(item_ids, item_factors, k: int):
-    """Batches of user factors -> the k best items per user, equal scores by item number."""
+def _factor_blocks(block: int):
+    """Arrow batches (id, features, norm) -> rows of up to ``block`` factors: key, greatest norm, ids, factors."""
     def run(batches):
         import numpy as np
         import pandas as pd
-        step = max(1, 4_000_000 // max(1, len(item_ids)))
-        take = min(k, len(item_ids))
+        from pyspark import TaskContext
+        key = TaskContext.get().partitionId() << 32
+        held: list = []
+
+        def out(pdf):
+            nonlocal key
+            key += 1
+            return pd.DataFrame({
+                "block": [key], "norm": [float(pdf["norm"].max())], "n": [len(pdf)],
+                "ids": [pdf["id"].to_numpy()],
+                "factors": [np.array(pdf["features"].tolist(), dtype="<f4").tobytes()]})
         for pdf in batches:
-            users = pdf["id"].to_numpy()
-            factors = np.array(pdf["features"].tolist(), dtype=np.float32).reshape(len(users), -1)
-            for at in range(0, len(users), step):
-                scores = factors[at:at + step] @ item_factors.T
-                order = np.argsort(-scores, axis=1, kind="stable")[:, :take]
-                yield pd.DataFrame({"user_id_idx": np.repeat(users[at:at + step], take),
-                                    "product_id_idx": item_ids[order].ravel(),
-                                    "score": np.take_along_axis(scores, order, axis=1).ravel().astype(float)})
+            held.append(pdf)
+            if sum(map(len, held)) >= block:
+                now = pd.concat(held)
+                while len(now) >= block:
+                    yield out(now.iloc[:block])
+                    now = now.iloc[block:]
+                held = [now] if len(now) else []
+        if held:
+            yield out(pd.concat(held))
     return run
 
 
-def recommend(model, k: int, item_block: int = ITEM_BLOCK) -> DataFrame:
-    """M4: (user_id_idx, product_id_idx, score), the k best items of every user of the model.
+BLOCK_ROWS = "block bigint, norm double, n int, ids array<int>, factors binary"
+BEST_ROWS = "user_id_idx int, product_id_idx int, score double"
+SLACK = 1 + 1e-9
 
-    Every user's factors meet every item's: that is the operator's cost,
-    users x items x rank multiplications.  Items come in blocks of at most
-    ``item_block`` (a few MB) that travel to the tasks holding the users; no join is
-    planned and only k rows per user and block leave a task.
-    """
+
+def factor_blocks(factors: DataFrame, block: int, by_norm: bool, name: str) -> DataFrame:
+    """Factors as stored rows of up to ``block`` vectors; ``by_norm``: in ranges of falling norm."""
+    rows = factors.select("id", "features", F.sqrt(F.aggregate(
+        "features", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))).alias("norm"))
+    if by_norm:
+        rows = rows.repartitionByRange(F.col("norm").desc(), F.col("id")).sortWithinPartitions(F.col("norm").desc(), "id")
+    return stored_table(rows.mapInPandas(_factor_blocks(block), BLOCK_ROWS), name)
+
+
+def _unpacked(ids, factors: bytes):
     import numpy as np
-    items = model.itemFactors
-    blocks = max(1, -(-items.count() // item_block))
-    parts = []
-    for b in range(blocks):
-        own = items.where(F.pmod(F.col("id"), F.lit(blocks)) == b).orderBy("id").toPandas()
-        factors = np.array(own["features"].tolist(), dtype=np.float32).reshape(len(own), -1)
-        parts.append(model.userFactors.mapInPandas(
-            _top_items(own["id"].to_numpy(), factors, k), "user_id_idx int, product_id_idx int, score double"))
-    if blocks == 1:
-        return parts[0]
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
+    ids = np.asarray(ids, dtype=np.int32)
+    return ids, np.frombuffer(factors, "<f4").reshape(len(ids), -1).astype(np.float64)
+
+
+def _best_of_block(k: int):
+    """Rows (ids, factors, least, item_ids, item_factors) -> the k best items of the block per user, those that reach ``least``.
+
+    Scores are sums over the rank in a fixed order, so they do not depend on
+    the blocks; equal scores go by item number.
+    """
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                users, u = _unpacked(row.ids, row.factors)
+                items, v = _unpacked(row.item_ids, row.item_factors)
+                least = np.frombuffer(row.least, "<f8") if row.least is not None else np.full(len(users), -np.inf)
+                step = max(1, 2_000_000 // len(items))
+                for at in range(0, len(users), step):
+                    part = u[at:at + step]
+                    scores = part[:, 0, None] * v[None, :, 0]
+                    for f in range(1, u.shape[1]):
+                        scores += part[:, f, None] * v[None, :, f]
+                    low = np.maximum(least[at:at + step], np.partition(scores, len(items) - k, axis=1)[:, len(items) - k]
+                                     if len(items) > k else -np.inf)
+                    who, what = np.nonzero(scores >= low[:, None])
+                    order = np.lexsort((items[what], -scores[who, what], who))
+                    who, what = who[order], what[order]
+                    place = np.arange(len(who)) - np.searchsorted(who, who)
+                    who, what = who[place < k], what[place < k]
+                    yield pd.DataFrame({"user_id_idx": users[at:at + step][who], "product_id_idx": items[what],
+                                        "score": scores[who, what]})
+    return run
+
+
+def _needed_blocks(headers: list, k: int):
+    """Rows (block, ids, factors, known, scores) of users -> (block, item_block, least) that may still count."""
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+        names, norms = [h[0] for h in headers], np.array([h[1] for h in headers])
+        for pdf in batches:
+            rows = []
+            for row in pdf.itertuples(index=False):
+                users, u = _unpacked(row.ids, row.factors)
+                best = {} if row.known is None else dict(zip(np.asarray(row.known).tolist(), row.scores))
+                least = np.array([best.get(x, -np.inf) for x in users.tolist()], dtype="<f8")
+                # |user| x |item| bounds the score; a block is needed if some user's threshold lies at or below its bound
+                size = np.sqrt((u * u).sum(axis=1))
+                reach = (size[:, None] * norms[None, :] * SLACK >= least[:, None]).any(axis=0)
+                rows += [(row.block, names[j], least.tobytes()) for j in np.flatnonzero(reach)]
+            yield pd.DataFrame(rows, columns=["block", "item_block", "least"])
+    return run
+
+
+def _scored(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int, copies: int) -> DataFrame:
+    """(block, item_block, least) pairs -> the k best items of each pair; every item block travels in ``copies`` copies."""
+    salt = F.pmod(F.xxhash64("block"), F.lit(copies)).cast("int")
+    spread = items.select(F.col("block").alias("item_block"), F.col("ids").alias("item_ids"), F.col("factors").alias("item_factors"),
+                          F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("salt"))
+    met = (pairs.join(users.select("block", "ids", "factors"), "block").withColumn("salt", salt)
+           .join(spread, ["item_block", "salt"]))
+    return met.select("ids", "factors", "least", "item_ids", "item_factors").mapInPandas(_best_of_block(k), BEST_ROWS)
+
+
+def _k_best(rows: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("user_id_idx").orderBy(F.col("score").desc(), "product_id_idx")
-    return both.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k).drop("_r")
+    return rows.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k).drop("_r")
 
 
-def als_top_k(r: DataFrame, products: DataFrame, k: int = ALS_TOP_K, implicit: bool = False,
-              model=None, **params) -> DataFrame:
+def recommend(model, k: int, item_block: int = ITEM_BLOCK, user_block: int = USER_BLOCK, copies: int = COPIES) -> DataFrame:
+    """M4: (user_id_idx, product_id_idx, score), the k best items of every user of the model; exact.
+
+    Items are held on Spark as blocks in order of falling norm.  All users meet
+    the first block and get a threshold, their k-th score.  A user's score with
+    an item is at most the product of their norms, so a later block is scored
+    only for groups of users of whom one may still gain from it.  Only k rows
+    per user and scored block leave a task, and a final ranking keeps k of these.
+    The driver sees one (block, norm) pair per ``item_block`` items, and no factors.
+    """
+    items = factor_blocks(model.itemFactors, item_block, True, "item-blocks")
+    users = factor_blocks(model.userFactors, user_block, False, "user-blocks")
+    headers = [(h["block"], h["norm"]) for h in items.select("block", "norm").orderBy(F.col("norm").desc(), "block").collect()]
+    if not headers:
+        return items.sparkSession.createDataFrame([], BEST_ROWS)
+    nothing = F.lit(None).cast("binary").alias("least")
+    first = users.select("block", F.lit(headers[0][0]).alias("item_block"), nothing)
+    found = _scored(first, users, items.where(F.col("block") == headers[0][0]), k, copies)
+    if len(headers) == 1:
+        return found
+    found = stored_table(found, "first-best")
+    place = users.select("block", F.explode("ids").alias("user_id_idx"))
+    least = (found.groupBy("user_id_idx").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
+             .join(place, "user_id_idx").groupBy("block")
+             .agg(F.collect_list(F.struct("user_id_idx", "least")).alias("best"))                       # at most user_block
+             .select("block", F.col("best.user_id_idx").alias("known"), F.col("best.least").alias("scores")))
+    pairs = stored_table(users.select("block", "ids", "factors").join(least, "block", "left").mapInPandas(
+        _needed_blocks(headers[1:], k), "block bigint, item_block bigint, least binary"), "block-pairs")
+    return _k_best(found.unionByName(_scored(pairs, users, items, k, copies)), k)
+
+
+def als_top_k(r: DataFrame | None, products: DataFrame, k: int = ALS_TOP_K, implicit: bool = False,
+              model=None, data: RatingData | None = None, **params) -> DataFrame:
     """M4 + M5 + J6: top-k products per rated user with names and rounded scores.
 
     Every user with a rating in the training split gets k products (users
     seen only in the test split are cold starts and get none, as with the
     reference's subset call over all rated users).
     """
+    data = data or rating_data(r)
     if model is None:
-        model = als_fit(r, implicit, **params)
-    recs = (recommend(model, k)
-            .join(dense_ids(r, "user_id"), "user_id_idx").join(dense_ids(r, "product_id"), "product_id_idx")
+        model = als_fit(None, implicit, data=data, **params)
+    recs = (recommend(model, k).join(data.users, "user_id_idx").join(data.items, "product_id_idx")
             .select("user_id", "product_id", F.round("score", 4).alias("score")))
     names = products.select("product_id", "product_name", "category")
     return dim_join(recs, names, "product_id").select(
@@ -222,6 +342,54 @@ def top_k_contract(recs: DataFrame, r: DataFrame) -> DataFrame:
                         F.sum(F.col("n") - F.col("d")).alias("repeated"), F.sum("u").alias("unknown_products"))
 
 
+def _dot(x: str, y: str):
+    return F.aggregate(F.zip_with(x, y, lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda a, v: a + v)
+
+
+def als_stationarity(model, train: DataFrame, reg: float = ALS_PARAMS["regParam"]) -> DataFrame:
+    """M2 checked: (user_id_idx, n, violation), how far each user's factors are from solving their normal equations.
+
+    The last half-step of ALS solves, per user with n ratings, for x with
+    non-negative entries: gradient g = sum((x . y - rating) y) + reg n x is zero
+    where x is positive and not negative elsewhere.  ``violation`` is the largest
+    breach, relative to the size of sum(rating |y|) + reg n |x|.
+    """
+    u = model.userFactors.select(F.col("id").alias("user_id_idx"), F.col("features").alias("x"))
+    v = model.itemFactors.select(F.col("id").alias("product_id_idx"), F.col("features").alias("y"))
+    rank = model.rank
+    rows = train.join(u, "user_id_idx").join(v, "product_id_idx").withColumn("gap", _dot("x", "y") - F.col("rating"))
+    sums = rows.groupBy("user_id_idx").agg(
+        F.count(F.lit(1)).alias("n"), F.first("x").alias("x"),
+        F.array(*[F.sum(F.col("gap") * F.col("y")[j]) for j in range(rank)]).alias("g"),
+        F.sum(F.col("rating") * F.sqrt(_dot("y", "y"))).alias("scale"))
+    breach = [F.when(F.col("x")[j] > 1e-4, F.abs(F.col("g")[j] + reg * F.col("n") * F.col("x")[j]))
+              .otherwise(F.greatest(F.lit(0.0), -(F.col("g")[j] + reg * F.col("n") * F.col("x")[j]))) for j in range(rank)]
+    return sums.select("user_id_idx", "n", (F.greatest(*breach) / (
+        F.col("scale") + reg * F.col("n") * F.sqrt(_dot("x", "x")) + 1e-9)).alias("violation"))
+
+
+def als_checked(r: DataFrame, k: int = ALS_TOP_K, tolerance: float = 0.02, **params) -> DataFrame:
+    """M2-M4 checked from one fit: split sizes, and whether factors, RMSE and top-k scores are what they should be.
+
+    ``stationary``: every user's factors solve their normal equations within
+    ``tolerance`` (MLlib's non-negative solver stops early; factors are 32-bit).  ``rmse_agrees``: the error
+    computed by joining the stored factors equals the evaluator's.
+    ``scores_agree``: every recommended score equals the product of the stored factors.
+    """
+    data = rating_data(r)
+    model, n_train, n_test, rmse = als_fit_evaluate(None, data=data, **params)
+    u = model.userFactors.select(F.col("id").alias("user_id_idx"), F.col("features").alias("x"))
+    v = model.itemFactors.select(F.col("id").alias("product_id_idx"), F.col("features").alias("y"))
+    worst = als_stationarity(model, data.ratings.where("is_train")).agg(F.max("violation")).first()[0]
+    own = (data.ratings.where(~F.col("is_train")).join(u, "user_id_idx").join(v, "product_id_idx")
+           .agg(F.sqrt(F.avg(F.pow(_dot("x", "y") - F.col("rating"), F.lit(2))))).first()[0])
+    wrong = (recommend(model, k).join(u, "user_id_idx").join(v, "product_id_idx")
+             .where(F.abs(_dot("x", "y") - F.col("score")) > 1e-9 * (1 + F.abs("score"))).count())
+    return r.sparkSession.createDataFrame(
+        [(n_train, n_test, worst is not None and worst <= tolerance, abs((own or 0) - rmse) <= 1e-4 * (1 + rmse), wrong == 0)],
+        "train_rows bigint, test_rows bigint, stationary boolean, rmse_agrees boolean, scores_agree boolean")
+
+
 def user_features(dwd: DataFrame | None, facts: DataFrame | None = None) -> DataFrame:
     """Order count, spend and mean order value per user."""
     from shoplake.operators.users import user_spending
@@ -242,13 +410,15 @@ def cluster_pipeline(k: int = KMEANS_K, seed: int = KMEANS_SEED):
 
 
 def fit_clusters(features: DataFrame, k: int = KMEANS_K, seed: int = KMEANS_SEED,
-                 partitions: int = KMEANS_PARTITIONS):
-    """Fit on a fixed layout; returns ``(pipeline_model, order, clustered_frame)``.
+                 partitions: int | None = None):
+    """Fit on a layout that follows the number of users; returns ``(pipeline_model, order, clustered_frame)``.
 
     ``order`` lists the fitted centre numbers by centre, least first; the
     column ``cluster`` holds the position in that list, so numbers do not
     depend on the order in which the fit found the clusters.
     """
+    features = stored_table(features, "cluster-features")
+    partitions = partitions or parts_for(features.count(), USERS_PER_PARTITION)
     laid = features.repartition(partitions, "user_id").sortWithinPartitions("user_id")
     with persisted(laid):
         model = cluster_pipeline(k, seed).fit(laid)
@@ -280,6 +450,51 @@ def cluster_results(dwd: DataFrame | None, k: int = KMEANS_K, seed: int = KMEANS
     }
 
 
+def point_silhouettes(points: DataFrame) -> DataFrame:
+    """M10 in closed form: (cluster, v array) rows -> with ``silhouette`` per row, squared Euclidean distance.
+
+    The mean squared distance of a point x to a cluster of n points with sum s
+    and sum of squared norms q is |x|^2 - 2 x.s/n + q/n, so one row of sums per
+    cluster is all that travels.  In its own cluster the point itself does not
+    count; a point alone in its cluster has silhouette 0.
+    """
+    dims = len(FEATURES)
+    sums = points.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(F.col("v")[j]) for j in range(dims)]).alias("s"), F.sum(_dot("v", "v")).alias("q"))
+    every = sums.agg(F.collect_list(F.struct("cluster", "n", "s", "q")).alias("all"))          # k clusters
+    size = _dot("v", "v")
+
+    def distance(c):
+        return size - 2 * F.aggregate(F.zip_with(F.col("v"), c["s"], lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x) / c["n"] + c["q"] / c["n"]
+    met = points.withColumn("one", F.lit(1)).join(F.broadcast(every.withColumn("one", F.lit(1))), "one").drop("one")
+    own = F.filter("all", lambda c: c["cluster"] == F.col("cluster"))[0]
+    a = distance(own) * own["n"] / F.greatest(own["n"] - 1, F.lit(1))
+    b = F.array_min(F.transform(F.filter("all", lambda c: c["cluster"] != F.col("cluster")), distance))
+    return met.withColumn("silhouette", F.when((own["n"] == 1) | b.isNull(), F.lit(0.0)).otherwise(
+        (b - a) / F.greatest(a, b, F.lit(1e-300)))).drop("all")
+
+
+def cluster_checked(dwd: DataFrame, k: int = KMEANS_K, seed: int = KMEANS_SEED) -> DataFrame:
+    """M8-M10 checked from one fit: users, whether each sits at its nearest centre, and whether the silhouette agrees."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import vector_to_array
+    model, order, clustered = fit_clusters(user_features(dwd), k, seed)
+    centres = [model.stages[-1].clusterCenters()[c] for c in order]
+    points = clustered.select("cluster", vector_to_array("features").alias("v"))
+
+    def to_centre(c):
+        return sum((F.col("v")[j] - float(c[j])) * (F.col("v")[j] - float(c[j])) for j in range(len(FEATURES)))
+    distances = F.array(*[to_centre(c) for c in centres])
+    facts = point_silhouettes(points).agg(
+        F.count(F.lit(1)).alias("users"),
+        F.max(F.get(distances, F.col("cluster")) - F.array_min(distances)).alias("farther"),
+        F.avg("silhouette").alias("silhouette")).first()
+    theirs = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette").evaluate(clustered)
+    return dwd.sparkSession.createDataFrame(
+        [(facts["users"], len(order), facts["farther"] <= 1e-9, abs(facts["silhouette"] - theirs) <= 1e-6)],
+        "users bigint, clusters int, nearest boolean, silhouette_agrees boolean")
+
+
 def user_clusters(dwd: DataFrame, k: int = KMEANS_K, seed: int = KMEANS_SEED) -> DataFrame:
     """Cluster number per user with the three raw features."""
     return fit_clusters(user_features(dwd), k, seed)[2].select("user_id", "cluster", *FEATURES)

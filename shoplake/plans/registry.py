@@ -348,6 +348,9 @@ register("top_co_purchase", with_ctes(
     "LEFT JOIN dim_product pa ON t.product_a = pa.product_id "
     "LEFT JOIN dim_product pb ON t.product_b = pb.product_id", co=CO_PURCHASE))(
     lambda s, d: baskets.top_co_purchase(B.fact_order_detail(s, d), B.dim_product(s, d), 10))
+register("top_pairs", ORACLE_SQL["top_co_purchase"])(
+    lambda s, d: baskets.top_co_purchase(B.fact_order_detail(s, d), B.dim_product(s, d), 10,
+                                         pairs=baskets.top_pairs(B.fact_order_detail(s, d), 10)))
 
 # --- ML -----------------------------------------------------------------------------------
 
@@ -402,6 +405,13 @@ register("cluster_contract", with_ctes(
     lambda s, d: ml.user_clusters(_dwd(s, d)).agg(
         F.count_distinct("cluster").alias("clusters"), F.count_distinct("user_id").alias("users"),
         F.count("user_id").alias("user_rows")))
+register("als_checked", with_ctes(
+    f"SELECT COUNT(*) FILTER (WHERE {IS_TRAIN}) AS train_rows, COUNT(*) FILTER (WHERE NOT ({IS_TRAIN})) AS test_rows, "
+    "TRUE AS stationary, TRUE AS rmse_agrees, TRUE AS scores_agree FROM r", r=RATINGS))(
+    lambda s, d: ml.als_checked(_ratings(s, d)))
+register("cluster_checked", with_ctes(
+    "SELECT COUNT(DISTINCT user_id) AS users, CAST(4 AS INT) AS clusters, TRUE AS nearest, TRUE AS silhouette_agrees FROM dwd",
+    dwd=DWD))(lambda s, d: ml.cluster_checked(_dwd(s, d)))
 register("recommendation_sample", with_ctes(
     "SELECT * FROM r WHERE user_id IN (SELECT DISTINCT user_id FROM r ORDER BY user_id LIMIT 3)", r=RATINGS))(
     lambda s, d: ml.sample_recommendations(_ratings(s, d), 3))

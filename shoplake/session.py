@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every shoplake session wants.  AQE re-plans joins at runtime
 # (broadcast when the real build side is small, skew-join splitting of hot
@@ -99,3 +99,15 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
         return base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to a new folder under the shared directory and read it back.
+
+    Later jobs read the files: a lost executor never makes Spark redo the work
+    above, and a join of two such tables has bare scans on both sides, so AQE
+    can split a hot key.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

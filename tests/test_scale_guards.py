@@ -13,7 +13,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
              "PythonUDF", "percentile(")
 # fits run when called; only cross joins are looked for in what they return
 FITS = {"als_rmse", "als_top5", "als_top5_contract", "user_clusters", "cluster_summary", "cluster_quality", "cluster_contract",
-        "scaled_features"}
+        "scaled_features", "als_checked", "cluster_checked"}
 
 
 @pytest.mark.parametrize("name", NAMES)

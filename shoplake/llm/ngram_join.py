@@ -28,8 +28,10 @@ only frequent hashes come back, as a bitmap of at most ``BITMAP_BITS``.  A
 hash collision there only moves a token to the other class, for all documents alike,
 and the class never decides a link.  The threshold doubles until the frequent
 tokens fit the bitmap.  Lists are streamed in sorted order; long ones are cut
-into blocks before pairs over component borders are made.  Sets travel only for
-candidate pairs, made again from the texts.
+into blocks before pairs over component borders are made.  A candidate pair is
+first judged by parity bitmaps of about a bit per token: where they differ, the
+sets differ, so a pair with more such bits than a link allows is none.  Whole
+sets travel only for the pairs left, made again from the texts.
 
 Sets are 64-bit hashes of shingles, and a distinct set is named by 64 bits over
 its size and members: two of N distinct sets share a name with probability of
@@ -104,8 +106,25 @@ def _marked(docs: DataFrame) -> DataFrame:
                        text_of("text").cast("binary").alias("text"))
 
 
+def _parity(tokens) -> bytes:
+    """A power of two of bits, one per token at least: bit i is the parity of the tokens that hash to i."""
+    import numpy as np
+    width = max(64, 1 << (len(tokens) - 1).bit_length())
+    at = (tokens >> np.uint64(20)).astype(np.int64) & (width - 1)
+    return np.packbits(np.bincount(at, minlength=width) & 1).tobytes()
+
+
+def parity_difference(x: bytes, y: bytes) -> int:
+    """At most the size of the symmetric difference of the two sets; the wider bitmap is folded."""
+    import numpy as np
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    w = min(len(a), len(b))
+    a, b = (np.bitwise_xor.reduce(z.reshape(-1, w), axis=0) for z in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _sized(shingle: int):
-    """Arrow batches (doc_id, mark, text) -> doc_id, mark, n, node."""
+    """Arrow batches (doc_id, mark, text) -> doc_id, mark, n, node, bits."""
     def run(batches):
         import pyarrow as pa
         shingles = Shingles(shingle)
@@ -113,7 +132,8 @@ def _sized(shingle: int):
             sets = [shingles.of(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("mark"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([_name(s) for s in sets], pa.int64())], names=["doc_id", "mark", "n", "node"])
+                 pa.array([_name(s) for s in sets], pa.int64()), pa.array([_parity(s) if len(s) else b"" for s in sets], pa.binary())],
+                names=["doc_id", "mark", "n", "node", "bits"])
     return run
 
 
@@ -378,6 +398,18 @@ def _with_sets(shingle: int):
     return run
 
 
+def _close(percent: int):
+    """Arrow batches (u, v, n, m, x, y) -> (u, v) whose parity bitmaps leave a link possible."""
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            kept = [(u, v) for u, v, n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("u", "v", "n", "m", "x", "y")))
+                    if parity_difference(x, y) <= n + m - 2 * -(-percent * (n + m) // (100 + percent))]
+            us, vs = zip(*kept) if kept else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+    return run
+
+
 def _verified(percent: int):
     def run(batches):
         import numpy as np
@@ -397,6 +429,9 @@ def _verified(percent: int):
 def _links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, shingle: int, percent: int, broadcast_docs: int,
            name: str) -> DataFrame:
     """The pairs (u, v) of ``pairs`` whose whole sets link."""
+    ends_of = [reps.select(F.col("node").alias(k), F.col("n").alias(n), F.col("bits").alias(b)) for k, n, b in (("u", "n", "x"), ("v", "m", "y"))]
+    pairs = stored(pairs.join(ends_of[0], "u").join(ends_of[1], "v").select("u", "v", "n", "m", "x", "y")
+                   .mapInArrow(_close(percent), "u bigint, v bigint"), f"join-close-{name}")
     ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     wanted = stored(reps.join(ends, "node").select("node", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")),
                     f"join-wanted-{name}")
@@ -414,10 +449,10 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE_WORDS, percent: in
                       broadcast_docs: int = BROADCAST_DOCS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least doc_id that links lead to)."""
     marked = _marked(docs)
-    sized = stored(marked.mapInArrow(_sized(shingle), "doc_id bigint, mark bigint, n bigint, node bigint"), "join-sizes")
+    sized = stored(marked.mapInArrow(_sized(shingle), "doc_id bigint, mark bigint, n bigint, node bigint, bits binary"), "join-sizes")
     reps = stored(sized.where("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "mark")).alias("row"))
-        .select("node", "least", "row.doc_id", "row.mark"), "join-sets")
+        F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "mark")).alias("row"), F.first("n").alias("n"),
+        F.first("bits").alias("bits")).select("node", "least", "row.doc_id", "row.mark", "n", "bits"), "join-sets")
     tokens = sized.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bitmap = frequent_tokens(docs, tokens, shingle, frequent, part_tokens, bitmap_bits)
     index = marked.select("text").mapInArrow(_indexed(shingle, percent, bitmap), "sig bigint, node bigint, n int")

@@ -25,7 +25,8 @@ end at a node are joined to text in chunks by tasks that each hold one range;
 only the hash over the chunks runs through them in order.
 
 Edge cases: null role and text are empty; null turns come first; equal turns
-are ordered by their hash (any order of equal rows is the same); rows without
+are ordered by their hash (any order of equal rows is the same); the remainder
+of a negative conv_id is negative, as in SQL; rows without
 conv_id belong to no conversation and are left out; a conversation that the rebuilding
 leaves without turns is a member of the root only; the root's conv_id is the
 least of all and its parent null; a childless root is a leaf; an empty table

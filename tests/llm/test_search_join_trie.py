@@ -199,6 +199,15 @@ def test_linked_sets_share_a_signature():
         assert seen
 
 
+def test_parity_difference_never_exceeds_the_sets_difference():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        x, y = (np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 700)), dtype=np.uint64)) for _ in range(2))
+        y = np.union1d(x[:len(x) * 9 // 10], y[:int(rng.integers(0, len(y)))])
+        assert ngram_join.parity_difference(ngram_join._parity(x), ngram_join._parity(y)) <= len(np.setxor1d(x, y))
+    assert ngram_join.parity_difference(ngram_join._parity(x), ngram_join._parity(x)) == 0
+
+
 def test_packed_tokens_round_trip():
     rng = np.random.default_rng(3)
     for n in (1, 2, 1000):
@@ -219,7 +228,7 @@ def _trie(rows, group=20, shares=4):
     built = {}
     for c, own in convs.items():
         h = zlib.crc32(str(c).encode()) % shares
-        built[c] = convs.get(c - c % group, [])[:h] + own[h:]
+        built[c] = convs.get(c - int(math.fmod(c, group)), [])[:h] + own[h:]
     members, children = defaultdict(list), Counter()
     for c, s in built.items():
         for d in range(len(s) + 1):

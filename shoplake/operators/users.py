@@ -20,6 +20,7 @@ from shoplake.functions.labels import (ORDER_COUNT, PURCHASE_BUCKETS, RECENCY_DA
                                        RFM_DEFAULT_LABEL, RFM_LABEL_RULES, SPEND,
                                        TERCILE_PROBS, TIER_CUTOFFS, TIER_LABELS)
 from shoplake.operators.quantiles import exact_quantiles, quantile_name
+from shoplake.operators.rollups import quantile_sketches, sketch_quantiles
 from shoplake.plans.joins import dim_join
 
 
@@ -149,17 +150,15 @@ def rfm_thresholds(base: DataFrame, probs: Sequence[float] = TERCILE_PROBS,
     """A10: one row ``r_q33, r_q66, f_q33, f_q66, m_q33, m_q66`` (input: ``rfm_base``).
 
     ``exact=True`` interpolates like pandas ``quantile`` / ``percentile``,
-    distributed (see ``exact_quantiles``); ``exact=False`` uses
-    ``percentile_approx`` (bounded memory, approximate).
+    distributed (see ``exact_quantiles``); ``exact=False`` reads them off KLL
+    sketches (see ``rollups``), whose states can be stored per key and merged.
     """
     measures = {"r": "recency", "f": "frequency", "m": "monetary"}
     if exact:
         return exact_quantiles(base, measures, probs)
-    cols = []
-    for n, c in measures.items():
-        arr = F.percentile_approx(F.col(c).cast("double"), list(probs), 100000)
-        cols += [arr[i].cast("double").alias(quantile_name(n, p)) for i, p in enumerate(probs)]
-    return base.agg(*cols)
+    sketches = quantile_sketches(base, [], measures)
+    return sketch_quantiles(sketches, [], list(measures), probs).select(
+        *[quantile_name(m, p) for m in measures for p in probs])
 
 
 def _tercile_label() -> Column:

@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shoplake.operators import baskets, clean, ml, products, quality, trade, users
+from shoplake.operators import baskets, clean, ml, products, quality, rollups, trade, users
 from shoplake.plans.sqltext import dbl, dwd_sql, mavg, msum, pct, rnd, with_ctes
-from shoplake.session import shared_dir
+from shoplake.session import shared_dir, stored_table
 from shoplake.sources import bindings as B
 from shoplake.sources import snapshot
 from shoplake.sources.sinks import write_result
 from shoplake.streaming import io as sio
-from shoplake.streaming import windows
+from shoplake.streaming import late, windows
 
 # TESTDATA order dates end on 2001-08-01; recency is measured from the next day.
 AS_OF = "2001-08-02"
@@ -456,12 +456,24 @@ def _catalog_scan(s, d):
                                        "order_status = 'paid'")
 
 
+ITEM_COLS = ("product_id", "quantity", "subtotal")
+
+
+def _nested_orders(s, d):
+    return windows.nested_orders(B.fact_order(s, d).select("order_id", "order_time"), B.fact_order_detail(s, d), ITEM_COLS)
+
+
 def _order_items(s, d):
-    nested = B.fact_order_detail(s, d).groupBy("order_id").agg(
-        F.collect_list(F.struct("product_id", "quantity", "subtotal")).alias("items"))
+    nested = _nested_orders(s, d).select("order_id", "items")
     return windows.explode_order_items(nested).withColumn("subtotal", F.col("subtotal").cast("double"))
 
 
+def _order_item_totals_stream(s, d):
+    path = shared_dir(s, "nested-orders")
+    _nested_orders(s, d).write.parquet(path)
+    return sio.stream_item_totals(s, path, {"order_time": sio.SENTINEL_TIME})
+
+
 def _order_feed(s, d):
     """Valid orders that carry a product_id of their own, as the fallback's input would."""
     first = B.fact_order_detail(s, d).groupBy("order_id").agg(F.min("product_id").alias("product_id"))
@@ -475,6 +487,67 @@ register("catalog_scan", with_ctes(
     "WHERE order_status = 'paid'"))(_catalog_scan)
 register("order_items", with_ctes(
     "SELECT order_id, product_id, quantity, CAST(subtotal AS DOUBLE) AS subtotal FROM fact_order_detail"))(_order_items)
+ITEM_TOTALS = (
+    "SELECT date_trunc('minute', o.order_time) AS window_start, l.product_id, COUNT(*) AS line_count, "
+    f"CAST(SUM(l.quantity) AS BIGINT) AS quantity, {msum('l.subtotal')} AS amount "
+    "FROM fact_order_detail l JOIN fact_order o ON l.order_id = o.order_id GROUP BY 1, 2")
+register("order_item_totals", with_ctes(ITEM_TOTALS))(
+    lambda s, d: windows.item_window_totals(_nested_orders(s, d)))
+register("order_item_totals_stream", with_ctes(ITEM_TOTALS))(_order_item_totals_stream)
+
+# states that roll up: day sketches to months, minute bitmaps to days
+_MEASURES = {"actual": "actual_amount", "discount": "discount_amount"}
+_PROBS = (0.25, 0.5, 0.9)
+
+
+def _monthly_quantiles(s, d):
+    facts = _dwd(s, d).withColumn("month", F.date_format("order_date", "yyyy-MM"))
+    days = stored_table(rollups.quantile_sketches(facts, ["month", "order_date"], _MEASURES), "day-sketches")
+    months = rollups.sketch_quantiles(rollups.merged_sketches(days, ["month"], list(_MEASURES)), ["month"], list(_MEASURES), _PROBS)
+    return rollups.quantile_errors(facts, ["month"], _MEASURES, months, _PROBS).select(
+        "month", "measure", "p", "n", (F.col("rank_error") <= 2 * rollups.rank_error() + 1 / F.col("n")).alias("within"))
+
+
+register("monthly_quantiles", with_ctes(" UNION ALL ".join(
+    f"SELECT strftime(order_date, '%Y-%m') AS month, '{m}' AS measure, CAST({p} AS DOUBLE) AS p, COUNT({c}) AS n, TRUE AS within "
+    "FROM dwd GROUP BY 1" for m, c in _MEASURES.items() for p in _PROBS), dwd=DWD))(_monthly_quantiles)
+
+
+def _daily_uv(s, d):
+    events = B.user_behavior(s, d).select("user_id", "behavior_type", "behavior_time")
+    ids = stored_table(ml.dense_ids(events, "user_id"), "user-ids")
+    minutes = events.join(ids, "user_id").withColumn("minute", F.date_trunc("minute", "behavior_time"))
+    bitmaps = stored_table(rollups.distinct_bitmaps(minutes, ["minute", "behavior_type"], "user_id_idx"), "minute-bitmaps")
+    days = bitmaps.withColumn("day", F.to_date("minute"))
+    return rollups.bitmap_counts(rollups.merged_bitmaps(days, ["day", "behavior_type"]), ["day", "behavior_type"])
+
+
+register("daily_uv", with_ctes(
+    "SELECT CAST(behavior_time AS DATE) AS day, behavior_type, COUNT(DISTINCT user_id) AS uv FROM ods_user_behavior GROUP BY 1, 2"))(_daily_uv)
+
+# late rows as an output: the events in six steps by time, one event in ten two steps late
+_STEPS = 6
+_STEP = ("least({n} - 1, CAST(floor((epoch({t}) - (SELECT min(epoch({t})) FROM {f})) * {n} / (1 + (SELECT max(epoch({t})) - min(epoch({t})) "
+         "FROM {f}))) AS INT) + CASE WHEN log_id % 10 = 0 THEN 2 ELSE 0 END)")
+LATE_SPLIT = (
+    "SELECT batch, COUNT(*) FILTER (WHERE NOT late) AS rows_kept, COUNT(*) FILTER (WHERE late) AS rows_late FROM ("
+    "SELECT s.batch, date_trunc('minute', s.behavior_time) + INTERVAL 1 MINUTE <= m.newest - INTERVAL 5 SECOND AND m.newest IS NOT NULL AS late "
+    "FROM steps s LEFT JOIN (SELECT b.batch, (SELECT max(t.behavior_time) FROM steps t WHERE t.batch < b.batch - 1) AS newest "
+    "FROM (SELECT DISTINCT batch FROM steps) b) m ON s.batch = m.batch) GROUP BY batch")
+
+
+def _late_split(s, d):
+    events = B.user_behavior(s, d).select("log_id", "user_id", "behavior_type", "behavior_time")
+    sec = F.unix_micros(windows.event_time(events, "behavior_time")) / 1e6
+    first, last = events.agg(F.min(sec), F.max(sec)).first()
+    step = F.least(F.lit(_STEPS - 1), F.floor((sec - (first or 0)) * _STEPS / (1 + ((last or 0) - (first or 0)))).cast("int")
+                   + F.when(F.col("log_id") % 10 == 0, 2).otherwise(0))
+    split = late.split_arrivals(events.withColumn("step", step), "step", "behavior_time", _STEPS)
+    return split.groupBy("batch").agg(F.count_if(~F.col("late")).alias("rows_kept"), F.count_if("late").alias("rows_late"))
+
+
+register("late_split", with_ctes(
+    LATE_SPLIT, steps="SELECT *, " + _STEP.format(n=_STEPS, t="behavior_time", f="ods_user_behavior") + " AS batch FROM ods_user_behavior"))(_late_split)
 register("row_gate", with_ctes(
     "SELECT 'dim_user' AS table_name, CAST(100 AS BIGINT) AS min_rows, COUNT(*) AS row_count, COUNT(*) >= 100 AS passed "
     "FROM dim_user UNION ALL SELECT 'fact_order', 1000000000, COUNT(*), COUNT(*) >= 1000000000 FROM fact_order"))(

@@ -20,7 +20,7 @@ from shoplake.functions.labels import (BEHAVIOR_TOPIC, ORDER_TOPIC,  # noqa: F40
                                        STREAM_TIMESTAMP_FORMAT, WATERMARK_DELAY, WINDOW_DURATION)
 from shoplake.schemas import BEHAVIOR_EVENT, ORDER_EVENT
 from shoplake.session import shared_dir
-from shoplake.streaming.windows import behavior_uv_pv, order_window_totals
+from shoplake.streaming.windows import behavior_uv_pv, item_window_totals, order_window_totals
 
 SENTINEL_TIME = "2200-01-01 00:00:00"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -184,3 +184,10 @@ def stream_order_totals(spark: SparkSession, path: str, bind: Callable[[DataFram
     """
     return stream_table(spark, path, lambda df: order_window_totals(bind(df), time_col, window, delay, statuses),
                         sentinel, fmt="json", name="order-totals-stream", **kw)
+
+
+def stream_item_totals(spark: SparkSession, path: str, sentinel: dict, time_col: str = "order_time",
+                       window: str = WINDOW_DURATION, delay: str = WATERMARK_DELAY, **kw) -> DataFrame:
+    """X5 streamed: item totals per window and product over the files of a table of nested orders."""
+    return stream_table(spark, path, lambda df: item_window_totals(df, time_col, window, delay), sentinel,
+                        name="item-totals-stream", **kw)

@@ -445,6 +445,25 @@ def _result_roundtrip(s, d):
     return s.read.schema(daily.schema).options(header="true", sep="\t").csv(path)
 
 
+def _snapshot_checked(s, d):
+    """The orders as tab-separated lines, some cut short or with text in a number field, read back."""
+    orders = snapshot.snapshot_project(B.fact_order(s, d))
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in orders.columns]
+    first = F.when(F.col("order_id") % 101 == 0, F.concat(F.lit("no."), cells[0])).otherwise(cells[0])
+    line = F.when(F.col("order_id") % 97 == 0, F.concat_ws("\t", *cells[:3])).otherwise(F.concat_ws("\t", first, *cells[1:]))
+    root = shared_dir(s, "snapshot-lines")
+    orders.select(line.alias("value")).write.text(snapshot.snapshot_path(root, "fact_order", AS_OF))
+    good, bad = snapshot.read_snapshot_checked(s, root, "fact_order", AS_OF, orders.schema)
+    return good.groupBy("order_status").agg(F.count(F.lit(1)).alias("row_count"), F.sum("order_id").alias("id_sum")).unionByName(
+        bad.agg(F.lit("~corrupt").alias("order_status"), F.count("line").alias("row_count"), F.lit(None).cast("long").alias("id_sum")))
+
+
+register("snapshot_checked", with_ctes(
+    "SELECT CASE WHEN order_id % 97 = 0 OR order_id % 101 = 0 THEN '~corrupt' ELSE order_status END AS order_status, "
+    "COUNT(*) AS row_count, CAST(SUM(CASE WHEN order_id % 97 = 0 OR order_id % 101 = 0 THEN NULL ELSE order_id END) AS BIGINT) AS id_sum "
+    "FROM fact_order GROUP BY 1"))(_snapshot_checked)
+
+
 def _catalog_scan(s, d):
     lake = B.fact_order(s, d)
     root = shared_dir(s, "catalog")

@@ -1,6 +1,7 @@
 """Full-snapshot lake I/O and catalog registration.
 
-Snapshots live in ``<root>/<table>/full/<snapshot_date>`` as tab-separated
+Snapshots live in ``<root>/<table>/full/<snapshot_date>`` (a refresh writes a
+version beside it and then names it in a manifest, see ``commits``) as tab-separated
 text without quoting and with ``\\N`` for NULL, read with a fixed schema.
 Parquet is the default for new lakes (``fmt="parquet"``): it carries types
 and lets Catalyst push filters and prune columns into the scan.
@@ -17,6 +18,7 @@ from pyspark.sql.types import (DateType, DecimalType, StructType, TimestampNTZTy
 
 from shoplake.functions.labels import LAKE_DATETIME_FORMAT
 from shoplake.schemas import TABLES
+from shoplake.sources import commits
 
 TSV_OPTIONS = {"sep": "\t", "quote": "", "escape": "", "nullValue": "\\N", "header": "false",
                "mode": "PERMISSIVE"}
@@ -30,17 +32,41 @@ def snapshot_path(root: str, table: str, snapshot_date: str) -> str:
 def read_snapshot(spark: SparkSession, root: str, table: str, snapshot_date: str,
                   schema: StructType | None = None, fmt: str = "tsv") -> DataFrame:
     """One dated snapshot with its fixed schema."""
-    path = snapshot_path(root, table, snapshot_date)
+    path = commits.resolve(spark, snapshot_path(root, table, snapshot_date))
     schema = schema or TABLES[table]
     if fmt == "tsv":
         return spark.read.schema(schema).options(**TSV_OPTIONS).csv(path)
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+CORRUPT = "_corrupt"
+
+
+def read_snapshot_checked(spark: SparkSession, root: str, table: str, snapshot_date: str,
+                          schema: StructType | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of a TSV snapshot that parse, and those that do not.
+
+    A line with a field that its type cannot hold, or with too few or too many
+    fields, would read as NULLs.  Here the first frame holds only lines that
+    parse whole, with the columns of the schema; the second the others:
+    ``line``, ``file``, ``block`` (start of the file block).  Together they are
+    all lines; a blank one is among the others.  An empty field and the NULL mark parse as NULL.
+    """
+    path = commits.resolve(spark, snapshot_path(root, table, snapshot_date))
+    schema = schema or TABLES[table]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + f", `{CORRUPT}` string"
+    # parsed as an expression over the lines: a CSV scan prunes columns, and with a column its errors
+    lines = spark.read.text(path).select(
+        F.from_csv("value", F.lit(ddl), dict(TSV_OPTIONS, columnNameOfCorruptRecord=CORRUPT)).alias("row"),
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    failed = F.col(f"row.{CORRUPT}").isNotNull() | (F.col("value") == "")
+    good = lines.where(~failed).select(*[F.col(f"row.`{f.name}`") for f in schema.fields])
+    return good, lines.where(failed).select(F.col("value").alias("line"), "file", "block")
+
+
 def snapshot_exists(spark: SparkSession, root: str, table: str, snapshot_date: str) -> bool:
-    """Whether the dated folder is there, asked of the file system that holds it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(snapshot_path(root, table, snapshot_date))
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    """Whether the dated snapshot is there, asked of the file system that holds it."""
+    return commits.published(spark, snapshot_path(root, table, snapshot_date))
 
 
 def lake_tables(spark: SparkSession, root: str, snapshot_date: str, fmt: str = "tsv",
@@ -73,14 +99,18 @@ def snapshot_project(df: DataFrame, datetime_format: str = DATETIME_FORMAT,
 
 def write_snapshot(df: DataFrame, root: str, table: str, snapshot_date: str,
                    fmt: str = "tsv") -> str:
-    """K1: replace the dated snapshot directory (full refresh, parallel writers)."""
-    path = snapshot_path(root, table, snapshot_date)
-    w = snapshot_project(df).write.mode("overwrite")
-    if fmt == "tsv":
-        w.options(**{k: v for k, v in TSV_OPTIONS.items() if k != "mode"}).csv(path)
-    else:
-        w.format(fmt).save(path)
-    return path
+    """K1: replace the dated snapshot (full refresh, parallel writers); returns the folder of the new version.
+
+    The old version stays readable until the new one is complete, also if the job dies (see ``commits``).
+    """
+    rows = snapshot_project(df)
+
+    def write(folder: str) -> None:
+        if fmt == "tsv":
+            rows.write.options(**{k: v for k, v in TSV_OPTIONS.items() if k != "mode"}).csv(folder)
+        else:
+            rows.write.format(fmt).save(folder)
+    return commits.refresh(df.sparkSession, snapshot_path(root, table, snapshot_date), write)
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:

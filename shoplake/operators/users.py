@@ -21,6 +21,7 @@ from shoplake.functions.labels import (ORDER_COUNT, PURCHASE_BUCKETS, RECENCY_DA
                                        TERCILE_PROBS, TIER_CUTOFFS, TIER_LABELS)
 from shoplake.operators.quantiles import exact_quantiles, quantile_name
 from shoplake.operators.rollups import quantile_sketches, sketch_quantiles
+from shoplake.session import stored_table
 from shoplake.plans.joins import dim_join
 
 
@@ -145,6 +146,9 @@ def rfm_base(dwd: DataFrame | None, as_of=None, facts: DataFrame | None = None)
             .withColumn("recency", F.datediff(_as_of(as_of), F.col("last_order_date"))))
 
 
+RFM_MEASURES = {"r": "recency", "f": "frequency", "m": "monetary"}
+
+
 def rfm_thresholds(base: DataFrame, probs: Sequence[float] = TERCILE_PROBS,
                    exact: bool = True) -> DataFrame:
     """A10: one row ``r_q33, r_q66, f_q33, f_q66, m_q33, m_q66`` (input: ``rfm_base``).
@@ -153,9 +157,10 @@ def rfm_thresholds(base: DataFrame, probs: Sequence[float] = TERCILE_PROBS,
     distributed (see ``exact_quantiles``); ``exact=False`` reads them off KLL
     sketches (see ``rollups``), whose states can be stored per key and merged.
     """
-    measures = {"r": "recency", "f": "frequency", "m": "monetary"}
+    measures = RFM_MEASURES
     if exact:
-        return exact_quantiles(base, measures, probs)
+        # two passes over the values: the base is read once
+        return exact_quantiles(stored_table(base.select(*measures.values()), "rfm-measures"), measures, probs)
     sketches = quantile_sketches(base, [], measures)
     return sketch_quantiles(sketches, [], list(measures), probs).select(
         *[quantile_name(m, p) for m in measures for p in probs])
@@ -176,7 +181,8 @@ def rfm_tercile(base: DataFrame, thresholds: DataFrame | None = None,
     inlined as constants): no join and no single-partition step.
     """
     if thresholds is None:
-        thresholds = rfm_thresholds(base, probs)
+        base = stored_table(base, "rfm-base")               # read once; thresholds and scores work on the result
+        thresholds = exact_quantiles(base, RFM_MEASURES, probs)
     lo, hi = probs[0], probs[1]
 
     def q(m, p):

@@ -16,7 +16,7 @@ from shoplake.operators import baskets, clean, ml, products, quality, rollups, t
 from shoplake.plans.sqltext import dbl, dwd_sql, mavg, msum, pct, rnd, with_ctes
 from shoplake.session import shared_dir, stored_table
 from shoplake.sources import bindings as B
-from shoplake.sources import snapshot
+from shoplake.sources import layer, snapshot
 from shoplake.sources.sinks import write_result
 from shoplake.streaming import io as sio
 from shoplake.streaming import late, windows
@@ -445,6 +445,20 @@ def _result_roundtrip(s, d):
     return s.read.schema(daily.schema).options(header="true", sep="\t").csv(path)
 
 
+def _weekend_days(s, d):
+    dwd = _dwd(s, d)
+    path = shared_dir(s, "order-layer")
+    layer.write_order_layer(dwd, path)
+    days = stored_table(layer.calendar(dwd), "calendar").where("is_weekend = 1")
+    return layer.day_totals(layer.read_order_layer(s, path, dwd.schema), days, B.fact_order_detail(s, d))
+
+
+register("weekend_days", with_ctes(
+    f"SELECT order_date, COUNT(order_id) AS order_cnt, {msum('actual_amount')} AS total_revenue, "
+    "CAST(SUM((SELECT COUNT(*) FROM fact_order_detail l WHERE l.order_id = dwd.order_id)) AS BIGINT) AS line_cnt "
+    "FROM dwd WHERE dayofweek(order_date) IN (0, 6) GROUP BY order_date", dwd=DWD))(_weekend_days)
+
+
 def _snapshot_checked(s, d):
     """The orders as tab-separated lines, some cut short or with text in a number field, read back."""
     orders = snapshot.snapshot_project(B.fact_order(s, d))

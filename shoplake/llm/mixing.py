@@ -17,9 +17,9 @@ when the number of sources is at most ``broadcast_sources`` and by an ordinary
 join (which AQE can split on a hot source) beyond it.
 
 Edge cases: null text has size 0 and is still emitted; null source is a
-source of its own; an empty table gives no rows; repeated rows draw the same
-number as each other because the draw depends on doc_id and seed only; null
-doc_id draws as the empty string.
+source of its own; an empty table gives no rows; rows without doc_id, or that
+repeat one, draw by their text as well, so only rows equal in both draw the same
+number as each other (and are taken equally often).
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, stored, text_of
+from .common import SPACE, stored, text_hash, text_of
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -40,9 +40,9 @@ def word_count(text: Column) -> Column:
     return F.size(F.array_remove(F.split(text, SPACE), "")).cast("long")
 
 
-def draw(doc_id: Column, seed: str = SEED) -> Column:
-    """Uniform number in [0, 1) from 52 bits of the MD5 of seed and id."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def draw(doc_id: Column, mark: Column, seed: str = SEED) -> Column:
+    """Uniform number in [0, 1) from 52 bits of the MD5 of seed, id and the hash of the text."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), mark))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
@@ -82,8 +82,8 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, max_repeat: int =
 def mix_plan(docs: DataFrame, weights: tuple = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED,
              broadcast_sources: int = BROADCAST_SOURCES) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, rate, copies, taken."""
-    sized = docs.select("doc_id", "source", word_count(text_of("text")).alias("size"))
-    return _with_copies(sized, _rates(sized, weights, max_repeat), seed, broadcast_sources)
+    sized = docs.select("doc_id", "source", word_count(text_of("text")).alias("size"), text_hash("text").alias("_mark"))
+    return _with_copies(sized, _rates(sized, weights, max_repeat), seed, broadcast_sources).drop("_mark")
 
 
 def _rates(sized: DataFrame, weights: tuple, max_repeat: int) -> DataFrame:
@@ -94,7 +94,7 @@ def _with_copies(sized: DataFrame, rates: DataFrame, seed: str, broadcast_source
     r = rates.withColumnRenamed("source", "_source")
     if r.count() <= broadcast_sources:
         r = F.broadcast(r)
-    copies = (F.floor("rate") + (draw(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate")).cast("long"))
+    copies = (F.floor("rate") + (draw(F.col("doc_id"), F.col("_mark"), seed) < F.col("rate") - F.floor("rate")).cast("long"))
     return (sized.join(r, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
             .withColumn("copies", copies.cast("long"))
             .withColumn("taken", F.col("size") * F.col("copies")))
@@ -105,7 +105,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, max_repeat: int = MAX_REPEAT,
     """The mixed corpus: each row of ``docs`` as often as the mix takes it, columns unchanged."""
     sized = docs.select("doc_id", "source", word_count(text_of("text")).alias("size"))
     rates = _rates(sized, weights, max_repeat)
-    row = docs.select("doc_id", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    row = docs.select("doc_id", "source", text_hash("text").alias("_mark"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     picked = _with_copies(row.withColumn("size", F.lit(0).cast("long")), rates, seed, broadcast_sources)
     # repeat 0 times: sequence(1, 0) would count down, so rows without copies go first
     return (picked.filter(F.col("copies") > 0)

@@ -181,7 +181,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 OP10 = rf"""
-WITH d AS (SELECT doc_id, source, CAST(len({_words()}) AS BIGINT) AS size FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(len({_words()}) AS BIGINT) AS size, md5(coalesce(text, '')) AS mark FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CAST([5, 2, 1][((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3) + 1] AS BIGINT) AS weight,
       3 * source_size AS cap FROM s),
@@ -195,12 +195,11 @@ t AS (SELECT source, source_size, CASE WHEN fill >= level THEN (SELECT final_lev
 r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 1.0 END AS rate FROM t)
 SELECT d.doc_id, d.size, r.source_size, r.target,
        d.size * (CAST(floor(r.rate) AS BIGINT) + CASE WHEN
-         CAST(('0x' || substr(md5('mix-2024:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT)
+         CAST(('0x' || substr(md5('mix-2024:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || d.mark), 1, 13)) AS BIGINT)
          / 4503599627370496.0 < r.rate - floor(r.rate) THEN 1 ELSE 0 END) AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 """
 
-# op3 needs XXH64, op4 a tokenizer, op8 a fitted model: tests/llm compares them with plain Python
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERMS = rf"regexp_extract_all({_AZ}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 OP11 = f"""
@@ -262,6 +261,7 @@ SELECT conv_id, depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_chi
 FROM r JOIN u USING (name) JOIN v USING (name) LEFT JOIN ch USING (name)
 """
 
+# op3 needs XXH64, op4 a tokenizer, op8 a fitted model: tests/llm compares them with plain Python
 ORACLE_SQL = {"op1_warc": OP1, "op2_secret_scan": OP2, "op5_license_scan": OP5, "op6_substring_dedup": OP6,
               "op7_decontamination": OP7, "op9_quality_rules": OP9, "op10_mixing": OP10, "op11_ranked_search": OP11,
               "op12_ngram_jaccard_join": OP12, "op13_conversation_trie": OP13}

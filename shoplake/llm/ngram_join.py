@@ -18,7 +18,9 @@ whose partners may be in the class below is indexed for both.
 
 Sets that share a signature are verified on their whole sets.  First each is
 compared with one centre of its list; connected components settle most lists at
-once.  In lists with sets of several components, all pairs over component
+once.  Longer lists (more than ``SHORT`` sets) that still hold several components
+get a second centre, picked by a hash that differs from list to list, so a set
+meets many others of its group.  In lists with sets of several components, all pairs over component
 borders (of sizes that can link) follow, so no link between components is missed.
 
 Scale: work is on distinct sets, a group of copies is one.  Document
@@ -54,9 +56,10 @@ from .graph import components
 
 SHINGLE_WORDS = 4
 PERCENT = 85
-FREQUENT = 32
+FREQUENT = 8
 PART_TOKENS = 2_000_000
 BITMAP_BITS = 1 << 27
+SHORT = 8
 BLOCK = 1024
 BROADCAST_DOCS = 500_000
 KNOWN_WORDS = 1_000_000
@@ -444,6 +447,25 @@ def _links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, shingle: int, per
     return stored(both.select("u", "v", "x", "y").mapInArrow(_verified(percent), "u bigint, v bigint"), f"join-links-{name}")
 
 
+def _labelled(members: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members of the lists with the component of each set, and (sig, members) of the lists with several components."""
+    parts = stored(components(found), "join-parts")
+    labelled = stored(members.select("sig", "node", "n").join(parts, "node", "left").select(
+        "sig", "node", "n", F.coalesce("root", "node").alias("label")), "join-labelled")
+    split = labelled.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("members"))
+    return labelled, stored(split.where("x <> y").select("sig", "members"), "join-split")
+
+
+def _second_stars(labelled: DataFrame, split: DataFrame, percent: int, short: int = SHORT) -> DataFrame:
+    """Pairs (u, v) of each set of a long list with the list's second centre, where components differ and sizes can link."""
+    long = labelled.join(split.where(F.col("members") > short).select("sig"), "sig")
+    centres = stored(long.groupBy("sig").agg(F.min(F.struct(F.xxhash64("sig", "node").alias("h"), "node", "n", "label")).alias("c"))
+                     .select("sig", F.col("c.node").alias("c"), F.col("c.n").alias("cn"), F.col("c.label").alias("cl")), "join-centres")
+    return (long.join(centres, "sig")
+            .where((F.col("label") != F.col("cl")) & (100 * F.least("n", "cn") >= percent * F.greatest("n", "cn")))
+            .select(F.least("node", "c").alias("u"), F.greatest("node", "c").alias("v")).distinct())
+
+
 def similar_documents(docs: DataFrame, shingle: int = SHINGLE_WORDS, percent: int = PERCENT, frequent: int = FREQUENT,
                       part_tokens: int = PART_TOKENS, bitmap_bits: int = BITMAP_BITS, block: int = BLOCK,
                       broadcast_docs: int = BROADCAST_DOCS) -> DataFrame:
@@ -461,11 +483,12 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE_WORDS, percent: in
     stars = stored(members.where("centre <> node").select(
         F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")).distinct(), "join-stars")
     found = _links(docs, reps, stars, shingle, percent, broadcast_docs, "stars")
-    parts = stored(components(found), "join-parts")
-    labelled = members.select("sig", "node", "n").join(parts, "node", "left").select(
-        "sig", "node", "n", F.coalesce("root", "node").alias("label"))
-    split = stored(labelled.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("members"))
-                   .where("x <> y").select("sig", F.ceil(F.col("members") / block).cast("int").alias("blocks")), "join-split")
+    labelled, split = _labelled(members, found)
+    again = stored(_second_stars(labelled, split, percent).join(stars, ["u", "v"], "left_anti"), "join-stars-again")
+    found = stored(found.unionByName(_links(docs, reps, again, shingle, percent, broadcast_docs, "again")), "join-found")
+    tested = stored(stars.unionByName(again), "join-tested")
+    labelled, split = _labelled(members, found)
+    split = split.select("sig", F.ceil(F.col("members") / block).cast("int").alias("blocks"))
     units = labelled.join(split, "sig").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select(
         "sig", "node", "n", "label", "mine", F.explode(F.transform(
             F.sequence(F.lit(0), F.col("blocks") - 1),
@@ -473,7 +496,7 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE_WORDS, percent: in
     dealt = units.select("sig", "p.a", "p.b", "mine", "node", "n", "label").repartition("sig", "a", "b").sortWithinPartitions(
         "sig", "a", "b", "n", "node")
     border = stored(dealt.mapInArrow(_border_pairs(percent), "u bigint, v bigint").distinct()
-                    .join(stars, ["u", "v"], "left_anti"), "join-border")
+                    .join(tested, ["u", "v"], "left_anti"), "join-border")
     more = _links(docs, reps, border, shingle, percent, broadcast_docs, "border")
     root = components(found.unionByName(more))
     grouped = reps.join(root, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))

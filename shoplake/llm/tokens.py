@@ -13,8 +13,8 @@ network once, ids never do.  The place of a document in the token stream is a
 running sum within its file plus the sum of the files before, which are one
 row each.
 
-Words between spaces or line feeds are encoded once per task and remembered
-(up to ``CACHED_WORDS``); white space separates this vocabulary's tokens, so
+Pieces and words between spaces or line feeds are encoded once per task and remembered
+(twice ``CACHED_WORDS`` at most); white space separates this vocabulary's tokens, so
 the ids are those of the whole text.
 
 Edge cases: null text gives the end id alone; equal doc_ids stay as separate
@@ -24,6 +24,7 @@ empty table gives no rows; other columns are not written.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -52,39 +53,63 @@ def _byte_symbols() -> dict[int, str]:
 
 
 class _Words:
-    """Ids of the words between spaces, as little-endian 32-bit integers; remembers up to ``cached`` words.
+    """Ids of the words between spaces, as little-endian 32-bit integers.
 
-    A word of printable ASCII and Latin-1 letters is cut by the vocabulary's own pre-tokenizer
-    rule and its pieces, as byte symbols, go to the BPE model.  Any other word, and any that may
-    hold a special token, goes through the whole tokenizer.
+    Remembers two generations of up to ``cached`` words: when the younger is full it becomes the
+    older one, and words met again move back.
+
+    A text of printable ASCII and Latin-1 letters is cut by the vocabulary's own pre-tokenizer
+    rule and its pieces, as byte symbols, go to the BPE model, once each while they are remembered.
+    Any other text is taken word by word: such words in the same way, any other word, and any that
+    may hold a special token, through the whole tokenizer.
     """
 
     # FIXED VALUES: such words, and the pre-tokenizer's pattern for them in lower case
     PLAIN = r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
-    PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]"
-              r"|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+    PLAIN_TEXT = r"[ \n!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*"
+    PIECES = (r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d"
+              r"|[^ \na-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+
+    # the rules of a vocabulary that this holds for; texts go through any other tokenizer whole
+    RULES = {
+        "normalizer": {"type": "Sequence", "normalizers": [
+            {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+             "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    }
 
     def __init__(self, path: str, cached: int):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        rules = json.loads(self.tokenizer.to_str())
+        self.by_words = all(json.dumps(rules[k], sort_keys=True) == json.dumps(v, sort_keys=True) for k, v in self.RULES.items())
         self.cached = cached
         self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.cut = re.compile(self.PIECES).findall
         self.plain = re.compile(self.PLAIN).fullmatch
+        self.plain_text = re.compile(self.PLAIN_TEXT).fullmatch
         self.symbols = _byte_symbols()
         self.forget()
 
     def forget(self) -> None:
-        self.known.clear()
-        self.known[""] = b""
+        """The words of the last generation stay at hand, so that frequent ones are not learned anew."""
+        self.older, self.known = self.known, {"": b""}
 
     def _piece(self, piece: str) -> bytes:
         got = self.pieces.get(piece)
         if got is None:
             if len(self.pieces) >= self.cached:
-                self.pieces.clear()
+                self.older_pieces, self.pieces = self.pieces, {}
+            got = self.older_pieces.get(piece)
+            if got is not None:
+                self.pieces[piece] = got
+                return got
             symbols = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.symbols)
             ids = [t.id for t in self.model.tokenize(symbols)]
             got = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
@@ -93,7 +118,10 @@ class _Words:
     def _learn(self, words: set) -> None:
         rest = []
         for w in words:
-            if self.plain(w) and "<|" not in w and len(w) <= 100:
+            ids = self.older.get(w)
+            if ids is not None:
+                self.known[w] = ids
+            elif self.plain(w) and "<|" not in w and len(w) <= 100:
                 self.known[w] = b"".join(map(self._piece, self.cut(w.lower())))
             else:
                 rest.append(w)
@@ -101,7 +129,19 @@ class _Words:
             self.known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
     def encode(self, text: str | None) -> bytes:
-        words = (text or "").replace("\n", " ").split(" ")
+        if not self.by_words:
+            ids = self.tokenizer.encode(text or "", add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        text = text or ""
+        if "<|" not in text and self.plain_text(text):
+            pieces = self.cut(text.lower())
+            got = list(map(self.pieces.get, pieces))
+            at = -1
+            for _ in range(got.count(None)):
+                at = got.index(None, at + 1)
+                got[at] = self._piece(pieces[at])
+            return b"".join(got)
+        words = text.replace("\n", " ").split(" ")
         got = list(map(self.known.get, words))
         if None in got:
             new = {w for w, ids in zip(words, got) if ids is None}

@@ -188,6 +188,15 @@ def test_word_store_equals_whole_text_encoding():
         assert np.frombuffer(own.encode(s), "<u4").tolist() == t.encode(s, add_special_tokens=False).ids, repr(s)
 
 
+def test_word_store_takes_texts_whole_for_other_rules():
+    from tokenizers import Tokenizer
+    path = tokens.tokenizer_path("byte_bpe_50k.json")
+    t, own = Tokenizer.from_file(path), tokens._Words(path, cached=10)
+    assert not own.by_words and tokens._Words(tokens.tokenizer_path(), cached=10).by_words
+    for s in ("", "Two  words\n and More", " lead", "déjà vu 12"):
+        assert np.frombuffer(own.encode(s), "<u4").tolist() == t.encode(s, add_special_tokens=False).ids
+
+
 def test_token_files_are_ordered_and_prune(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     tokens.write_tokens(docs, str(tmp_path / "t"))
@@ -438,10 +447,18 @@ def test_mixing_comes_near_its_targets_and_repeats(spark):
     assert ((per.n - per.t).abs() / per.t).max() < 0.15
 
 
+@pytest.mark.parametrize("ids", ["none", "one"])
+def test_mixing_comes_near_its_targets_without_ids(spark, ids):
+    rows = [(None if ids == "none" else 7, f"text {i} of some words", "ab"[i % 2]) for i in range(1000)]
+    got = mixing.mix_plan(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).groupBy("source").agg(
+        {"taken": "sum", "target": "max"}).collect()
+    assert len(got) == 2 and all(abs(r["sum(taken)"] / r["max(target)"] - 1) < 0.15 for r in got)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_llm_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = E.queries()[name](spark, SF_SMALL)
     cur = con.execute(ORACLE_SQL[name])

@@ -32,8 +32,10 @@ and the class never decides a link.  The threshold doubles until the frequent
 tokens fit the bitmap.  Lists are streamed in sorted order; long ones are cut
 into blocks before pairs over component borders are made.  A candidate pair is
 first judged by parity bitmaps of about a bit per token: where they differ, the
-sets differ, so a pair with more such bits than a link allows is none.  Whole
-sets travel only for the pairs left, made again from the texts.
+sets differ, so a pair with more such bits than a link allows is none.  Bitmaps
+folded to ``SKETCH_BITS`` travel with the members of lists over borders, so a task
+drops such pairs before they become rows.  Whole sets travel only for the
+pairs left, made again from the texts.
 
 Sets are 64-bit hashes of shingles, and a distinct set is named by 64 bits over
 its size and members: two of N distinct sets share a name with probability of
@@ -59,6 +61,7 @@ PERCENT = 85
 FREQUENT = 8
 PART_TOKENS = 2_000_000
 BITMAP_BITS = 1 << 27
+SKETCH_BITS = 512
 SHORT = 8
 BLOCK = 1024
 BROADCAST_DOCS = 500_000
@@ -112,7 +115,7 @@ def _marked(docs: DataFrame) -> DataFrame:
 def _parity(tokens) -> bytes:
     """A power of two of bits, one per token at least: bit i is the parity of the tokens that hash to i."""
     import numpy as np
-    width = max(64, 1 << (len(tokens) - 1).bit_length())
+    width = max(SKETCH_BITS, 1 << (len(tokens) - 1).bit_length())
     at = (tokens >> np.uint64(20)).astype(np.int64) & (width - 1)
     return np.packbits(np.bincount(at, minlength=width) & 1).tobytes()
 
@@ -126,6 +129,22 @@ def parity_difference(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
+def _folded(batches):
+    """Arrow batches (node, bits) -> (node, sketch): parity bitmaps folded to ``SKETCH_BITS``."""
+    import numpy as np
+    import pyarrow as pa
+    for batch in batches:
+        wide = (np.frombuffer(b, np.uint8).reshape(-1, SKETCH_BITS // 8) for b in batch.column("bits").to_pylist())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), pa.array([np.bitwise_xor.reduce(b, axis=0).tobytes() for b in wide], pa.binary())],
+            names=["node", "sketch"])
+
+
+def most_different(sizes, percent: int = PERCENT):
+    """The greatest symmetric difference of two sets that link, from the sum of their sizes."""
+    return sizes - 2 * -(-percent * sizes // (100 + percent))
+
+
 def _sized(shingle: int):
     """Arrow batches (doc_id, mark, text) -> doc_id, mark, n, node, bits."""
     def run(batches):
@@ -343,19 +362,27 @@ def _listed(percent: int):
 
 
 def _border_pairs(percent: int, limit: int = 1 << 20):
-    """Sorted Arrow batches (sig, a, b, mine, node, n, label) of whole units -> pairs of different labels that may link."""
+    """Sorted Arrow batches (sig, a, b, mine, node, n, label, sketch) of whole units -> pairs of different labels that may link.
+
+    A pair may link when its sizes allow it and the sketches differ in no more bits than the sets may differ in tokens.
+    """
     def run(batches):
         import numpy as np
         import pyarrow as pa
         names = ("sig", "a", "b", "mine", "node", "n", "label")
-        held = [np.zeros(0, dtype=np.int64)] * len(names)
+        held = [np.zeros(0, dtype=np.int64)] * len(names) + [np.zeros((0, SKETCH_BITS // 64), dtype=np.uint64)]
+
+        def columns(batch):
+            blob = b"".join(batch.column("sketch").to_pylist())
+            return [batch.column(c).to_numpy().astype(np.int64) for c in names] + [
+                np.frombuffer(blob, np.uint64).reshape(-1, SKETCH_BITS // 64)]
 
         def out(us, vs):
             u, v = (np.concatenate(x or [np.zeros(0, np.int64)]) for x in (us, vs))
             pairs = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
-        def pairs_of(sig, a, b, mine, node, n, label):
+        def pairs_of(sig, a, b, mine, node, n, label, sketch):
             cut = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
             us, vs, held_pairs = [], [], 0
             for x, y in zip(cut, [*cut[1:], len(sig)]):
@@ -363,17 +390,20 @@ def _border_pairs(percent: int, limit: int = 1 << 20):
                     ok = (label[i + 1:y] != label[i]) & (percent * np.maximum(n[i], n[i + 1:y]) <= 100 * np.minimum(n[i], n[i + 1:y]))
                     if a[i] != b[i]:
                         ok &= mine[i + 1:y] != mine[i]
-                    at = np.flatnonzero(ok)
+                    at = i + 1 + np.flatnonzero(ok)
+                    if len(at):
+                        apart = np.bitwise_count(sketch[at] ^ sketch[i]).sum(axis=1, dtype=np.int64)
+                        at = at[apart <= most_different(n[at] + n[i], percent)]
                     if len(at):
                         us.append(np.full(len(at), node[i]))
-                        vs.append(node[i + 1 + at])
+                        vs.append(node[at])
                         held_pairs += len(at)
                     if held_pairs >= limit:
                         yield out(us, vs)
                         us, vs, held_pairs = [], [], 0
             yield out(us, vs)
         for batch in batches:
-            now = [np.concatenate([h, batch.column(c).to_numpy().astype(np.int64)]) for h, c in zip(held, names)]
+            now = [np.concatenate([h, c]) for h, c in zip(held, columns(batch))]
             whole = len(now[0])
             if whole:
                 whole = int(np.flatnonzero((now[0] == now[0][-1]) & (now[1] == now[1][-1]) & (now[2] == now[2][-1]))[0])
@@ -407,7 +437,7 @@ def _close(percent: int):
         import pyarrow as pa
         for batch in batches:
             kept = [(u, v) for u, v, n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("u", "v", "n", "m", "x", "y")))
-                    if parity_difference(x, y) <= n + m - 2 * -(-percent * (n + m) // (100 + percent))]
+                    if parity_difference(x, y) <= most_different(n + m, percent)]
             us, vs = zip(*kept) if kept else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
     return run
@@ -489,11 +519,12 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE_WORDS, percent: in
     tested = stored(stars.unionByName(again), "join-tested")
     labelled, split = _labelled(members, found)
     split = split.select("sig", F.ceil(F.col("members") / block).cast("int").alias("blocks"))
-    units = labelled.join(split, "sig").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select(
-        "sig", "node", "n", "label", "mine", F.explode(F.transform(
+    sketches = reps.select("node", "bits").mapInArrow(_folded, "node bigint, sketch binary")
+    units = labelled.join(split, "sig").join(sketches, "node").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select(
+        "sig", "node", "n", "label", "sketch", "mine", F.explode(F.transform(
             F.sequence(F.lit(0), F.col("blocks") - 1),
             lambda o: F.struct(F.least(o, F.col("mine")).alias("a"), F.greatest(o, F.col("mine")).alias("b")))).alias("p"))
-    dealt = units.select("sig", "p.a", "p.b", "mine", "node", "n", "label").repartition("sig", "a", "b").sortWithinPartitions(
+    dealt = units.select("sig", "p.a", "p.b", "mine", "node", "n", "label", "sketch").repartition("sig", "a", "b").sortWithinPartitions(
         "sig", "a", "b", "n", "node")
     border = stored(dealt.mapInArrow(_border_pairs(percent), "u bigint, v bigint").distinct()
                     .join(tested, ["u", "v"], "left_anti"), "join-border")

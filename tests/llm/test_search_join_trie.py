@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as E
@@ -208,6 +209,29 @@ def test_parity_difference_never_exceeds_the_sets_difference():
     assert ngram_join.parity_difference(ngram_join._parity(x), ngram_join._parity(x)) == 0
 
 
+def test_join_sketches_lose_no_pair():
+    """The folded bitmaps differ in at most as many bits as the sets differ in tokens, whatever the sizes."""
+    rng = random.Random(11)
+    rows = []
+    for size in (1, 3, 40, 700, 5000):
+        x = np.unique(np.array([rng.getrandbits(64) for _ in range(size)], dtype=np.uint64))
+        y = np.unique(np.concatenate([x[:int(0.9 * size) + 1], np.array([rng.getrandbits(64)], dtype=np.uint64)]))
+        rows.append((x, y))
+    sets = [t for pair in rows for t in pair]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sets)), pa.int64()), pa.array([ngram_join._parity(t) for t in sets], pa.binary())],
+                                       names=["node", "bits"])
+    folded = [np.frombuffer(b, np.uint64) for out in ngram_join._folded([batch]) for b in out.column("sketch").to_pylist()]
+    assert {f.size * 64 for f in folded} == {ngram_join.SKETCH_BITS}
+    for k, (x, y) in enumerate(rows):
+        apart = int(np.bitwise_count(folded[2 * k] ^ folded[2 * k + 1]).sum())
+        assert apart <= len(np.setxor1d(x, y))
+    # most_different is the bound itself: sets that share one token less no longer link
+    for n in range(1, 60):
+        for m in range(n, 60):
+            links = [n + m - 2 * s for s in range(n + 1) if 100 * s >= 85 * (n + m - s)]
+            assert not links or max(links) == ngram_join.most_different(n + m)
+
+
 def test_packed_tokens_round_trip():
     rng = np.random.default_rng(3)
     for n in (1, 2, 1000):

@@ -155,7 +155,7 @@ SELECT doc_id, item_id, CAST(max(same) AS INT) AS matched_words, CAST(max(size)
 FROM k WHERE same >= size - CASE WHEN size >= {_L} THEN {_T} ELSE 0 END GROUP BY doc_id, item_id
 """
 
-_FURNITURE = "|".join(quality_rules.BOILERPLATE)
+_FURNITURE = "|".join(quality_rules.BOILERPLATE + quality_rules.PLACEHOLDER)
 OP9 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_words()} AS w,
            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
@@ -163,11 +163,15 @@ u AS (SELECT doc_id, p, array_to_string(w[p:p + 7], ' ') AS g FROM (SELECT doc_i
 f AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS c FROM u),
 r AS (SELECT doc_id, count(DISTINCT p + k) AS n_repeat_words FROM f, range(8) q(k) WHERE c > 1 GROUP BY doc_id),
 l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i, lines FROM d),
-lw AS (SELECT *, {_words("line")} AS v FROM l),
+lv AS (SELECT *, {_words("line")} AS v FROM l),
+lw AS (SELECT *, list_filter(v[2:], lambda x: regexp_matches(x, '^[|<>»›·•/\\-]+$')) AS bars,
+       regexp_extract_all(lower(line), '{_FURNITURE}') AS phrases FROM lv),
 g AS (SELECT doc_id, sum(length(line)) AS line_chars, coalesce(sum(length(line)) FILTER (WHERE NOT (
         len(list_filter(v, lambda x: regexp_matches(x, '(?:[#*$%&|<>]{{3,}}|!!+)$'))) > len(v) * {quality_rules.NOISY_SHARE}
-        OR len(list_filter(v, lambda x: regexp_matches(x, '^[|<>»›·•/\\-]+$'))) > len(v) * {quality_rules.SEPARATOR_SHARE}
-        OR regexp_matches(lower(line), '{_FURNITURE}') OR list_position(lines, line) <> i)), 0) AS kept_chars
+        OR (len(bars) > len(v) * {quality_rules.SEPARATOR_SHARE}
+            AND (len(bars) > 1 OR len(list_filter(bars, lambda x: regexp_matches(x, '[|»›]'))) > 0))
+        OR (len(phrases) > 0 AND len(string_split(array_to_string(phrases, ' '), ' ')) >= len(v) * {quality_rules.FURNITURE_SHARE})
+        OR list_position(lines, line) <> i)), 0) AS kept_chars
       FROM lw GROUP BY doc_id),
 b AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,

@@ -1,6 +1,6 @@
-"""Task sizes where tables grow."""
+"""Task sizes and block counts where tables grow."""
 
-from shoplake.operators import baskets
+from shoplake.operators import baskets, ml
 
 
 def test_co_purchase_partitions_follow_lines_and_pairs(spark, monkeypatch):
@@ -13,3 +13,9 @@ def test_co_purchase_partitions_follow_lines_and_pairs(spark, monkeypatch):
         got = baskets.co_purchase(d, split_above=split)
         assert got.rdd.getNumPartitions() >= len(lines) // 50                  # 8 shuffle partitions in this session
         assert sorted(tuple(r) for r in got.collect()) == plain
+
+
+def test_a_few_million_ratings_share_a_factor_block():
+    # a user's factors travel to every block that holds one of its ratings: few ratings a block made copies grow with the table
+    assert ml.parts_for(24_000_000, ml.RATINGS_PER_BLOCK) == 8
+    assert ml.parts_for(144_000_000, ml.RATINGS_PER_BLOCK) < 40

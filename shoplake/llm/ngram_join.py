@@ -21,7 +21,7 @@ compared with one centre of its list; connected components settle most lists at
 once.  Longer lists (more than ``SHORT`` sets) that still hold several components
 get a second centre, picked by a hash that differs from list to list, so a set
 meets many others of its group.  In lists with sets of several components, all pairs over component
-borders (of sizes that can link) follow, so no link between components is missed.
+borders (of sizes that can link) are judged, so no link between components is missed.
 
 Scale: work is on distinct sets, a group of copies is one.  Document
 frequencies are counted over all documents: tasks send sorted, delta-coded 48-bit
@@ -33,9 +33,15 @@ tokens fit the bitmap.  Lists are streamed in sorted order; long ones are cut
 into blocks before pairs over component borders are made.  A candidate pair is
 first judged by parity bitmaps of about a bit per token: where they differ, the
 sets differ, so a pair with more such bits than a link allows is none.  Bitmaps
-folded to ``SKETCH_BITS`` travel with the members of lists over borders, so a task
-drops such pairs before they become rows.  Whole sets travel only for the
-pairs left, made again from the texts.
+folded to ``SKETCH_BITS`` travel with the members of lists over borders, and a task
+judges the pairs there.  Those left never become rows, which would grow with the
+square of a group: the sets that they connect leave the task as clusters, one row
+per set.  A pair that meets in many lists is left to the list of the least signature that both
+sets hold among their ``LOW`` least ones, if there is one.  Clusters are then cut by the
+unfolded bitmaps.  Where the whole sets of a cluster
+meet, its pairs are verified until links join its components, so it gives fewer links
+than it has sets.  Whole sets, made again from the texts, travel only for clusters and for
+the pairs of sets with centres that the bitmaps leave.
 
 Sets are 64-bit hashes of shingles, and a distinct set is named by 64 bits over
 its size and members: two of N distinct sets share a name with probability of
@@ -63,41 +69,34 @@ PART_TOKENS = 2_000_000
 BITMAP_BITS = 1 << 27
 SKETCH_BITS = 512
 SHORT = 8
+LOW = 4
 BLOCK = 1024
 BROADCAST_DOCS = 500_000
-KNOWN_WORDS = 1_000_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-class Shingles:
-    """The sorted distinct 64-bit hashes of a text's shingles."""
+def shingles(text: bytes | None, size: int = SHINGLE_WORDS):
+    """The sorted distinct 64-bit hashes of a text's shingles.
 
-    def __init__(self, size: int, known_words: int = KNOWN_WORDS):
-        self.size, self.limit, self.known = size, known_words, {}
-
-    def of(self, text: bytes | None):
-        import numpy as np
-        from xxhash import xxh64_intdigest
-        words = (text or b"").translate(_LOWER).split()        # splits at exactly \x20 and \x09-\x0D
-        if not words:
-            return np.zeros(0, dtype=np.uint64)
-        new = set(words).difference(self.known)
-        if new:
-            if len(self.known) + len(new) > self.limit:
-                self.known.clear()
-                new = set(words)
-            self.known.update((w, xxh64_intdigest(w)) for w in new)
-        w = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
-        k = min(self.size, len(w))
-        n = len(w) - k + 1
-        h = np.full(n, k, dtype=np.uint64)
-        for i in range(k):
-            h = (h ^ w[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
+    Words are hashed anew each time: looking them up among a million known ones misses the processor's caches and takes longer.
+    """
+    import numpy as np
+    from xxhash import xxh64_intdigest
+    words = (text or b"").translate(_LOWER).split()        # splits at exactly \x20 and \x09-\x0D
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    w = np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
+    k = min(size, len(w))
+    n = len(w) - k + 1
+    h = np.full(n, k, dtype=np.uint64)
+    for i in range(k):
+        h = (h ^ w[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
-        return np.unique(h)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    h.sort()
+    return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
 def _name(tokens) -> int:
@@ -129,15 +128,18 @@ def parity_difference(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
+def fold(bits: bytes, width: int = SKETCH_BITS // 8) -> bytes:
+    """A parity bitmap folded to ``width`` bytes."""
+    import numpy as np
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint8).reshape(-1, width), axis=0).tobytes()
+
+
 def _folded(batches):
     """Arrow batches (node, bits) -> (node, sketch): parity bitmaps folded to ``SKETCH_BITS``."""
-    import numpy as np
     import pyarrow as pa
     for batch in batches:
-        wide = (np.frombuffer(b, np.uint8).reshape(-1, SKETCH_BITS // 8) for b in batch.column("bits").to_pylist())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.array([np.bitwise_xor.reduce(b, axis=0).tobytes() for b in wide], pa.binary())],
-            names=["node", "sketch"])
+            [batch.column("node"), pa.array([fold(b) for b in batch.column("bits").to_pylist()], pa.binary())], names=["node", "sketch"])
 
 
 def most_different(sizes, percent: int = PERCENT):
@@ -149,9 +151,8 @@ def _sized(shingle: int):
     """Arrow batches (doc_id, mark, text) -> doc_id, mark, n, node, bits."""
     def run(batches):
         import pyarrow as pa
-        shingles = Shingles(shingle)
         for batch in batches:
-            sets = [shingles.of(t) for t in batch.column("text").to_pylist()]
+            sets = [shingles(t, shingle) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("mark"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([_name(s) for s in sets], pa.int64()), pa.array([_parity(s) if len(s) else b"" for s in sets], pa.binary())],
@@ -187,7 +188,7 @@ def _token_parts(shingle: int, parts: int, flush: int):
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        shingles, held, size = Shingles(shingle), [], 0
+        held, size = [], 0
 
         def out():
             values, counts = np.unique(np.concatenate(held) >> np.uint64(16), return_counts=True)
@@ -200,7 +201,7 @@ def _token_parts(shingle: int, parts: int, flush: int):
                  pa.array([_packed(values[a:b], counts[a:b]) for a, b in zip(cuts, ends)], pa.binary())], names=["part", "blob"])
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                tokens = shingles.of(text)
+                tokens = shingles(text, shingle)
                 if len(tokens):
                     held.append(tokens)
                     size += len(tokens)
@@ -289,11 +290,11 @@ def _indexed(shingle: int, percent: int, bitmap):
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        shingles, seen = Shingles(shingle), set()
+        seen = set()
         for batch in batches:
             sigs, nodes, sizes = [], [], []
             for text in batch.column("text").to_pylist():
-                tokens = shingles.of(text)
+                tokens = shingles(text, shingle)
                 if len(tokens) < 2 or (node := _name(tokens)) in seen:    # a set of one links to its copies only
                     continue
                 if len(seen) >= 1_000_000:
@@ -361,31 +362,42 @@ def _listed(percent: int):
     return run
 
 
-def _border_pairs(percent: int, limit: int = 1 << 20):
-    """Sorted Arrow batches (sig, a, b, mine, node, n, label, sketch) of whole units -> pairs of different labels that may link.
+def named_clusters(root, node):
+    """(name, places) of the groups of two or more equal roots; the name is a hash of the group's nodes."""
+    import numpy as np
+    from xxhash import xxh64_intdigest
+    order = np.lexsort((node, root))
+    for own in np.split(order, np.flatnonzero(np.diff(root[order])) + 1):
+        if len(own) > 1:
+            yield xxh64_intdigest(node[own].tobytes()), own
+
+
+def _border_clusters(percent: int):
+    """Sorted Arrow batches (sig, a, b, mine, node, n, label, low, sketch) of whole units -> (cluster, node, label).
 
-    A pair may link when its sizes allow it and the sketches differ in no more bits than the sets may differ in tokens.
+    A pair of different labels may link when its sizes allow it and the sketches differ in no more bits than the sets may
+    differ in tokens.  Such pairs stay in the task: a cluster holds the sets of a unit that they connect, and is named by
+    its sets, so that the same cluster of many units is one.  A pair that shares a lower one of its sets' least ``LOW``
+    signatures is left to the list of that signature.
     """
     def run(batches):
         import numpy as np
         import pyarrow as pa
         names = ("sig", "a", "b", "mine", "node", "n", "label")
-        held = [np.zeros(0, dtype=np.int64)] * len(names) + [np.zeros((0, SKETCH_BITS // 64), dtype=np.uint64)]
+        held = [np.zeros(0, dtype=np.int64)] * len(names) + [
+            np.zeros((0, LOW), dtype=np.int64), np.zeros((0, SKETCH_BITS // 64), dtype=np.uint64)]
+        seen = set()
 
         def columns(batch):
             blob = b"".join(batch.column("sketch").to_pylist())
             return [batch.column(c).to_numpy().astype(np.int64) for c in names] + [
-                np.frombuffer(blob, np.uint64).reshape(-1, SKETCH_BITS // 64)]
-
-        def out(us, vs):
-            u, v = (np.concatenate(x or [np.zeros(0, np.int64)]) for x in (us, vs))
-            pairs = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
+                batch.column("low").flatten().to_numpy().reshape(-1, LOW), np.frombuffer(blob, np.uint64).reshape(-1, SKETCH_BITS // 64)]
 
-        def pairs_of(sig, a, b, mine, node, n, label, sketch):
+        def clusters_of(sig, a, b, mine, node, n, label, low, sketch):
             cut = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-            us, vs, held_pairs = [], [], 0
+            found, rows = [], []
             for x, y in zip(cut, [*cut[1:], len(sig)]):
+                root = None                               # of each set of the unit, where pairs have connected them
                 for i in range(x, y - 1):
                     ok = (label[i + 1:y] != label[i]) & (percent * np.maximum(n[i], n[i + 1:y]) <= 100 * np.minimum(n[i], n[i + 1:y]))
                     if a[i] != b[i]:
@@ -395,38 +407,125 @@ def _border_pairs(percent: int, limit: int = 1 << 20):
                         apart = np.bitwise_count(sketch[at] ^ sketch[i]).sum(axis=1, dtype=np.int64)
                         at = at[apart <= most_different(n[at] + n[i], percent)]
                     if len(at):
-                        us.append(np.full(len(at), node[i]))
-                        vs.append(node[at])
-                        held_pairs += len(at)
-                    if held_pairs >= limit:
-                        yield out(us, vs)
-                        us, vs, held_pairs = [], [], 0
-            yield out(us, vs)
+                        lower = low[i][low[i] < sig[i]]
+                        at = at[~np.isin(low[at], lower).any(axis=1)]
+                    if len(at):
+                        root = np.arange(y - x) if root is None else root
+                        joined = np.unique(root[np.append(at, i) - x])
+                        if len(joined) > 1:
+                            root[np.isin(root, joined)] = joined[0]
+                if root is None:
+                    continue
+                for name, own in named_clusters(root, node[x:y]):
+                    if name in seen:
+                        continue
+                    if len(seen) >= 1_000_000:
+                        seen.clear()
+                    seen.add(name)
+                    found.append(np.full(len(own), name, dtype=np.uint64))
+                    rows.append(x + own)
+            at = np.concatenate(rows or [np.zeros(0, np.int64)])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(found or [np.zeros(0, np.uint64)]).view(np.int64)), pa.array(node[at]), pa.array(label[at])],
+                names=["cluster", "node", "label"])
         for batch in batches:
             now = [np.concatenate([h, c]) for h, c in zip(held, columns(batch))]
             whole = len(now[0])
             if whole:
                 whole = int(np.flatnonzero((now[0] == now[0][-1]) & (now[1] == now[1][-1]) & (now[2] == now[2][-1]))[0])
             if whole:
-                yield from pairs_of(*(x[:whole] for x in now))
+                yield clusters_of(*(x[:whole] for x in now))
             held = [x[whole:] for x in now]
         if len(held[0]):
-            yield from pairs_of(*held)
+            yield clusters_of(*held)
     return run
 
 
+def _clusters(batches, names):
+    """Sorted Arrow batches -> the columns of one whole cluster after the other."""
+    from itertools import groupby
+    rows = (r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("cluster", *names))))
+    for _, own in groupby(rows, key=lambda r: r[0]):
+        yield list(zip(*own))[1:]
+
+
+def _gathered(rows, names, most: int = 10_000):
+    """Rows of 64-bit numbers -> Arrow batches."""
+    from itertools import islice
+
+    import pyarrow as pa
+    rows = iter(rows)
+    while part := list(islice(rows, most)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part)], names=names)
+
+
+def near(n, label, bits, percent: int = PERCENT):
+    """(i, places after i) of sets in order of size: those of other labels whose parity bitmaps leave a link with i possible.
+
+    ``label`` may change between two steps.  Bitmaps are compared at the width of the smaller set, whose partners have at
+    most twice that width.
+    """
+    import numpy as np
+    widths = np.array([len(z) for z in bits])
+    first = width = 0
+    for i in range(len(n) - 1):
+        at = i + 1 + np.flatnonzero((label[i + 1:] != label[i]) & (percent * n[i + 1:] <= 100 * n[i]))
+        if not len(at):
+            continue
+        if width != widths[i]:
+            first, width = i, int(widths[i])
+            table = np.stack([np.frombuffer(fold(z, width), np.uint64) for z in bits[i:np.searchsorted(widths, 2 * width, side="right")]])
+        apart = np.bitwise_count(table[at - first] ^ table[i - first]).sum(axis=1, dtype=np.int64)
+        at = at[apart <= most_different(n[at] + n[i], percent)]
+        if len(at):
+            yield i, at
+
+
+def _close_clusters(percent: int):
+    """Batches (cluster, node, label, n, bits) sorted by cluster, n -> (cluster, node, label): clusters by the whole bitmaps."""
+    def rows(batches):
+        import numpy as np
+        for node, label, n, bits in _clusters(batches, ("node", "label", "n", "bits")):
+            node, label, root = np.array(node), np.array(label), np.arange(len(n))
+            for i, at in near(np.array(n), label, bits, percent):
+                joined = np.unique(root[np.append(at, i)])
+                if len(joined) > 1:
+                    root[np.isin(root, joined)] = joined[0]
+            for name, own in named_clusters(root, node):
+                name -= (1 << 64) if name >> 63 else 0
+                yield from ((name, node[k], label[k]) for k in own)
+    return lambda batches: _gathered(rows(batches), ["cluster", "node", "label"])
+
+
+def _bridges(percent: int):
+    """Batches (cluster, node, label, n, tokens) sorted by cluster, n -> (u, v): links that join the cluster's labels.
+
+    Pairs of labels that links have not joined yet are verified on whole sets; a cluster gives fewer links than it has sets.
+    """
+    def rows(batches):
+        import numpy as np
+        for node, label, n, sets in _clusters(batches, ("node", "label", "n", "tokens")):
+            sets, label = [np.frombuffer(t, np.uint64) for t in sets], np.array(label)
+            for i, at in near(np.array(n), label, [_parity(t) for t in sets], percent):
+                for j in at:
+                    if label[i] != label[j] and linked(sets[i], sets[j], percent):
+                        label[label == label[j]] = label[i]
+                        yield min(node[i], node[j]), max(node[i], node[j])
+    return lambda batches: _gathered(rows(batches), ["u", "v"])
+
+
 def _with_sets(shingle: int):
     """Arrow batches (node, text) -> (node, tokens); each set once per task."""
     def run(batches):
         import pyarrow as pa
-        shingles, seen = Shingles(shingle), set()
+        seen = set()
         for batch in batches:
             nodes, blobs = [], []
             for node, text in zip(*(batch.column(c).to_pylist() for c in ("node", "text"))):
                 if node not in seen:
                     seen.add(node)
                     nodes.append(node)
-                    blobs.append(shingles.of(text).tobytes())
+                    blobs.append(shingles(text, shingle).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())], names=["node", "tokens"])
     return run
 
@@ -443,6 +542,13 @@ def _close(percent: int):
     return run
 
 
+def linked(x, y, percent: int = PERCENT) -> bool:
+    """Whether two sorted sets link."""
+    import numpy as np
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
 def _verified(percent: int):
     def run(batches):
         import numpy as np
@@ -450,28 +556,30 @@ def _verified(percent: int):
         for batch in batches:
             us, vs = [], []
             for u, v, x, y in zip(*(batch.column(c).to_pylist() for c in ("u", "v", "x", "y"))):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * shared >= percent * (len(x) + len(y) - shared):
+                if linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent):
                     us.append(u)
                     vs.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
     return run
 
 
+def _sets_of(docs: DataFrame, reps: DataFrame, nodes: DataFrame, shingle: int, broadcast_docs: int, name: str) -> DataFrame:
+    """(node, tokens): the whole sets of ``nodes``, made again from the texts."""
+    wanted = stored(reps.join(nodes, "node").select("node", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")),
+                    f"join-wanted-{name}")
+    keys = F.broadcast(wanted) if wanted.count() <= broadcast_docs else wanted
+    texts = _marked(docs).join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")))
+    return stored(texts.select("node", "text").mapInArrow(_with_sets(shingle), "node bigint, tokens binary")
+                  .dropDuplicates(["node"]), f"join-sets-{name}")
+
+
 def _links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, shingle: int, percent: int, broadcast_docs: int,
            name: str) -> DataFrame:
     """The pairs (u, v) of ``pairs`` whose whole sets link."""
     ends_of = [reps.select(F.col("node").alias(k), F.col("n").alias(n), F.col("bits").alias(b)) for k, n, b in (("u", "n", "x"), ("v", "m", "y"))]
     pairs = stored(pairs.join(ends_of[0], "u").join(ends_of[1], "v").select("u", "v", "n", "m", "x", "y")
                    .mapInArrow(_close(percent), "u bigint, v bigint"), f"join-close-{name}")
-    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    wanted = stored(reps.join(ends, "node").select("node", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")),
-                    f"join-wanted-{name}")
-    keys = F.broadcast(wanted) if wanted.count() <= broadcast_docs else wanted
-    texts = _marked(docs).join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")))
-    sets = stored(texts.select("node", "text").mapInArrow(_with_sets(shingle), "node bigint, tokens binary")
-                  .dropDuplicates(["node"]), f"join-sets-{name}")
+    sets = _sets_of(docs, reps, pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), shingle, broadcast_docs, name)
     both = (pairs.join(sets.select(F.col("node").alias("u"), F.col("tokens").alias("x")), "u")
             .join(sets.select(F.col("node").alias("v"), F.col("tokens").alias("y")), "v"))
     return stored(both.select("u", "v", "x", "y").mapInArrow(_verified(percent), "u bigint, v bigint"), f"join-links-{name}")
@@ -516,19 +624,27 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE_WORDS, percent: in
     labelled, split = _labelled(members, found)
     again = stored(_second_stars(labelled, split, percent).join(stars, ["u", "v"], "left_anti"), "join-stars-again")
     found = stored(found.unionByName(_links(docs, reps, again, shingle, percent, broadcast_docs, "again")), "join-found")
-    tested = stored(stars.unionByName(again), "join-tested")
     labelled, split = _labelled(members, found)
     split = split.select("sig", F.ceil(F.col("members") / block).cast("int").alias("blocks"))
+    over = labelled.join(split, "sig")
+    none = F.array_repeat(F.lit((1 << 63) - 1), LOW)
+    lows = over.groupBy("node").agg(F.slice(F.concat(F.array_sort(F.collect_set("sig")), none), 1, LOW).alias("low"))
     sketches = reps.select("node", "bits").mapInArrow(_folded, "node bigint, sketch binary")
-    units = labelled.join(split, "sig").join(sketches, "node").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select(
-        "sig", "node", "n", "label", "sketch", "mine", F.explode(F.transform(
+    units = over.join(lows, "node").join(sketches, "node").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select(
+        "sig", "node", "n", "label", "low", "sketch", "mine", F.explode(F.transform(
             F.sequence(F.lit(0), F.col("blocks") - 1),
             lambda o: F.struct(F.least(o, F.col("mine")).alias("a"), F.greatest(o, F.col("mine")).alias("b")))).alias("p"))
-    dealt = units.select("sig", "p.a", "p.b", "mine", "node", "n", "label", "sketch").repartition("sig", "a", "b").sortWithinPartitions(
+    dealt = units.select("sig", "p.a", "p.b", "mine", "node", "n", "label", "low", "sketch").repartition("sig", "a", "b").sortWithinPartitions(
         "sig", "a", "b", "n", "node")
-    border = stored(dealt.mapInArrow(_border_pairs(percent), "u bigint, v bigint").distinct()
-                    .join(tested, ["u", "v"], "left_anti"), "join-border")
-    more = _links(docs, reps, border, shingle, percent, broadcast_docs, "border")
+    cluster = "cluster bigint, node bigint, label bigint"
+    clusters = stored(dealt.mapInArrow(_border_clusters(percent), cluster).dropDuplicates(["cluster", "node"]), "join-clusters")
+    clusters = stored(clusters.join(reps.select("node", "n", "bits"), "node").repartition("cluster")
+                      .sortWithinPartitions("cluster", "n", "node").select("cluster", "node", "label", "n", "bits")
+                      .mapInArrow(_close_clusters(percent), cluster).dropDuplicates(["cluster", "node"]), "join-close-border")
+    sets = _sets_of(docs, reps, clusters.select("node").distinct(), shingle, broadcast_docs, "border")
+    sets = sets.withColumn("n", (F.length("tokens") / 8).cast("long"))
+    more = stored(clusters.join(sets, "node").repartition("cluster").sortWithinPartitions("cluster", "n", "node")
+                  .select("cluster", "node", "label", "n", "tokens").mapInArrow(_bridges(percent), "u bigint, v bigint"), "join-bridges")
     root = components(found.unionByName(more))
     grouped = reps.join(root, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     first = grouped.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -174,6 +174,52 @@ def test_join_loses_no_link(spark, frequent):
     assert _joined(spark, docs, frequent=frequent, part_tokens=5000, block=8, broadcast_docs=0) == want
 
 
+def test_border_rows_grow_with_the_sets(spark, monkeypatch):
+    """Sets just below the threshold, whose bitmaps leave every pair possible: no step makes a row per pair."""
+    def rows_by_step(size):
+        base, rows = [f"b{i}" for i in range(1000)], {}
+        docs = [(k, " ".join([f"k{k}x{i}" for i in range(100)] + base[100:])) for k in range(size)]
+        docs += [(size + k, text + " end") for k, (_, text) in enumerate(docs[:3])]
+        plain = ngram_join.stored
+
+        def counting(df, name):
+            got = plain(df, name)
+            rows[name] = max(rows.get(name, 0), got.count())
+            return got
+        with monkeypatch.context() as patch:
+            patch.setattr(ngram_join, "stored", counting)
+            got = _joined(spark, docs)
+        assert got == _components(docs)
+        assert len({c for _, _, c in got}) == size
+        return rows
+    small, large = rows_by_step(30), rows_by_step(120)
+    assert set(small) == set(large)
+    # a second centre gives a row per entry of its list, whatever the pairs
+    assert {k: (small[k], v) for k, v in large.items() if v > 5 * small[k] + 50 and "again" not in k} == {}
+
+
+def test_clusters_keep_every_pair_that_may_link():
+    """A pair over borders that the sketches leave possible lies in a cluster of one of the lists that it shares."""
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, 60, dtype=np.uint64)) for _ in range(4)]
+    sets = [np.unique(np.concatenate([s[rng.random(len(s)) < 0.95], rng.integers(0, 1 << 63, 2, dtype=np.uint64)])) for s in sets for _ in range(12)]
+    lists = {g: [i for i in range(len(sets)) if rng.random() < 0.4] for g in range(-20, 20)}
+    none = (1 << 63) - 1
+    low = {i: (sorted(g for g in lists if i in lists[g]) + [none] * ngram_join.LOW)[:ngram_join.LOW] for i in range(len(sets))}
+    sketch = [ngram_join.fold(ngram_join._parity(s)) for s in sets]
+    rows = [(g, 0, 0, 0, i, len(sets[i]), i, low[i], sketch[i]) for g in sorted(lists) for i in sorted(lists[g], key=lambda i: (len(sets[i]), i))]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(("sig", "a", "b", "mine", "node", "n", "label", "low", "sketch"), r)) for r in rows[k:k + 7]])
+               for k in range(0, len(rows), 7)]
+    clusters = defaultdict(set)
+    for out in ngram_join._border_clusters(85)(batches):
+        for r in out.to_pylist():
+            clusters[r["cluster"]].add(r["node"])
+    pairs = {(i, j) for own in lists.values() for i in own for j in own if i < j and ngram_join.parity_difference(
+        ngram_join._parity(sets[i]), ngram_join._parity(sets[j])) <= ngram_join.most_different(len(sets[i]) + len(sets[j]))}
+    assert len(pairs) > 20
+    assert all(any(i in c and j in c for c in clusters.values()) for i, j in pairs)
+
+
 def test_join_on_awkward_tables(spark):
     long = " ".join(f"l{i}" for i in range(20_000))
     docs = [(1, "One two THREE four five six seven eight nine ten"), (2, "one two three four five six seven eight nine ten"),
